@@ -812,7 +812,7 @@ def vintage_asof(spark: SparkSession, folder: str) -> DataFrame:
         F.year("o_orderdate").alias("year"), t.money("o_totalprice").alias("v")
     )
     return (
-        orders.withColumn("location", vintages.vintage_of("year", releases))
+        vintages.with_vintage(orders, "year", releases)
         .groupBy("year", "location")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("v").cast("double").alias("value"))
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftable.classification import REST_OF_WORLD
 from weftable.functions.aggregates import null_sum
-from weftable.operators.fold import fold_countries
 from weftable.operators.weights import repartition_keys
 from weftable.sources.staging import stage
 
@@ -67,8 +67,27 @@ EVENT_STRESSORS = {
 }
 
 
+# The columns in use. A stated schema saves a job per table that reads footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_brand string, p_type string, p_size int",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_returnflag string"
+    ),
+    "events": "ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def pick(values: tuple[str, ...], index: Column) -> Column:
@@ -91,10 +110,23 @@ def kept_nations(spark: SparkSession, folder: str) -> DataFrame:
 
 def nations(spark: SparkSession, folder: str) -> DataFrame:
     """(nationkey, country) with the folded country."""
-    named = table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("country")
+    region = table(spark, folder, "region")
+    nation = table(spark, folder, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    country = F.when(F.col("r_name").isin(*KEPT_REGIONS), F.col("n_name")).otherwise(
+        F.lit(REST_OF_WORLD)
     )
-    return fold_countries(named, kept_nations(spark, folder), ["country"])
+    return nation.select(F.col("n_nationkey").alias("nationkey"), country.alias("country"))
+
+
+def country_of(nations_: DataFrame, nationkey: Column) -> Column:
+    """Folded country of a nation key, null for an unknown one.
+
+    The nation table is one small map that a row looks up by itself. A join
+    would do the same, but Catalyst estimates a joined dimension far too large
+    and would then no longer broadcast it to the facts.
+    """
+    pairs = F.collect_list(F.struct("nationkey", "country"))
+    return F.try_element_at(nations_.agg(F.map_from_entries(pairs)).scalar(), nationkey)
 
 
 def countries(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,25 +162,19 @@ def flows(spark: SparkSession, folder: str) -> DataFrame:
     users = (
         table(spark, folder, "orders")
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(at, F.col("c_nationkey") == F.col("nationkey"))
         .select(
             "o_orderkey",
             F.col("c_nationkey").alias("use_nation"),
-            F.col("country").alias("use_country"),
+            country_of(at, F.col("c_nationkey")).alias("use_country"),
             use_sector(F.col("o_custkey")).alias("use_src"),
             (F.col("o_custkey") % SECTORS).alias("use_sector"),
             F.col("o_orderpriority").alias("priority"),
-            F.year("o_orderdate").alias("year"),
         )
     )
-    producers = (
-        table(spark, folder, "supplier")
-        .join(at, F.col("s_nationkey") == F.col("nationkey"))
-        .select(
-            "s_suppkey",
-            F.col("s_nationkey").alias("resource_nation"),
-            F.col("country").alias("resource_country"),
-        )
+    producers = table(spark, folder, "supplier").select(
+        "s_suppkey",
+        F.col("s_nationkey").alias("resource_nation"),
+        country_of(at, F.col("s_nationkey")).alias("resource_country"),
     )
     products = table(spark, folder, "part").select(
         "p_partkey", F.col("p_brand").alias("resource_src"), F.col("p_type").alias("resource_type")
@@ -172,7 +198,6 @@ def flows(spark: SparkSession, folder: str) -> DataFrame:
             "use_src",
             "use_sector",
             "priority",
-            "year",
             F.col("l_linenumber").alias("line"),
             F.col("l_returnflag").alias("flag"),
             money("l_extendedprice").alias("v"),
@@ -209,10 +234,10 @@ def key(spark: SparkSession, folder: str, sums: DataFrame) -> DataFrame:
 
 def emissions(spark: SparkSession, folder: str) -> DataFrame:
     """One row per event with the emitting country, sector and stressor."""
-    users = (
-        table(spark, folder, "customer")
-        .join(nations(spark, folder), F.col("c_nationkey") == F.col("nationkey"))
-        .select("c_custkey", F.col("c_nationkey").alias("nation"), "country")
+    users = table(spark, folder, "customer").select(
+        "c_custkey",
+        F.col("c_nationkey").alias("nation"),
+        country_of(nations(spark, folder), F.col("c_nationkey")).alias("country"),
     )
     return (
         table(spark, folder, "events")

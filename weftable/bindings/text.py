@@ -17,13 +17,14 @@ def write_wide_text(
     path: str,
     marks: Sequence[Sequence[str]],
     sep: str = "\t",
+    parts: int = 16,
 ) -> str:
     """Write cells (rows..., columns..., value) as a dense matrix of delimited text.
 
     ``marks`` gives the leading fields of each label line; label lines beyond
-    the number of ``columns`` are empty. Lines are written in parallel, one
-    part per value of the first row label, and each part starts with the label
-    lines. A line holds as many cells as the matrix has columns.
+    the number of ``columns`` are empty. Lines are spread over ``parts`` files
+    and each starts with the label lines. A line holds as many cells as the
+    matrix has columns.
     """
     rows, columns = list(rows), list(columns)
     totals = stage(cells.groupBy(*rows, *columns).agg(F.sum("value").alias("value")), "cells")
@@ -41,8 +42,9 @@ def write_wide_text(
     )
     text = F.coalesce(F.col("value").cast("string"), F.lit("0"))
     ordered = F.sort_array(F.collect_list(F.struct("pos", text.alias("text"))))
+    part = F.pmod(F.xxhash64(*rows), F.lit(parts)).alias("part")
     data = dense.groupBy(*rows).agg(ordered.alias("line")).select(
-        F.col(rows[0]).alias("part"),
+        part,
         F.lit(len(marks)).alias("number"),
         F.concat_ws(sep, *rows, F.col("line.text")).alias("value"),
     )
@@ -61,7 +63,7 @@ def write_wide_text(
     header = F.array(*[label_line(number) for number in range(len(marks))])
     lines = labels.select(F.explode(header).alias("h")).agg(F.collect_list("h")).scalar()
     heads = (
-        totals.select(F.col(rows[0]).alias("part"))
+        totals.select(part)
         .distinct()
         .select("part", F.explode(lines).alias("h"))
         .select("part", "h.number", "h.value")
@@ -70,6 +72,7 @@ def write_wide_text(
         data.unionByName(heads)
         .repartition("part")
         .sortWithinPartitions("part", "number", "value")
+        .select("part", "value")
         .write.partitionBy("part")
         .text(path)
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,13 +20,17 @@ def resolve_vintage(vintages: Mapping[int | str, str], year: int) -> str:
     return starts[max(valid)]
 
 
-def vintage_of(year: Column | str, vintages: DataFrame) -> Column:
-    """The same choice as a column: ``vintages`` has ``start_year`` and ``location``.
+def with_vintage(df: DataFrame, year: str, vintages: DataFrame, name: str = "location") -> DataFrame:
+    """The same choice for every row; a year before the first release has none.
 
-    The release table (a handful of rows) becomes one array; each fact row looks
-    it up by itself, with no join and no shuffle of the facts.
+    ``vintages`` has ``start_year`` and ``location``. The release table (a
+    handful of rows) becomes one array that each row looks through by itself:
+    no range join, no shuffle of the facts.
     """
-    year = F.col(year) if isinstance(year, str) else year
     releases = vintages.agg(F.collect_list(F.struct("start_year", "location"))).scalar()
-    valid = F.filter(releases, lambda r: r["start_year"] <= year)
-    return F.array_max(valid)["location"]
+    valid = F.filter("_releases", lambda r: r["start_year"] <= F.col(year))
+    return (
+        df.withColumn("_releases", releases)
+        .withColumn(name, F.array_max(valid)["location"])
+        .drop("_releases")
+    )
