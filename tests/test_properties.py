@@ -1,0 +1,132 @@
+"""Properties that hold for any input, on random small tables."""
+
+from collections import defaultdict
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from weftable.operators.compare import compare_sources
+from weftable.operators.spread import spread_one_sided, spread_two_sided
+from weftable.operators.weights import repartition_keys
+
+FEW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+COUNTRIES, SOURCES, INDUSTRIES = ["AT", "DE", "ROW"], ["p", "q", "r"], ["X", "Y", "Z"]
+
+pairs = st.sets(
+    st.tuples(st.sampled_from(SOURCES), st.sampled_from(INDUSTRIES)), min_size=1
+).filter(lambda s: {a for a, _ in s} == set(SOURCES))
+shares = st.fixed_dictionaries(
+    {(k, i): st.integers(1, 50) for k in COUNTRIES for i in INDUSTRIES}
+)
+label = st.tuples(st.sampled_from(COUNTRIES), st.sampled_from(SOURCES))
+flows = st.lists(st.tuples(label, label, st.integers(-99, 99)), min_size=1, max_size=25)
+
+
+def tables(spark, crosswalk, va, cells):
+    return (
+        spark.createDataFrame(sorted(crosswalk), "src string, industry string"),
+        spark.createDataFrame(
+            [(*k, float(v)) for k, v in va.items()], "country string, industry string, value double"
+        ),
+        spark.createDataFrame(
+            [(*a, *b, float(v)) for a, b, v in cells],
+            "resource_country string, resource_src string, use_country string, use_src string, value double",
+        ),
+    )
+
+
+def expected_weights(crosswalk, va):
+    weights = {}
+    for country in COUNTRIES:
+        for source in SOURCES:
+            industries = [i for s, i in crosswalk if s == source]
+            total = sum(va[country, i] for i in industries)
+            for i in industries:
+                weights[country, source, i] = va[country, i] / total
+    return weights
+
+
+@FEW
+@given(pairs, shares, flows)
+def test_two_sided_equals_pairwise_definition(spark, crosswalk, va, cells):
+    xw, reference, raw = tables(spark, crosswalk, va, cells)
+    key = repartition_keys(xw, reference, COUNTRIES)
+    weights = expected_weights(crosswalk, va)
+    expected = defaultdict(float)
+    for a, b, v in cells:
+        for (ca, sa, ia), wa in weights.items():
+            for (cb, sb, ib), wb in weights.items():
+                if (ca, sa) == a and (cb, sb) == b:
+                    expected[ca, ia, cb, ib] += v * wa * wb
+    found = {tuple(r)[:4]: r.value for r in spread_two_sided(raw, key).collect()}
+    assert found == pytest.approx(dict(expected), abs=1e-9)
+    assert sum(found.values()) == pytest.approx(sum(v for _, _, v in cells), abs=1e-9)
+
+
+@FEW
+@given(pairs, shares, flows)
+def test_sides_may_be_spread_in_either_order(spark, crosswalk, va, cells):
+    xw, reference, raw = tables(spark, crosswalk, va, cells)
+    key = repartition_keys(xw, reference, COUNTRIES)
+    weights = key.select("country", "src", "industry", "weight").collect()
+
+    def one_side(df, side):
+        small = spark.createDataFrame(
+            [tuple(r) for r in weights], "c string, s string, i string, w double"
+        )
+        return (
+            df.join(small, (F.col(f"{side}_country") == F.col("c")) & (F.col(f"{side}_src") == F.col("s")))
+            .withColumns({f"{side}_src": F.col("i"), "value": F.col("value") * F.col("w")})
+            .drop("c", "s", "i", "w")
+        )
+
+    def total(df):
+        sums = df.groupBy("resource_country", "resource_src", "use_country", "use_src").agg(F.sum("value").alias("v"))
+        return {tuple(r)[:4]: r.v for r in sums.collect()}
+
+    assert total(one_side(one_side(raw, "resource"), "use")) == pytest.approx(
+        total(one_side(one_side(raw, "use"), "resource")), abs=1e-9
+    )
+
+
+@FEW
+@given(pairs, shares)
+def test_weights_of_a_source_sum_to_one(spark, crosswalk, va):
+    xw, reference, _ = tables(spark, crosswalk, va, [(("AT", "p"), ("AT", "p"), 1)])
+    key = repartition_keys(xw, reference, COUNTRIES)
+    sums = key.groupBy("country", "src").agg(F.sum("weight").alias("w")).collect()
+    assert len(sums) == len(COUNTRIES) * len(SOURCES)
+    assert all(r.w == pytest.approx(1.0) for r in sums)
+
+
+@FEW
+@given(pairs, shares, st.dictionaries(label, st.integers(-50, 50), min_size=1))
+def test_one_sided_keeps_totals_of_complete_countries(spark, crosswalk, va, account):
+    xw, reference, _ = tables(spark, crosswalk, va, [(("AT", "p"), ("AT", "p"), 1)])
+    key = repartition_keys(xw, reference, COUNTRIES)
+    df = spark.createDataFrame(
+        [(*k, float(v)) for k, v in account.items()], "country string, src string, value double"
+    )
+    spread = {(r.country, r.industry): r.value for r in spread_one_sided(df, key).collect()}
+    for country in COUNTRIES:
+        if all((country, s) in account for s in SOURCES):
+            total = sum(account[country, s] for s in SOURCES)
+            assert sum(v for (k, _), v in spread.items() if k == country) == pytest.approx(total, abs=1e-9)
+        for i in {i for _, i in crosswalk}:
+            complete = all((country, s) in account for s, j in crosswalk if j == i)
+            assert (spread[country, i] is not None) == complete
+
+
+@FEW
+@given(st.lists(st.dictionaries(st.sampled_from("abcdef"), st.integers(1, 9)), min_size=2, max_size=4))
+def test_comparison_has_the_union_of_keys(spark, sources):
+    parts = {
+        f"S{n}": spark.createDataFrame([(k, float(v)) for k, v in keys.items()], "id string, value double")
+        for n, keys in enumerate(sources)
+    }
+    found = {r.id: [r[name] for name in parts] for r in compare_sources(parts, ["id"]).collect()}
+    assert found == {
+        k: [float(keys.get(k, 0)) for keys in sources] for k in set().union(*sources)
+    }
