@@ -25,9 +25,9 @@ def split_id(value: Column | str, sep: str = "_") -> tuple[Column, Column]:
 
 
 def lenient_double(value: Column | str) -> Column:
-    """Text to double; text that is no number becomes null instead of an error."""
+    """Text to double, blanks around it aside; text that is no number becomes null."""
     value = F.col(value) if isinstance(value, str) else value
-    return F.trim(value).try_cast("double")
+    return value.try_cast("double")
 
 
 def finite_or_null(value: Column | str) -> Column:

@@ -14,12 +14,42 @@ from weftable.sources.matrix import LabelledMatrix
 Z_KEYS = ("resource_country", "resource_industry", "use_country", "use_industry")
 
 
+def _targets(key: DataFrame) -> DataFrame:
+    """The common cells a key leads to as one sorted array; its size is that of the classification."""
+    return key.agg(F.sort_array(F.collect_set(F.struct("country", "industry"))).alias("_cells"))
+
+
 def _side(key: DataFrame, side: str) -> DataFrame:
-    return usable(key).select(
-        F.col("country").alias(f"{side}_country"),
-        F.col("src").alias(f"{side}_src"),
-        F.col("industry").alias(f"{side}_industry"),
-        F.col("weight").alias(f"_{side}_weight"),
+    """Usable key rows for one side, with the common cell as its place among the targets.
+
+    Matrix cells are then shuffled by two integers instead of four labels.
+    """
+    places = _targets(key).select(F.posexplode("_cells").alias(f"_{side}", "_cell")).select(
+        f"_{side}",
+        F.col("_cell.country").alias("country"),
+        F.col("_cell.industry").alias("industry"),
+    )
+    return (
+        usable(key)
+        .join(places, ["country", "industry"])
+        .select(
+            F.col("country").alias(f"{side}_country"),
+            F.col("src").alias(f"{side}_src"),
+            F.col(f"_{side}"),
+            F.col("weight").alias(f"_{side}_weight"),
+        )
+    )
+
+
+def _sum_products(weighted: DataFrame, key: DataFrame) -> DataFrame:
+    """Sum the weighted cells by their places and put the labels back."""
+    product = F.col("value") * F.col("_resource_weight") * F.col("_use_weight")
+    sums = weighted.groupBy("_resource", "_use").agg(null_sum(product).alias("value"))
+    targets = _targets(key).scalar()
+    cell = {side: F.get(targets, F.col(f"_{side}")) for side in ("resource", "use")}
+    return sums.select(
+        *[cell[side][part].alias(f"{side}_{part}") for side in cell for part in ("country", "industry")],
+        "value",
     )
 
 
@@ -30,11 +60,10 @@ def spread_two_sided(cells: DataFrame, key: DataFrame) -> DataFrame:
     itself and one aggregation sums the products; pairs of key rows are never
     formed. Partial aggregation runs before the only shuffle of the cells.
     """
-    joined = cells.join(_side(key, "resource"), ["resource_country", "resource_src"]).join(
+    weighted = cells.join(_side(key, "resource"), ["resource_country", "resource_src"]).join(
         _side(key, "use"), ["use_country", "use_src"]
     )
-    product = F.col("value") * F.col("_resource_weight") * F.col("_use_weight")
-    return joined.groupBy(*Z_KEYS).agg(null_sum(product).alias("value"))
+    return _sum_products(weighted, key)
 
 
 def spread_matrix(matrix: LabelledMatrix, key: DataFrame) -> DataFrame:
@@ -44,11 +73,11 @@ def spread_matrix(matrix: LabelledMatrix, key: DataFrame) -> DataFrame:
     use_src. The key meets the line labels before a line is unfolded and the
     column labels before the column dimension is broadcast.
     """
+    resource, use = ["resource_country", "resource_src"], ["use_country", "use_src"]
     keyed = matrix.with_rows(
-        lambda rows: rows.join(_side(key, "resource"), ["resource_country", "resource_src"])
-    ).with_columns(lambda columns: columns.join(_side(key, "use"), ["use_country", "use_src"]))
-    product = F.col("value") * F.col("_resource_weight") * F.col("_use_weight")
-    return keyed.cells().groupBy(*Z_KEYS).agg(null_sum(product).alias("value"))
+        lambda rows: rows.join(_side(key, "resource"), resource).drop(*resource)
+    ).with_columns(lambda columns: columns.join(_side(key, "use"), use).drop(*use))
+    return _sum_products(keyed.cells(), key)
 
 
 def spread_one_sided(account: DataFrame, key: DataFrame, extra: Sequence[str] = ()) -> DataFrame:

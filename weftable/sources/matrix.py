@@ -22,6 +22,11 @@ from weftable.sources.staging import stage
 _POSITION = "_pos"
 _FIELDS = "_fields"
 
+# Up to this many columns the column dimension is broadcast by hint. It has one
+# row per column and common industry of that column, so the bound holds for
+# whatever is joined to it. Wider ones are staged and planned by their size.
+BROADCAST_WIDTH = 50_000
+
 
 @dataclass(frozen=True)
 class LabelledMatrix:
@@ -29,7 +34,7 @@ class LabelledMatrix:
 
     rows: DataFrame
     columns: DataFrame
-    columns_changed: bool = False
+    width: int
 
     def with_rows(self, change: Callable[[DataFrame], DataFrame]) -> "LabelledMatrix":
         """Derive, filter or join on row labels; runs once per line."""
@@ -37,16 +42,17 @@ class LabelledMatrix:
 
     def with_columns(self, change: Callable[[DataFrame], DataFrame]) -> "LabelledMatrix":
         """Derive, filter or join on column labels; runs once per column."""
-        return replace(self, columns=change(self.columns), columns_changed=True)
+        return replace(self, columns=change(self.columns))
 
     def cells(self) -> DataFrame:
         """One row per cell: row labels, column labels and a double ``value``.
 
-        Text that is no number gives a null value. The column dimension is
-        staged when it was changed, so that the join on the position is planned
-        by its real size.
+        Text that is no number gives a null value.
         """
-        columns = stage(self.columns, "columns") if self.columns_changed else self.columns
+        if self.width <= BROADCAST_WIDTH:
+            columns = F.broadcast(self.columns)
+        else:
+            columns = stage(self.columns, "columns")
         labels = [name for name in self.rows.columns if name != _FIELDS]
         exploded = self.rows.select(*labels, F.posexplode(_FIELDS).alias(_POSITION, "_cell"))
         others = [name for name in columns.columns if name != _POSITION]
@@ -106,15 +112,13 @@ def read_matrix(
 
     # A label line is recognised by its own label fields, in the first block of
     # a file only; if the rest of it differs from the label lines read above,
-    # the parts do not belong together.
-    marks = list({tuple(h[:n_cols]) for h in header})
-    is_label = F.lit(False)
-    for mark in marks:
-        same = F.lit(True)
-        for i, text in enumerate(mark):
-            same = same & (label(i) == text)
-        is_label = is_label | same
-    is_label = (F.col("_start") == 0) & is_label
+    # the parts do not belong together. Only the start of a line is looked at.
+    def mark(text):
+        return F.translate(F.substring_index(text, sep, n_cols), f" {quote}", "")
+
+    is_label = (F.col("_start") == 0) & mark(F.col("value")).isin(
+        *[mark(F.lit(line)) for line in head]
+    )
     digests = [F.xxhash64(F.lit(line)) for line in dict.fromkeys(head)]
     foreign = is_label & ~F.xxhash64("value").isin(*digests)
     is_data = F.when(
@@ -130,4 +134,4 @@ def read_matrix(
             F.slice("_all", F.lit(n_cols + 1), F.greatest(F.size("_all") - n_cols, F.lit(0))).alias(_FIELDS),
         )
     )
-    return LabelledMatrix(rows, columns)
+    return LabelledMatrix(rows, columns, width)
