@@ -811,11 +811,10 @@ def vintage_asof(spark: SparkSession, folder: str) -> DataFrame:
     orders = t.table(spark, folder, "orders").select(
         F.year("o_orderdate").alias("year"), t.money("o_totalprice").alias("v")
     )
-    return (
-        vintages.with_vintage(orders, "year", releases)
-        .groupBy("year", "location")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("v").cast("double").alias("value"))
+    by_year = orders.groupBy("year").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("v").cast("double").alias("value")
     )
+    return vintages.with_vintage(by_year, "year", releases)
 
 
 # --- readers and writers -------------------------------------------------------------------------

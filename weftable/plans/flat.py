@@ -55,9 +55,9 @@ def classify_flat(flat: DataFrame, crosswalk: DataFrame, kept: DataFrame) -> Dat
             F.col("colIi"),
         ),
     )
-    return folded.select(
-        F.explode(F.array_compact(cells)).alias("cell"), F.col("obsValue").alias("value")
-    ).select("cell.*", "value")
+    return folded.select(F.inline(cells), F.col("obsValue").alias("value")).where(
+        "account IS NOT NULL"
+    )
 
 
 def reference_value_added(flat: DataFrame, crosswalk: DataFrame, kept: DataFrame) -> DataFrame:
