@@ -328,6 +328,17 @@ def test_weighted_checks_pass(weighted):
     )
 
 
+def test_rest_of_world_need_not_be_listed(spark, setting, weighted, tmp_path):
+    write_release(tmp_path, release_numbers())
+    crosswalk, kept = setting
+    va = spark.createDataFrame(
+        [(*k, v) for k, v in reference_numbers().items()], "country string, industry string, value double"
+    )
+    listed = kept.where("country <> 'ROW'")
+    aligned = align_weighted(read_release(spark, str(tmp_path)), crosswalk, listed, va, strict=True)
+    assert by_key(aligned.accounts.z) == pytest.approx(by_key(weighted.accounts.z))
+
+
 def test_strict_alignment_reports_lost_sectors(spark, setting, tmp_path):
     write_release(tmp_path, release_numbers())
     crosswalk, kept = setting

@@ -14,43 +14,17 @@ from weftable.sources.matrix import LabelledMatrix
 Z_KEYS = ("resource_country", "resource_industry", "use_country", "use_industry")
 
 
-def _targets(key: DataFrame) -> DataFrame:
-    """The common cells a key leads to as one sorted array; its size is that of the classification."""
-    return key.agg(F.sort_array(F.collect_set(F.struct("country", "industry"))).alias("_cells"))
-
-
 def _side(key: DataFrame, side: str) -> DataFrame:
-    """Usable key rows for one side, with the common cell as its place among the targets.
-
-    Matrix cells are then shuffled by two integers instead of four labels.
-    """
-    places = _targets(key).select(F.posexplode("_cells").alias(f"_{side}", "_cell")).select(
-        f"_{side}",
-        F.col("_cell.country").alias("country"),
-        F.col("_cell.industry").alias("industry"),
-    )
-    return (
-        usable(key)
-        .join(places, ["country", "industry"])
-        .select(
-            F.col("country").alias(f"{side}_country"),
-            F.col("src").alias(f"{side}_src"),
-            F.col(f"_{side}"),
-            F.col("weight").alias(f"_{side}_weight"),
-        )
+    return usable(key).select(
+        F.col("country").alias(f"{side}_country"),
+        F.col("src").alias(f"{side}_src"),
+        F.col("industry").alias(f"{side}_industry"),
+        F.col("weight").alias(f"_{side}_weight"),
     )
 
 
-def _sum_products(weighted: DataFrame, key: DataFrame) -> DataFrame:
-    """Sum the weighted cells by their places and put the labels back."""
-    product = F.col("value") * F.col("_resource_weight") * F.col("_use_weight")
-    sums = weighted.groupBy("_resource", "_use").agg(null_sum(product).alias("value"))
-    targets = _targets(key).scalar()
-    cell = {side: F.get(targets, F.col(f"_{side}")) for side in ("resource", "use")}
-    return sums.select(
-        *[cell[side][part].alias(f"{side}_{part}") for side in cell for part in ("country", "industry")],
-        "value",
-    )
+def _product():
+    return F.col("value") * F.col("_resource_weight") * F.col("_use_weight")
 
 
 def spread_two_sided(cells: DataFrame, key: DataFrame) -> DataFrame:
@@ -63,7 +37,27 @@ def spread_two_sided(cells: DataFrame, key: DataFrame) -> DataFrame:
     weighted = cells.join(_side(key, "resource"), ["resource_country", "resource_src"]).join(
         _side(key, "use"), ["use_country", "use_src"]
     )
-    return _sum_products(weighted, key)
+    return weighted.groupBy(*Z_KEYS).agg(null_sum(_product()).alias("value"))
+
+
+def _targets(key: DataFrame) -> DataFrame:
+    """The common cells a key leads to as one sorted array; its size is that of the classification."""
+    return key.agg(F.sort_array(F.collect_set(F.struct("country", "industry"))).alias("_targets"))
+
+
+def _placed_side(key: DataFrame, side: str) -> DataFrame:
+    """One side with the common cell as its place among the targets instead of its labels."""
+    places = (
+        _targets(key)
+        .select(F.posexplode("_targets").alias(f"_{side}", "_cell"))
+        .select(
+            f"_{side}",
+            F.col("_cell.country").alias(f"{side}_country"),
+            F.col("_cell.industry").alias(f"{side}_industry"),
+        )
+    )
+    labels = [f"{side}_country", f"{side}_industry"]
+    return _side(key, side).join(places, labels).drop(f"{side}_industry")
 
 
 def spread_matrix(matrix: LabelledMatrix, key: DataFrame) -> DataFrame:
@@ -71,13 +65,21 @@ def spread_matrix(matrix: LabelledMatrix, key: DataFrame) -> DataFrame:
 
     Rows carry resource_country and resource_src, columns use_country and
     use_src. The key meets the line labels before a line is unfolded and the
-    column labels before the column dimension is broadcast.
+    column labels before the column dimension is broadcast. Cells are shuffled
+    by two integers, the places of their targets; labels return after the sum.
     """
     resource, use = ["resource_country", "resource_src"], ["use_country", "use_src"]
     keyed = matrix.with_rows(
-        lambda rows: rows.join(_side(key, "resource"), resource).drop(*resource)
-    ).with_columns(lambda columns: columns.join(_side(key, "use"), use).drop(*use))
-    return _sum_products(keyed.cells(), key)
+        lambda rows: rows.join(_placed_side(key, "resource"), resource).drop(*resource)
+    ).with_columns(lambda columns: columns.join(_placed_side(key, "use"), use).drop(*use))
+    sums = keyed.cells().groupBy("_resource", "_use").agg(null_sum(_product()).alias("value"))
+
+    placed = sums.withColumn("_targets", _targets(key).scalar())
+    cell = {side: F.get("_targets", F.col(f"_{side}")) for side in ("resource", "use")}
+    return placed.select(
+        *[cell[side][part].alias(f"{side}_{part}") for side in cell for part in ("country", "industry")],
+        "value",
+    )
 
 
 def spread_one_sided(account: DataFrame, key: DataFrame, extra: Sequence[str] = ()) -> DataFrame:

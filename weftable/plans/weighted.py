@@ -168,11 +168,16 @@ def align_weighted(
 ) -> WeightedAlignment:
     """Align one release. Every matrix is scanned once per account it feeds.
 
+    Weights cover the kept countries and whatever the release folds to besides.
     The key serves all accounts and both sides of the transactions, so it is
     staged; the aligned transactions are staged because their check reads them
     again. With ``strict`` a failed check is an error.
     """
-    countries = stage(kept.select("country").distinct(), "countries")
+    listed = kept.select("country").distinct()
+    present = fold_countries(
+        release.factors.columns.select(F.col("region").alias("country")), listed, ["country"]
+    )
+    countries = stage(listed.unionByName(present).distinct(), "countries")
     key = stage(repartition_keys(crosswalk, reference_va, countries), "key")
     va_totals = stage(factor_totals(release.factors, countries), "factors")
 
