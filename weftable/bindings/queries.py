@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -580,8 +581,13 @@ def compare_written(spark: SparkSession, folder: str) -> DataFrame:
 def currency_convert(spark: SparkSession, folder: str) -> DataFrame:
     """Columns named value_* of a wide table at the rate of one year; others stay."""
     rates = spark.createDataFrame(
-        [(2019, c.RATE_LOCATION, 0.5), (2020, c.RATE_LOCATION, 0.75), (2020, "GBR", 0.25)],
-        "TIME_PERIOD int, LOCATION string, OBS_VALUE double",
+        pa.table(
+            {
+                "TIME_PERIOD": pa.array([2019, 2020, 2020], pa.int32()),
+                "LOCATION": [c.RATE_LOCATION, c.RATE_LOCATION, "GBR"],
+                "OBS_VALUE": [0.5, 0.75, 0.25],
+            }
+        )
     )
     amount = lambda flag: F.sum(F.when(F.col("flag") == flag, F.col("v"))).cast("double")
     totals = t.flows(spark, folder).groupBy("resource_country", "resource_type").agg(
@@ -806,7 +812,12 @@ def gas_factors(spark: SparkSession, folder: str) -> DataFrame:
 def vintage_asof(spark: SparkSession, folder: str) -> DataFrame:
     """Orders by the release that covers their year; earlier years have none."""
     releases = spark.createDataFrame(
-        [(1996, "first"), (1998, "second"), (2000, "third")], "start_year int, location string"
+        pa.table(
+            {
+                "start_year": pa.array([1996, 1998, 2000], pa.int32()),
+                "location": ["first", "second", "third"],
+            }
+        )
     )
     orders = t.table(spark, folder, "orders").select(
         F.year("o_orderdate").alias("year"), t.money("o_totalprice").alias("v")
