@@ -278,6 +278,13 @@ from rl cross join cl left join cell on cell.rl = rl.rl and cell.cl = cl.cl grou
 union all
 select 'VA', cl.country, cl.item, {none}, component, round(cast(sum(v) as double), 3)
 from cl join va_ on va_.cl = cl.cl where not dm group by 1, 2, 3, 4, 5
+"""
+    q["wide_release"] = q["wide_accounts"] + f"""
+union all
+select 'emissions', {_fold2('code2')}, {SECTION.format('wc.code')}, {none}, {none},
+       round(cast(sum(v) * 1000000 as double), 3)
+from em join iso3 on iso3.i = n left join iso2 on code3 = iso3.code join wc on wc.i = si
+where y = 2024 and event_type in ('click', 'view') group by 1, 2, 3, 4, 5
 """
     mapped = _values(
         sorted({(code, industry) for _, industry, codes in c.INDUSTRY_MAP for code in codes}),
@@ -304,6 +311,7 @@ union all
 select 'emissions', country, industry, {none}, {none}, round(cast(sum(v) * 1000 as double), 3)
 from em join fc on fc.i = si join mp on mp.code = fc.code group by 1, 2, 3
 """
+    q["flat_release"] = q["flat_accounts"]
     q["reference_value_added"] = flat_source + """
 select uc country, ik industry, cast(sum(dv) as double) as value
 from j where ik is not null and r in ('D21X31','OP_RES','OP_NRES','D1','D29X39','B2A3G')
@@ -363,6 +371,11 @@ select rc resource_country, rt resource_type,
        round(cast(sum(case when rf = 'N' then v end) as double) * 0.75e0, 5) value_n,
        cast(sum(tls) as double) quantity
 from flows group by 1, 2
+"""
+    q["rate_scan"] = """
+, rate as (select count(*) / 1000.0e0 x from orders where extract(year from o_orderdate) = 2000)
+select rc resource_country, round(cast(sum(v) as double) * any_value(x), 6) as value
+from flows cross join rate group by 1
 """
     flags = _values(
         [
@@ -388,6 +401,7 @@ marked as (
 cw as (select src, marked.raw raw_industry, industry, code from marked join mp on mp.raw = marked.raw)
 """
     q["crosswalk_build"] = crosswalk + "select src, raw_industry, industry, code from cw"
+    q["crosswalk_scan"] = q["crosswalk_build"]
     q["crosswalk_pairs"] = crosswalk + """
 select a.industry, sources, codes
 from (select industry, count(*) sources from (select distinct src, industry from cw) x group by 1) a

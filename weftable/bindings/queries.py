@@ -205,8 +205,9 @@ def d_recode(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def emissions_recode(spark: SparkSession, folder: str) -> DataFrame:
-    ghg = t.emissions(spark, folder).select(
+def _wide_ghg(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as the emissions table of the wide source."""
+    return t.emissions(spark, folder).select(
         F.col("year").alias("TIME_PERIOD"),
         F.when(F.col("event").isin("click", "view"), F.lit("S1")).otherwise(F.lit("S2")).alias(
             "EMISSIONS_SCOPE"
@@ -215,7 +216,10 @@ def emissions_recode(spark: SparkSession, folder: str) -> DataFrame:
         t.pick(t.WIDE_CODES, F.col("sector")).alias("ACTIVITY"),
         F.col("v").alias("OBS_VALUE"),
     )
-    kept = _kept_iso2(spark, folder)
+
+
+def emissions_recode(spark: SparkSession, folder: str) -> DataFrame:
+    ghg, kept = _wide_ghg(spark, folder), _kept_iso2(spark, folder)
     return wide.wide_emissions(ghg, kept, 2024).withColumn("value", _double())
 
 
@@ -341,6 +345,25 @@ def flat_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return _account_rows(accounts)
 
 
+def _write_table(df: DataFrame, path: str, sep: str = ",") -> None:
+    """A delimited table with a header, as releases have it."""
+    df.write.option("header", True).option("sep", sep).csv(path)
+
+
+def flat_release(spark: SparkSession, folder: str) -> DataFrame:
+    """The same accounts from a release folder: both files written, chosen by name and read."""
+    root = new_folder(spark, "flat_release")
+    _write_table(_flat_source(spark, folder), f"{root}/flatfile_eu-ic-io_ind-by-ind_24ed_2020.csv")
+    ghg = t.emissions(spark, folder).select(
+        t.pick(t.FLAT_CODES, F.col("sector")).alias("industry"),
+        F.col("country").alias("ref_area"),
+        F.col("v").alias("obs_value"),
+    )
+    _write_table(ghg, f"{root}/greenhouse-gas-footprints_2020-data.csv")
+    kept = _flat_kept(spark, folder)
+    return _account_rows(flat.align_flat_folder(spark, root, _full_crosswalk(spark), kept))
+
+
 def reference_value_added(spark: SparkSession, folder: str) -> DataFrame:
     source = _flat_source(spark, folder)
     return flat.reference_value_added(
@@ -348,7 +371,7 @@ def reference_value_added(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("value", _double())
 
 
-def _write_wide_source(spark: SparkSession, folder: str) -> str:
+def _write_wide_source(spark: SparkSession, folder: str, path: str) -> str:
     """Order lines as a published wide table: lines 1-4 transactions, 5-7 demand."""
     iso = lambda nation: t.pick(t.NATION_ISO3, F.col(nation))
     row = unite_id(iso("resource_nation"), t.pick(t.WIDE_CODES, F.col("resource_sector")))
@@ -375,12 +398,19 @@ def _write_wide_source(spark: SparkSession, folder: str) -> str:
             )
         ).alias("cell")
     ).select("cell.*")
-    path = new_folder(spark, "wide")
     return write_wide_text(cells, ["V1"], ["use"], path, [["V1"]], sep=",")
 
 
+def wide_release(spark: SparkSession, folder: str) -> DataFrame:
+    """The same accounts and emissions from a release folder, files chosen by name."""
+    root = new_folder(spark, "wide_release")
+    _write_wide_source(spark, folder, f"{root}/2024_SML.csv")
+    _write_table(_wide_ghg(spark, folder), f"{root}/{c.WIDE_EMISSIONS_FILE}")
+    return _account_rows(wide.align_wide_folder(spark, root, _kept_iso2(spark, folder), 2024))
+
+
 def wide_accounts(spark: SparkSession, folder: str) -> DataFrame:
-    path = _write_wide_source(spark, folder)
+    path = _write_wide_source(spark, folder, new_folder(spark, "wide"))
     kept = _kept_iso2(spark, folder)
     return _account_rows(wide.align_wide(tables.read_wide_table(spark, path), kept))
 
@@ -599,6 +629,26 @@ def currency_convert(spark: SparkSession, folder: str) -> DataFrame:
     return converted.withColumns({"value_a": F.round("value_a", 5), "value_n": F.round("value_n", 5)})
 
 
+def rate_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """A rate per year written and read as a rate table, one of them applied.
+
+    The rate of a year is its number of orders in thousands.
+    """
+    rates = (
+        t.table(spark, folder, "orders")
+        .groupBy(F.year("o_orderdate").alias("TIME_PERIOD"))
+        .agg((F.count(F.lit(1)) / 1000).alias("OBS_VALUE"))
+        .select("TIME_PERIOD", F.lit(c.RATE_LOCATION).alias("LOCATION"), "OBS_VALUE")
+    )
+    path = f"{new_folder(spark, 'rates')}/rates.csv"
+    _write_table(rates, path)
+    totals = t.flows(spark, folder).groupBy("resource_country").agg(
+        null_sum("v").cast("double").alias("value")
+    )
+    rate = convert.rate_of(tables.read_rates(spark, path), 2000)
+    return convert.convert_currency(totals, rate).withColumn("value", F.round("value", 6))
+
+
 # --- crosswalk, countries, lookups ----------------------------------------------------------
 
 
@@ -606,6 +656,13 @@ def crosswalk_build(spark: SparkSession, folder: str) -> DataFrame:
     return build_crosswalk(_one_hot(spark, folder))
 
 
+def crosswalk_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The same crosswalk from a written one-hot file."""
+    path = f"{new_folder(spark, 'crosswalk')}/crosswalk.csv"
+    _write_table(_one_hot(spark, folder), path)
+    return build_crosswalk(tables.read_crosswalk(spark, path))
+
+
 def crosswalk_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct pairs and codes: how many industries a label and labels an industry has."""
     crosswalk = build_crosswalk(_one_hot(spark, folder))
@@ -895,7 +952,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "emissions_recode": emissions_recode,
         "weighted_accounts": weighted_accounts,
         "wide_accounts": wide_accounts,
+        "wide_release": wide_release,
         "flat_accounts": flat_accounts,
+        "flat_release": flat_release,
         "reference_value_added": reference_value_added,
         "compare_z": compare_z,
         "compare_va": compare_va,
@@ -903,7 +962,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compare_emissions": compare_emissions,
         "compare_written": compare_written,
         "currency_convert": currency_convert,
+        "rate_scan": rate_scan,
         "crosswalk_build": crosswalk_build,
+        "crosswalk_scan": crosswalk_scan,
         "crosswalk_pairs": crosswalk_pairs,
         "country_fold": country_fold,
         "fold_unlisted": fold_unlisted,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Sequence
 
@@ -12,25 +11,36 @@ from pyspark.sql import functions as F
 from weftable import classification as c
 
 
-def list_files(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Paths below a folder. Only the listing is used, no file content is read."""
     return (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", recursive)
+        .option("recursiveFileLookup", True)
         .load(folder)
         .select("path")
     )
 
 
+def list_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, path) of what lies directly in a folder: files, and tables written as folders."""
+    inside = re.sub(r"^[a-z0-9]+:/*", "", folder).strip("/") + "/"
+    start = F.instr("path", F.lit(inside)) + F.lit(len(inside))
+    name = F.substring_index(F.substr("path", start), "/", 1)
+    return (
+        list_files(spark, folder)
+        .select(name.alias("name"), F.concat(F.substr("path", F.lit(1), start - 1), name).alias("path"))
+        .distinct()
+    )
+
+
 def find_file(spark: SparkSession, folder: str, patterns: Sequence[str]) -> str:
-    """The one file of a folder whose name matches every pattern.
+    """The one entry of a folder whose name matches every pattern.
 
     No match, or more than one, is an error: a scan must not guess its input.
     """
-    name = F.element_at(F.split("path", "/"), -1)
-    found = list_files(spark, folder)
+    found = list_entries(spark, folder)
     for pattern in patterns:
-        found = found.where(name.rlike(pattern))
+        found = found.where(F.col("name").rlike(pattern))
     paths = [row["path"] for row in found.orderBy("path").limit(2).collect()]
     if len(paths) != 1:
         raise FileNotFoundError(
@@ -64,12 +74,5 @@ def list_sources(spark: SparkSession, folder: str) -> list[str]:
 
     The folder of earlier comparisons is not a source.
     """
-    root = os.path.basename(folder.rstrip("/"))
-    below = F.regexp_extract("path", f"/{re.escape(root)}/([^/]+)/", 1)
-    names = (
-        list_files(spark, folder)
-        .select(below.alias("source"))
-        .where((F.col("source") != "") & (F.col("source") != c.COMPARISON_FOLDER))
-        .distinct()
-    )
-    return sorted(row["source"] for row in names.collect())
+    names = list_entries(spark, folder).where(F.col("name") != c.COMPARISON_FOLDER)
+    return sorted(row["name"] for row in names.collect())
