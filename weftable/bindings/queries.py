@@ -416,7 +416,7 @@ def wide_accounts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weighted_accounts(spark: SparkSession, folder: str) -> DataFrame:
-    """All four matrices written as text, read back and aligned by weights."""
+    """A release of four matrices and a unit table written as text, read back and aligned by weights."""
     keys = [
         "resource_country", "resource_src", "resource_type", "use_country", "use_src", "priority",
     ]
@@ -459,22 +459,17 @@ def weighted_accounts(spark: SparkSession, folder: str) -> DataFrame:
             )
         ).alias("f"),
     ).select(*PRODUCER, "f.component", "f.value")
-    write_wide_text(factors, ["component"], PRODUCER, f"{root}/factors.txt", one)
+    write_wide_text(factors, ["component"], PRODUCER, f"{root}/factor_inputs/F.txt", one)
 
     events = t.emissions(spark, folder)
     stressor = recode.map_values("event", {k: v[0] for k, v in t.EVENT_STRESSORS.items()})
     gases = events.select(stressor.alias("stressor"), "country", "src", F.col("v").alias("value"))
-    write_wide_text(gases, ["stressor"], ["country", "src"], f"{root}/emissions.txt", one)
+    write_wide_text(gases, ["stressor"], ["country", "src"], f"{root}/air_emissions/F.txt", one)
     units = events.select(stressor.alias("stressor"), F.lit("kg").alias("unit")).distinct()
+    _write_table(units, f"{root}/air_emissions/unit.txt", sep="\t")
 
-    release = weighted.MatrixRelease(
-        flows=tables.read_flow_matrix(spark, f"{root}/Z.txt"),
-        demand=tables.read_demand_matrix(spark, f"{root}/Y.txt"),
-        factors=tables.read_factor_matrix(spark, f"{root}/factors.txt"),
-        emissions=tables.read_emissions_matrix(spark, f"{root}/emissions.txt"),
-        units=stage(units, "units"),
-    )
     pairs = stage(t.crosswalk(spark, folder), "crosswalk")
+    release = weighted.read_release(spark, root)
     aligned = weighted.align_weighted(
         release, pairs, t.countries(spark, folder), t.reference_va(sums)
     )
