@@ -29,7 +29,11 @@ def _plain(value):
 def rows_of(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [tuple(_plain(row[i]) for i in order) for row in rows]
-    return sorted(columns), sorted(out, key=lambda row: [(x is None, str(type(x)), x) if x is not None else (True, "", 0) for x in row])
+
+    def place(row):
+        return [("", "") if x is None else (str(type(x)), x) for x in row]
+
+    return sorted(columns), sorted(out, key=place)
 
 
 def in_spark(df):

@@ -14,7 +14,7 @@ from weftable.bindings.text import write_wide_text
 from weftable.functions import recode
 from weftable.functions.aggregates import null_sum, zero_sum
 from weftable.functions.labels import split_id, unite_id
-from weftable.operators import checks, compare, convert, lookup, reshape, spread
+from weftable.operators import checks, convert, lookup, reshape, spread
 from weftable.operators.crosswalk import (
     build_crosswalk,
     code_industries,
