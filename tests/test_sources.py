@@ -124,6 +124,14 @@ def test_label_work_happens_before_cells(spark, tmp_path):
     assert [tuple(r) for r in part.cells().collect()] == [("AT", "p", "WA", "p", "ROW", 0.0)]
 
 
+def test_very_wide_matrix_stages_its_columns(spark, tmp_path, monkeypatch):
+    from weftable.sources import matrix as module
+
+    monkeypatch.setattr(module, "BROADCAST_WIDTH", 1)
+    path = write(tmp_path / "Z.txt", Z_LINES)
+    assert cells(tables.read_flow_matrix(spark, path))[1] == sorted(Z_CELLS, key=str)
+
+
 def test_flat_file_by_name_with_bad_numbers(spark, tmp_path):
     lines = [
         ["icsup", "refArea", "rowIi", "counterpartArea", "colIi", "obsValue"],
