@@ -143,6 +143,9 @@ def test_zero_value_added_gives_null_and_no_error(spark, example):
     found = weights(repartition_keys(crosswalk, va, COUNTRIES))
     assert found["AT", "q", "X"] is None
     assert found["ROW", "q", "Y"] == 0.0
+    split = weights(repartition_keys(crosswalk, va, COUNTRIES, equal_if_zero=True))
+    assert split["AT", "q", "X"] == split["AT", "q", "Y"] == 0.5
+    assert split["ROW", "q", "X"] == 1.0
 
 
 def test_zero_null_and_nan_weights_move_nothing(spark, example):

@@ -21,6 +21,7 @@ from weftable.operators.convert import rate_of
 from weftable.operators.crosswalk import build_crosswalk, industry_map
 from weftable.operators.fold import kept_countries
 from weftable.plans.flat import align_flat
+from weftable.plans.weighted import emission_totals
 from weftable.sources.tables import read_crosswalk, read_flat_file
 
 REGIONS = ["AT", "DE", "WA", "TW"]
@@ -328,6 +329,19 @@ def test_weighted_checks_pass(weighted):
     )
 
 
+def test_unknown_stressor_is_null_or_nothing(spark, setting, tmp_path):
+    write_release(tmp_path, release_numbers())
+    release, kept = read_release(spark, str(tmp_path)), setting[1]
+    known = release.units.where("stressor <> 'CH4 - air'")
+    totals = emission_totals(release.emissions, known, kept)
+    assert totals.where("value IS NOT NULL").count() == 0
+    zeroed = by_key(emission_totals(release.emissions, known, kept, unknown_as_zero=True))
+    expected = defaultdict(float)
+    for (s, (region, sector)), v in release_numbers()["e"].items():
+        expected[fold(region), sector] += v * {n: 0 if n.startswith("CH4") else g for n, _, g in STRESSORS}[s]
+    assert zeroed == dict(expected)
+
+
 def test_rest_of_world_need_not_be_listed(spark, setting, weighted, tmp_path):
     write_release(tmp_path, release_numbers())
     crosswalk, kept = setting

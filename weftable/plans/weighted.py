@@ -95,13 +95,17 @@ def demand_totals(demand: LabelledMatrix, kept: DataFrame, positive_only: bool =
     )
 
 
-def emission_totals(emissions: LabelledMatrix, units: DataFrame, kept: DataFrame) -> DataFrame:
+def emission_totals(
+    emissions: LabelledMatrix, units: DataFrame, kept: DataFrame, unknown_as_zero: bool = False
+) -> DataFrame:
     """CO2-equivalent emissions by (country, src), in the unit of the matrix.
 
-    A stressor without a unit row has no factor and makes its totals null.
+    A stressor without a unit row has no factor and makes its totals null, or
+    counts nothing with ``unknown_as_zero``.
     """
+    gwp = F.coalesce("gwp", F.lit(0)) if unknown_as_zero else F.col("gwp")
     placed = emissions.with_rows(
-        lambda r: r.join(gas_factors(units), "stressor", "left")
+        lambda r: r.join(gas_factors(units), "stressor", "left").withColumn("gwp", gwp)
     ).with_columns(lambda k: _place(k, kept, "region", "sector", "country", "src"))
     return placed.cells().groupBy("country", "src").agg(
         null_sum(F.col("value") * F.col("gwp")).alias("value")
