@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .boilerplate import drop_boilerplate
 from .fingerprint import fingerprints
+from .jaccard import jaccard_components
 from .pii import personal_data
 from .preference import preference_pairs, swapped_answers
 from .store import table
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(table(spark, folder, "documents"))
 
@@ -32,7 +37,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_fingerprints, op7_chat_formatting, op9_line_dedup, op10_pii)}
+    return {f.__name__: f for f in (op4_ngram_jaccard_join, op5_fingerprints, op7_chat_formatting, op9_line_dedup, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
