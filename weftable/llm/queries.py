@@ -9,9 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from .boilerplate import drop_boilerplate
 from .fingerprint import fingerprints
 from .jaccard import jaccard_components
+from .pieces import encode
 from .pii import personal_data
 from .preference import preference_pairs, swapped_answers
 from .store import table
+from .tokenbin import token_table
+
+
+#: Files of public tokenizers; other places are given by the operators' parameter.
+TOKENIZERS = {"pieces": "piece_bpe_32k.model", "bytes": "byte_bpe_50k.json"}
+
+
+def tokenizer_path(kind: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZERS[kind])
+
+
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encode(table(spark, folder, "documents"), tokenizer_path("pieces"))
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,6 +38,10 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(table(spark, folder, "documents"))
 
 
+def op6_token_binary(spark: SparkSession, folder: str) -> DataFrame:
+    return token_table(table(spark, folder, "documents"), tokenizer_path("bytes"))
+
+
 def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     pairs = swapped_answers(table(spark, folder, "conversations"))
     return preference_pairs(pairs, "conv_id", "side", "turn", "role", "text")
@@ -37,7 +57,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_ngram_jaccard_join, op5_fingerprints, op7_chat_formatting, op9_line_dedup, op10_pii)}
+    return {f.__name__: f for f in (op2_sentencepiece, op4_ngram_jaccard_join, op5_fingerprints, op6_token_binary, op7_chat_formatting, op9_line_dedup, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
