@@ -46,34 +46,39 @@ def separators(word: str) -> np.ndarray:
     return out
 
 
-def _byte_codes() -> np.ndarray:
-    codes = randoms(256, 7)
-    codes[0x41:0x5B] = codes[0x61:0x7B]  # A-Z as a-z
-    return codes
+_CODES = randoms(256, 7)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 
 
-_CODES = _byte_codes()
+def word_spans(texts: list[str], separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts as lower-cased bytes, where each word begins and ends, and where each text's words start.
 
-
-def word_hashes(texts: list[str], separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of all texts, and where each text's words start (one more entry than texts).
-
-    Words are runs of bytes that are no separators; A-Z count as a-z. Equal words have equal hashes.
+    Words are runs of bytes that are no separators; of letters only A-Z are lower-cased. The last array has
+    one more entry than there are texts.
     """
     parts = [t.encode("utf-8", "surrogatepass") for t in texts]
-    ends = np.cumsum([len(p) + 1 for p in parts], dtype=np.int64)
-    data = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
-    inside = ~separator[data]
-    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    if inside[0]:
-        edge = np.concatenate(([0], edge))
+    ends = np.cumsum([0] + [len(p) + 1 for p in parts], dtype=np.int64)
+    data = _LOWER[np.frombuffer(b"\n".join([*parts, b""]), dtype=np.uint8)]
+    inside = np.zeros(len(data) + 2, dtype=np.int8)
+    inside[1:-1] = ~separator[data]
+    edge = np.flatnonzero(np.diff(inside))
     first, last = edge[0::2], edge[1::2]
+    return data, first, last, np.searchsorted(first, ends).astype(np.int64)
+
+
+def span_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of each of the given runs of bytes; equal runs have equal hashes."""
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_CODES[data] * powers(_BASE, len(data)), out=total[1:])
-    hashes = mix((total[last] - total[first]) * powers(_BASE_INVERSE, len(data))[first] + (last - first).astype(np.uint64))
-    return hashes, np.searchsorted(first, np.concatenate(([0], ends))).astype(np.int64)
+    here = (total[last] - total[first]) * powers(_BASE_INVERSE, len(data) + 1)[first]
+    return mix(here + (last - first).astype(np.uint64))
+
+
+def word_hashes(texts: list[str], separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of all texts, and where each text's words start (one more entry than texts)."""
+    data, first, last, at = word_spans(texts, separator)
+    return span_hashes(data, first, last), at
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import toxicity
 from .boilerplate import drop_boilerplate
 from .fingerprint import fingerprints
 from .jaccard import jaccard_components
+from .learning import held_out
 from .pieces import encode
 from .pii import personal_data
 from .preference import preference_pairs, swapped_answers
@@ -26,6 +29,16 @@ def tokenizer_path(kind: str) -> str:
     return public_tokenizers.path(TOKENIZERS[kind])
 
 
+TOXIC_FROM = 0.3
+GOOD_FROM = 0.7
+
+
+def _with_decision(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "documents"), tokenizer_path("pieces"))
 
@@ -47,6 +60,12 @@ def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return preference_pairs(pairs, "conv_id", "side", "turn", "role", "text")
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    return _with_decision(toxicity.score(docs, model), TOXIC_FROM)
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return drop_boilerplate(docs, host="source", text="text", counts=True)
@@ -57,7 +76,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sentencepiece, op4_ngram_jaccard_join, op5_fingerprints, op6_token_binary, op7_chat_formatting, op9_line_dedup, op10_pii)}
+    return {f.__name__: f for f in (op2_sentencepiece, op4_ngram_jaccard_join, op5_fingerprints, op6_token_binary, op7_chat_formatting, op8_toxicity, op9_line_dedup, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
