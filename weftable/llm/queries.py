@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import quality, toxicity
 from .boilerplate import drop_boilerplate
+from .decontaminate import find_passages
 from .fingerprint import fingerprints
 from .jaccard import jaccard_components
 from .learning import held_out
@@ -39,10 +40,20 @@ def _with_decision(scores: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    return _with_decision(quality.score(docs, model), GOOD_FROM)
+
+
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "documents"), tokenizer_path("pieces"))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
 
@@ -76,7 +87,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sentencepiece, op4_ngram_jaccard_join, op5_fingerprints, op6_token_binary, op7_chat_formatting, op8_toxicity, op9_line_dedup, op10_pii)}
+    return {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_decontamination, op4_ngram_jaccard_join, op5_fingerprints, op6_token_binary, op7_chat_formatting, op8_toxicity, op9_line_dedup, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -361,3 +361,16 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     own = docs.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     found = own.mapInPandas(work, "key string, score double")
     return found.select(F.col("key").cast(docs.schema[key].dataType).alias(key), "score")
+
+
+def keep_below(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` that score below ``threshold``, with all their columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        values = texts.fillna("").tolist()
+        parts = [shared.value.scores(values[lo:hi]) for lo, hi in batches(values)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return docs.filter(scored(F.col(f"`{text}`")) < threshold)
