@@ -1,4 +1,8 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again by the next."""
+"""The corpus pipeline: stages over ``documents``, each written and read again by the next.
+
+The first four keep or change documents and return the columns of ``documents``; the last gives the kept
+documents' token ids.
+"""
 
 from __future__ import annotations
 
@@ -6,22 +10,55 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weftable.llm import toxicity
 from weftable.llm.boilerplate import drop_boilerplate
+from weftable.llm.decontaminate import drop_contaminated
+from weftable.llm.jaccard import jaccard_components, keep_one
+from weftable.llm.pieces import encode
+from weftable.llm.queries import TOXIC_FROM, tokenizer_path
 from weftable.llm.store import table, written
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the decision threshold; the labels are only learned from."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.keep_below(docs, model, TOXIC_FROM)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the boilerplate lines of their source."""
     return drop_boilerplate(docs, host="source", text="text")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("line_dedup", line_dedup)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one of smallest id."""
+    return keep_one(docs, jaccard_components(docs, n=5, percent=80))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids, exact`` of each document."""
+    return encode(docs, tokenizer_path("pieces"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("sentencepiece", tokenize),
+]
 
+#: SQL cannot express the network, the edit distance search or the segmentation.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return docs
