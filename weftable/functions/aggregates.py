@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weftable.functions.labels import finite_or_null
+
 
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -21,8 +23,8 @@ def null_sum(value: Column | str) -> Column:
 
 
 def zero_sum(value: Column | str) -> Column:
-    """Sum that counts missing values as zero, also when all are missing."""
-    return F.coalesce(F.sum(_column(value)), F.lit(0))
+    """Sum that counts missing values, NaN among them, as zero, also when all are missing."""
+    return F.coalesce(F.sum(finite_or_null(value)), F.lit(0))
 
 
 def row_total(*values: Column | str) -> Column:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,9 +48,16 @@ def section_recode(code: Column | str, compat: bool = False) -> Column:
     )
 
 
-def iso2(code: Column | str, table: Mapping[str, str] = c.ISO3_TO_ISO2) -> Column:
+@cache
+def iso3_to_iso2() -> Mapping[str, str]:
+    """ISO 3166 alpha-3 to alpha-2 of every country, as the Java runtime has them."""
+    locale = SparkContext.getOrCreate()._jvm.java.util.Locale
+    return {locale("", code).getISO3Country(): code for code in locale.getISOCountries()}
+
+
+def iso2(code: Column | str, table: Mapping[str, str] | None = None) -> Column:
     """ISO alpha-3 to alpha-2; an unknown code is null."""
-    return map_values(code, table)
+    return map_values(code, iso3_to_iso2() if table is None else table)
 
 
 def wide_demand_component(code: Column | str) -> Column:

@@ -1,36 +1,27 @@
-"""Finding input files on any storage Spark can list."""
+"""Finding input files on any storage that Hadoop's file system layer knows."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from weftable import classification as c
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths below a folder. Only the listing is used, no file content is read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select("path")
-    )
+def list_entries(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """(name, path) of what lies directly in a folder: files, and tables written as folders.
 
-
-def list_entries(spark: SparkSession, folder: str) -> DataFrame:
-    """(name, path) of what lies directly in a folder: files, and tables written as folders."""
-    inside = re.sub(r"^[a-z0-9]+:/*", "", folder).strip("/") + "/"
-    start = F.instr("path", F.lit(inside)) + F.lit(len(inside))
-    name = F.substring_index(F.substr("path", start), "/", 1)
-    return (
-        list_files(spark, folder)
-        .select(name.alias("name"), F.concat(F.substr("path", F.lit(1), start - 1), name).alias("path"))
-        .distinct()
-    )
+    One listing of one level by the storage itself; names are those it gives,
+    however the folder is written. Hidden entries are left out.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    storage = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not storage.exists(path):
+        raise FileNotFoundError(f"no folder {folder}")
+    entries = [(x.getPath().getName(), x.getPath().toString()) for x in storage.listStatus(path)]
+    return sorted(x for x in entries if not x[0].startswith((".", "_")))
 
 
 def find_file(spark: SparkSession, folder: str, patterns: Sequence[str]) -> str:
@@ -38,10 +29,8 @@ def find_file(spark: SparkSession, folder: str, patterns: Sequence[str]) -> str:
 
     No match, or more than one, is an error: a scan must not guess its input.
     """
-    found = list_entries(spark, folder)
-    for pattern in patterns:
-        found = found.where(F.col("name").rlike(pattern))
-    paths = [row["path"] for row in found.orderBy("path").limit(2).collect()]
+    entries = list_entries(spark, folder)
+    paths = [path for name, path in entries if all(re.search(p, name) for p in patterns)]
     if len(paths) != 1:
         raise FileNotFoundError(
             f"{'no' if not paths else 'more than one'} file matching {list(patterns)} in {folder}"
@@ -49,8 +38,10 @@ def find_file(spark: SparkSession, folder: str, patterns: Sequence[str]) -> str:
     return paths[0]
 
 
-def reference_flat_file(spark: SparkSession, folder: str, year: int) -> str:
-    return find_file(spark, folder, [c.REFERENCE_FLAT_PATTERN, str(year)])
+def reference_flat_file(
+    spark: SparkSession, folder: str, year: int, edition: str = c.REFERENCE_EDITION
+) -> str:
+    return find_file(spark, folder, [f"{c.REFERENCE_FLAT_PATTERN}_{re.escape(edition)}", str(year)])
 
 
 def flat_file(spark: SparkSession, folder: str) -> str:
@@ -74,5 +65,4 @@ def list_sources(spark: SparkSession, folder: str) -> list[str]:
 
     The folder of earlier comparisons is not a source.
     """
-    names = list_entries(spark, folder).where(F.col("name") != c.COMPARISON_FOLDER)
-    return sorted(row["name"] for row in names.collect())
+    return [name for name, _ in list_entries(spark, folder) if name != c.COMPARISON_FOLDER]

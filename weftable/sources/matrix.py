@@ -13,19 +13,17 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftable.functions.labels import lenient_double
+from weftable.functions.labels import finite_or_null, lenient_double
 from weftable.sources.staging import stage
 
 _POSITION = "_pos"
 _FIELDS = "_fields"
 
-# Up to this many columns the column dimension is broadcast by hint. It has one
-# row per column and common industry of that column, so the bound holds for
-# whatever is joined to it. Wider ones are staged and planned by their size.
-BROADCAST_WIDTH = 50_000
+# Lines looked at for the first line of data.
+_MOST_LABEL_LINES = 16
 
 
 @dataclass(frozen=True)
@@ -47,18 +45,31 @@ class LabelledMatrix:
     def cells(self) -> DataFrame:
         """One row per cell: row labels, column labels and a double ``value``.
 
-        Text that is no number gives a null value.
+        Text that is no number, or says that it is none (NaN), gives a null value.
+        The column dimension is staged, so its join with the cells is planned
+        by the bytes it has.
         """
-        if self.width <= BROADCAST_WIDTH:
-            columns = F.broadcast(self.columns)
-        else:
-            columns = stage(self.columns, "columns")
+        columns = stage(self.columns, "columns")
         labels = [name for name in self.rows.columns if name != _FIELDS]
         exploded = self.rows.select(*labels, F.posexplode(_FIELDS).alias(_POSITION, "_cell"))
         others = [name for name in columns.columns if name != _POSITION]
-        return exploded.join(columns, _POSITION).select(
-            *labels, *others, lenient_double("_cell").alias("value")
-        )
+        return exploded.join(columns, _POSITION).select(*labels, *others, _number("_cell").alias("value"))
+
+    def line_totals(self) -> DataFrame:
+        """One row per line: row labels, the sum of its cells and the sum of their sizes.
+
+        A line is summed where it lies, without unfolding it; a missing cell
+        makes both sums null.
+        """
+        labels = [name for name in self.rows.columns if name != _FIELDS]
+        zero = F.lit(0.0)
+        total = F.aggregate(_FIELDS, zero, lambda sum_, cell: sum_ + _number(cell))
+        size = F.aggregate(_FIELDS, zero, lambda sum_, cell: sum_ + F.abs(_number(cell)))
+        return self.rows.select(*labels, total.alias("value"), size.alias("scale"))
+
+
+def _number(cell: Column | str) -> Column:
+    return finite_or_null(lenient_double(cell))
 
 
 def _unquoted(text: str, quote: str) -> str:
@@ -68,70 +79,93 @@ def _unquoted(text: str, quote: str) -> str:
     return text
 
 
+def _is_number(text: str) -> bool:
+    try:
+        float(text)
+    except ValueError:
+        return False
+    return True
+
+
+def _label_lines(fields: list[list[str]], n_cols: int, least: int, path: str) -> int:
+    """How many leading lines hold labels: data begins at the first line with a number among its cells."""
+    for i in range(least, len(fields)):
+        if any(_is_number(cell) for cell in fields[i][n_cols:]):
+            return i
+    if len(fields) >= _MOST_LABEL_LINES:
+        raise ValueError(f"{path} has no number in its first {len(fields)} lines")
+    return len(fields)
+
+
 def read_matrix(
     spark: SparkSession,
     path: str,
     row_labels: Sequence[str],
-    column_labels: Sequence[str | None],
+    column_labels: Sequence[str],
     sep: str = "\t",
     quote: str = "",
     encoding: str = "UTF-8",
+    label_lines: int | None = None,
 ) -> LabelledMatrix:
     """Read a delimited text matrix, or a folder of parts of one matrix.
 
-    ``row_labels`` names the leading label fields of every line.
-    ``column_labels`` names the leading label lines, one name per line, with
-    ``None`` for a label line that is of no use. Every part starts with the
-    same label lines. Only those lines of one part come to the driver; their
-    length is the width of the matrix.
+    ``row_labels`` names the leading label fields of every line and
+    ``column_labels`` the leading label lines. Further label lines are
+    recognised by what they are: data begins at the first line with a number
+    among its cells, or after ``label_lines`` lines, which is an error if that
+    line has none. Every part starts with the same label lines. A line that is
+    longer or shorter than the label lines is an error. Only the label lines of
+    one part come to the driver; their length is the width of the matrix.
     """
-    n_rows, n_cols = len(column_labels), len(row_labels)
-    lines = (
-        spark.read.option("encoding", encoding)
-        .text(path)
-        .select("value", F.col("_metadata.file_block_start").alias("_start"))
-    )
-    head = [r["value"] for r in lines.where("_start = 0").select("value").head(n_rows)]
-    if len(head) < n_rows:
-        raise ValueError(f"{path} has fewer than {n_rows} label lines")
-    header = [[_unquoted(field, quote) for field in line.rstrip("\r").split(sep)] for line in head]
-    width = max(len(fields) for fields in header) - n_cols
-    for fields in header:
-        fields.extend([""] * (width + n_cols - len(fields)))
-
-    named = {name: fields[n_cols:] for name, fields in zip(column_labels, header) if name}
+    named, n_cols = len(column_labels), len(row_labels)
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("_start"))
+    text = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
+    lines = raw.select(F.rtrim(text, F.lit("\r")).alias("value"), "_start").where(F.length("value") > 0)
+    most = _MOST_LABEL_LINES if label_lines is None else label_lines + 1
+    head = lines.where("_start = 0").select("value", F.xxhash64("value").alias("digest")).head(max(most, named))
+    header = [[_unquoted(field, quote) for field in row["value"].split(sep)] for row in head]
+    if len(head) < named:
+        raise ValueError(f"{path} has fewer than {named} label lines")
+    count = _label_lines(header, n_cols, named, path) if label_lines is None else label_lines
+    if count < named or len(head) < count:
+        raise ValueError(f"{path} has fewer than {max(named, count)} label lines")
+    if label_lines is not None and len(header) > count and _label_lines(header, n_cols, count, path) != count:
+        raise ValueError(f"{path} has more than {count} label lines")
+    width = len(header[0]) - n_cols
+    if any(len(fields) != len(header[0]) for fields in header[:named]):
+        raise ValueError(f"the label lines of {path} differ in size")
+
+    labels = {name: fields[n_cols:] for name, fields in zip(column_labels, header)}
     columns = spark.createDataFrame(
-        pa.table({_POSITION: pa.array(range(width), pa.int32()), **named})
+        pa.table({_POSITION: pa.array(range(width), pa.int32()), **labels})
     )
 
-    fields = F.split(F.rtrim(F.col("value"), F.lit("\r")), re.escape(sep), -1)
-
     def label(i: int):
         text = F.trim(F.get(F.col("_all"), F.lit(i)))
         return F.trim(text, F.lit(quote)) if quote else text
 
     # A label line is recognised by its own label fields, in the first block of
     # a file only; if the rest of it differs from the label lines read above,
-    # the parts do not belong together. Only the start of a line is looked at.
+    # the parts do not belong together. Only the start of a line is looked at,
+    # and the plan holds those starts and digests, not the lines.
     def mark(text):
         return F.translate(F.substring_index(text, sep, n_cols), f" {quote}", "")
 
-    is_label = (F.col("_start") == 0) & mark(F.col("value")).isin(
-        *[mark(F.lit(line)) for line in head]
-    )
-    digests = [F.xxhash64(F.lit(line)) for line in dict.fromkeys(head)]
-    foreign = is_label & ~F.xxhash64("value").isin(*digests)
+    starts = dict.fromkeys(sep.join(row["value"].split(sep)[:n_cols]) for row in head[:count])
+    is_label = (F.col("_start") == 0) & mark(F.col("value")).isin(*[mark(F.lit(start)) for start in starts])
+    foreign = is_label & ~F.xxhash64("value").isin(*dict.fromkeys(row["digest"] for row in head[:count]))
     is_data = F.when(
         foreign, F.raise_error(F.lit(f"label lines differ between parts of {path}")).cast("boolean")
     ).otherwise(~is_label)
+    cells = F.when(
+        F.size("_all") == width + n_cols, F.slice("_all", F.lit(n_cols + 1), F.lit(max(width, 0)))
+    ).otherwise(
+        F.raise_error(F.concat(F.lit(f"a line of {path} has another size than its label lines: "), F.size("_all")))
+    )
 
     rows = (
-        lines.where(F.length("value") > 0)
-        .withColumn("_all", fields)
+        lines.withColumn("_all", F.split("value", re.escape(sep), -1))
         .where(is_data)
-        .select(
-            *[label(i).alias(name) for i, name in enumerate(row_labels)],
-            F.slice("_all", F.lit(n_cols + 1), F.greatest(F.size("_all") - n_cols, F.lit(0))).alias(_FIELDS),
-        )
+        .select(*[label(i).alias(name) for i, name in enumerate(row_labels)], cells.alias(_FIELDS))
     )
     return LabelledMatrix(rows, columns, width)

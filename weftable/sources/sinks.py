@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from weftable import classification as c
 from weftable.functions.labels import unite_id
@@ -29,6 +28,7 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("sep", c.ACCOUNT_SEPARATOR)
         .option("encoding", c.ACCOUNT_ENCODING)
         .option("nullValue", c.ACCOUNT_NULL)
+        .option("quoteAll", True)
         .csv(path)
     )
 
@@ -40,12 +40,11 @@ def write_account_csv(df: DataFrame, folder: str, account: str) -> None:
 def write_by_country(df: DataFrame, path: str, column: str = "resource_country") -> None:
     """Parquet with one folder per country; a rerun replaces only the countries it has.
 
-    One country may hold a third of all rows, so rows are spread over several
-    tasks per country instead of one.
+    One country may hold a third of all rows, so its rows are spread over as many
+    tasks as their bytes ask for.
     """
-    spread = F.pmod(F.xxhash64(*[x for x in df.columns if x != column]), F.lit(16))
     (
-        df.repartition(column, spread)
+        df.hint("rebalance", column)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)

@@ -4,40 +4,63 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
 
+_own: dict[str, str] = {}
+_scopes: list[list[str]] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of its machine.
+    Where none is named, a local session, whose tasks share its machine, gets
+    a folder of its own; on any other master that is an error.
     """
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError(f"set {_SETTING} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="weftable-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    return _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="weftable-"))
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """Path of a folder that does not exist yet, below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/weftable/{uuid.uuid4().hex}/{name}"
+    root = f"{shared_folder(spark).rstrip('/')}/weftable/{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(root)
+    return f"{root}/{name}"
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Owner of the folders made within it: they are deleted when it ends.
+
+    Results that read them must have been written or collected by then.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for root in _scopes.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once and continue from the written table.
 
-    The table survives lost executors, is read by any number of later jobs
-    without recomputing, and its file sizes are exact, so joins against it are
-    broadcast exactly when it is below ``spark.sql.autoBroadcastJoinThreshold``
-    and are shuffled otherwise.
+    The table survives lost executors and is read by any number of later jobs
+    without recomputing. Catalyst plans joins against it by the bytes of its
+    files, which are compressed, some three bytes for a row of a key: raise
+    ``spark.sql.sources.fileCompressionFactor`` where tables near the broadcast
+    threshold must be judged by their size in memory.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)

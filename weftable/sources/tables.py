@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from weftable import classification as c
 from weftable import schemas
-from weftable.functions.labels import lenient_double
+from weftable.functions.labels import finite_or_null, lenient_double
 from weftable.sources.matrix import LabelledMatrix, read_matrix
 
 
@@ -78,26 +78,26 @@ def read_wide_table(spark: SparkSession, path: str) -> LabelledMatrix:
     return read_matrix(spark, path, ["resource_id"], ["use_id"], sep=",", quote='"')
 
 
-# The three shapes of the matrix source: transactions (two label lines that
-# count and one more), demand, and factor inputs or emissions.
+# The three shapes of the matrix source: transactions, demand, and factor inputs
+# or emissions. Two label lines count; a third one may follow.
 
 
 def read_flow_matrix(spark: SparkSession, path: str) -> LabelledMatrix:
     return read_matrix(
-        spark, path, ["resource_region", "resource_sector"], ["use_region", "use_sector", None]
+        spark, path, ["resource_region", "resource_sector"], ["use_region", "use_sector"]
     )
 
 
 def read_demand_matrix(spark: SparkSession, path: str) -> LabelledMatrix:
-    return read_matrix(spark, path, ["region", "sector"], ["use_region", "component", None])
+    return read_matrix(spark, path, ["region", "sector"], ["use_region", "component"])
 
 
 def read_factor_matrix(spark: SparkSession, path: str) -> LabelledMatrix:
-    return read_matrix(spark, path, ["component"], ["region", "sector", None])
+    return read_matrix(spark, path, ["component"], ["region", "sector"])
 
 
 def read_emissions_matrix(spark: SparkSession, path: str) -> LabelledMatrix:
-    return read_matrix(spark, path, ["stressor"], ["region", "sector", None])
+    return read_matrix(spark, path, ["stressor"], ["region", "sector"])
 
 
 def select_by_pattern(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
@@ -131,4 +131,4 @@ def read_account_csv(spark: SparkSession, path: str, account: str, source: str =
         .csv(path)
     )
     keys = select_by_pattern(text, {**dict(_ACCOUNT_PATTERNS[account]), "value": "^value$"})
-    return keys.withColumn("value", lenient_double("value")).withColumnRenamed("value", source)
+    return keys.withColumn("value", finite_or_null(lenient_double("value"))).withColumnRenamed("value", source)
