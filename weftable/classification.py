@@ -10,6 +10,9 @@ from __future__ import annotations
 
 REST_OF_WORLD = "ROW"
 
+# Not of the classification: the industry of value that has no weights.
+UNWEIGHTED = "UNWEIGHTED"
+
 COUNTRIES = (
     "AT", "AU", "BE", "BG", "BR", "CA", "CH", "CN", "CY", "CZ", "DE", "DK",
     "EE", "ES", "FI", "FR", "GB", "GR", "HR", "HU", "ID", "IE", "IN", "IT",
@@ -109,7 +112,6 @@ WIDE_INDUSTRY_CODES = {
     "J62_63": "JC",
 }
 
-WIDE_LABEL_COLUMN = "V1"
 WIDE_TOTAL = "OUT"
 WIDE_VALUE_ADDED_ROWS = ("VA", "TLS")
 WIDE_DEMAND_CODES = ("HFCE", "NPISH", "GGFC", "GFCF", "INVNT", "DPABR")
@@ -125,20 +127,6 @@ WIDE_EMISSIONS_FACTOR = 1000000
 WIDE_EMISSIONS_FILE = "DF_SCOPE.csv"
 WIDE_FILE_PATTERN = "SML"
 
-# ISO 3166 alpha-3 to alpha-2 for the countries that can be kept. Any other
-# alpha-3 code ends in REST_OF_WORLD, so it needs no row.
-ISO3_TO_ISO2 = {
-    "AUT": "AT", "AUS": "AU", "BEL": "BE", "BGR": "BG", "BRA": "BR",
-    "CAN": "CA", "CHE": "CH", "CHN": "CN", "CYP": "CY", "CZE": "CZ",
-    "DEU": "DE", "DNK": "DK", "EST": "EE", "ESP": "ES", "FIN": "FI",
-    "FRA": "FR", "GBR": "GB", "GRC": "GR", "HRV": "HR", "HUN": "HU",
-    "IDN": "ID", "IRL": "IE", "IND": "IN", "ITA": "IT", "JPN": "JP",
-    "KOR": "KR", "LTU": "LT", "LUX": "LU", "LVA": "LV", "MLT": "MT",
-    "MEX": "MX", "NLD": "NL", "NOR": "NO", "POL": "PL", "PRT": "PT",
-    "ROU": "RO", "RUS": "RU", "SWE": "SE", "SVN": "SI", "SVK": "SK",
-    "TUR": "TR", "TWN": "TW", "USA": "US", "ZAF": "ZA",
-}
-
 # --- Fixed values: flat file source --------------------------------------------
 
 FLAT_VALUE_ADDED_ROWS = ("D21X31", "OP_RES", "OP_NRES", "D1", "D29X39", "B2A3G")
@@ -147,7 +135,8 @@ FLAT_DEMAND_PATTERN = "P3|P5"
 FLAT_EMISSIONS_FACTOR = 1000
 FLAT_FILE_PATTERNS = ("ind-by-ind", "csv", "flatfile")
 FLAT_EMISSIONS_PATTERN = "greenhouse"
-REFERENCE_FLAT_PATTERN = "flatfile_eu-ic-io_ind-by-ind_24ed"
+REFERENCE_FLAT_PATTERN = "flatfile_eu-ic-io_ind-by-ind"
+REFERENCE_EDITION = "24ed"
 
 # --- Fixed values: matrix source -------------------------------------------------
 
@@ -178,8 +167,6 @@ GWP_BY_GAS = (("CO2", 1), ("CH4", 28), ("N2O", 265), ("SF6", 23500))
 
 RATE_LOCATION = "EU27_2020"
 
-WIDE_VINTAGE_STARTS = (1995, 2001, 2006, 2011, 2016)
-
 ACCOUNT_SEPARATOR = ";"
 ACCOUNT_ENCODING = "ISO-8859-1"
 ACCOUNT_NULL = "NA"

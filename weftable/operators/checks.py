@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftable.functions.aggregates import null_sum
+from weftable.functions.aggregates import null_sum, zero_sum
 
 
 class CheckFailed(ValueError):
@@ -24,15 +24,18 @@ def conservation(
     """Totals of both sides per key: (keys, raw_total, aligned_total, conserved).
 
     A total that is missing on a side, or is poisoned by a missing value, is
-    not conserved. The tolerance is relative to the raw total.
+    not conserved. The tolerance is relative to the sum of the raw values' sizes
+    (of column ``scale``, if the raw rows are sums themselves), so that a total
+    that nets to zero can be conserved.
     """
-    before = raw.groupBy(*keys).agg(null_sum(value).cast("double").alias("raw_total"))
+    size = F.col("scale") if "scale" in raw.columns else F.abs(value)
+    before = raw.groupBy(*keys).agg(
+        null_sum(value).cast("double").alias("raw_total"), F.sum(size).cast("double").alias("_scale")
+    )
     after = aligned.groupBy(*keys).agg(null_sum(value).cast("double").alias("aligned_total"))
     difference = F.abs(F.col("raw_total") - F.col("aligned_total"))
-    return before.join(after, list(keys), "full").withColumn(
-        "conserved",
-        F.coalesce(difference <= F.lit(tolerance) * F.abs("raw_total"), F.lit(False)),
-    )
+    conserved = F.coalesce(difference <= F.lit(tolerance) * F.col("_scale"), F.lit(False))
+    return before.join(after, list(keys), "full").withColumn("conserved", conserved).drop("_scale")
 
 
 def key_conservation(totals: DataFrame, key: DataFrame, tolerance: float = 1e-9) -> DataFrame:
@@ -40,17 +43,17 @@ def key_conservation(totals: DataFrame, key: DataFrame, tolerance: float = 1e-9)
 
     Missing weights and totals count as zero on the distributed side.
     """
-    before = totals.groupBy("country").agg(null_sum("value").cast("double").alias("raw_total"))
+    before = totals.groupBy("country").agg(
+        null_sum("value").cast("double").alias("raw_total"), F.sum(F.abs("value")).cast("double").alias("_scale")
+    )
     after = (
         totals.join(key, ["country", "src"])
         .groupBy("country")
-        .agg(F.coalesce(F.sum(F.col("value") * F.col("weight")), F.lit(0.0)).alias("aligned_total"))
+        .agg(zero_sum(F.col("value") * F.col("weight")).cast("double").alias("aligned_total"))
     )
     difference = F.abs(F.col("raw_total") - F.col("aligned_total"))
-    return before.join(after, "country", "left").withColumn(
-        "conserved",
-        F.coalesce(difference <= F.lit(tolerance) * F.abs("raw_total"), F.lit(False)),
-    )
+    conserved = F.coalesce(difference <= F.lit(tolerance) * F.col("_scale"), F.lit(False))
+    return before.join(after, "country", "left").withColumn("conserved", conserved).drop("_scale")
 
 
 def coverage_gaps(labels: DataFrame, key: DataFrame, on: Sequence[str] = ("country", "src")) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftable import classification as c
 from weftable.functions.recode import warming_potential
+from weftable.operators.lookup import first_match
 
 
 def rate_of(rates: DataFrame, year: int, location: str = c.RATE_LOCATION) -> Column:
@@ -29,5 +30,13 @@ def convert_currency(df: DataFrame, rate: Column | float, columns: str = "value"
 
 
 def gas_factors(units: DataFrame) -> DataFrame:
-    """(stressor, gwp): the CO2-equivalent factor of every stressor of a unit table."""
-    return units.select("stressor", warming_potential("stressor", "unit").alias("gwp")).distinct()
+    """(stressor, gwp): the CO2-equivalent factor of every stressor of a unit table.
+
+    Of a stressor listed under several units the first line counts.
+    """
+    listed = units.select(
+        "stressor",
+        warming_potential("stressor", "unit").alias("gwp"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    return first_match(listed, ["stressor"], "_line").select("stressor", "gwp")

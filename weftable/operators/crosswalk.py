@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftable import classification as c
+from weftable.operators.checks import repeated_keys, require
+from weftable.sources.staging import stage
 
 
 def industry_map(spark: SparkSession) -> DataFrame:
@@ -50,9 +52,13 @@ def build_crosswalk(one_hot: DataFrame, mapping: DataFrame | None = None) -> Dat
 def code_industries(crosswalk: DataFrame) -> DataFrame:
     """One row per flat-file code with its industry, for use as a lookup.
 
-    Several raw industries may share a code; they agree on the industry.
+    Several raw industries may share a code, but must agree on the industry.
+    The table, some sixty rows, is staged: what it is built from is not built
+    again, and Catalyst sees how small it is.
     """
-    return crosswalk.select("code", "industry").distinct()
+    codes = stage(crosswalk.select("code", "industry").distinct(), "codes")
+    require(repeated_keys(codes, ["code"]), "codes with several industries")
+    return codes
 
 
 def source_industries(crosswalk: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftable import classification as c
 from weftable.functions.aggregates import null_sum, zero_sum
 from weftable.operators.weights import usable
 from weftable.sources.matrix import LabelledMatrix
@@ -40,6 +41,40 @@ def spread_two_sided(cells: DataFrame, key: DataFrame) -> DataFrame:
     return weighted.groupBy(*Z_KEYS).agg(null_sum(_product()).alias("value"))
 
 
+def _weighted_labels(key: DataFrame, side: str) -> DataFrame:
+    return usable(key).select(
+        F.col("country").alias(f"{side}_country"), F.col("src").alias(f"{side}_src"), F.lit(True).alias(f"_{side}_known")
+    ).distinct()
+
+
+def _without_weight(cells: DataFrame) -> DataFrame:
+    known = F.coalesce(F.col("_resource_known") & F.col("_use_known"), F.lit(False))
+    sums = cells.where(~known).groupBy("resource_country", "use_country").agg(null_sum("value").alias("value"))
+    return sums.withColumns({f"{side}_industry": F.lit(c.UNWEIGHTED) for side in ("resource", "use")}).select(
+        *Z_KEYS, "value"
+    )
+
+
+def unspread_two_sided(cells: DataFrame, key: DataFrame) -> DataFrame:
+    """What ``spread_two_sided`` leaves out for want of a weight, by pair of countries.
+
+    Together the two hold the whole value of the cells.
+    """
+    flagged = cells.join(
+        _weighted_labels(key, "resource"), ["resource_country", "resource_src"], "left"
+    ).join(_weighted_labels(key, "use"), ["use_country", "use_src"], "left")
+    return _without_weight(flagged)
+
+
+def unspread_matrix(matrix: LabelledMatrix, key: DataFrame) -> DataFrame:
+    """The same for a labelled matrix: lines and columns are flagged before a line is unfolded."""
+    resource, use = ["resource_country", "resource_src"], ["use_country", "use_src"]
+    flagged = matrix.with_rows(
+        lambda rows: rows.join(_weighted_labels(key, "resource"), resource, "left")
+    ).with_columns(lambda columns: columns.join(_weighted_labels(key, "use"), use, "left"))
+    return _without_weight(flagged.cells())
+
+
 def _targets(key: DataFrame) -> DataFrame:
     """The common cells a key leads to as one sorted array; its size is that of the classification."""
     return key.agg(F.sort_array(F.collect_set(F.struct("country", "industry"))).alias("_targets"))
