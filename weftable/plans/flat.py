@@ -16,9 +16,16 @@ from weftable.sources.locate import flat_emissions_file, flat_file
 from weftable.sources.tables import read_flat_emissions, read_flat_file
 
 
+def _codes(crosswalk: DataFrame) -> DataFrame:
+    return crosswalk if crosswalk.columns == ["code", "industry"] else code_industries(crosswalk)
+
+
 def classify_flat(flat: DataFrame, crosswalk: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of the flat file as classified cells; a row may serve several accounts."""
-    codes = code_industries(crosswalk)
+    """Rows of the flat file as classified cells; a row may serve several accounts.
+
+    ``crosswalk`` is a crosswalk or the lookup of codes already made from one.
+    """
+    codes = _codes(crosswalk)
     rows = codes.select(F.col("code").alias("rowIi"), F.col("industry").alias("_row_industry"))
     cols = codes.select(F.col("code").alias("colIi"), F.col("industry").alias("_col_industry"))
     coded = flat.join(rows, "rowIi", "left").join(cols, "colIi", "left")
@@ -62,7 +69,7 @@ def classify_flat(flat: DataFrame, crosswalk: DataFrame, kept: DataFrame) -> Dat
 
 def reference_value_added(flat: DataFrame, crosswalk: DataFrame, kept: DataFrame) -> DataFrame:
     """Value added (country, industry, value) of the flat file, the base of the weights."""
-    codes = code_industries(crosswalk).withColumnRenamed("code", "colIi")
+    codes = _codes(crosswalk).withColumnRenamed("code", "colIi")
     rows = flat.where(
         F.col("rowIi").isin(*c.FLAT_VALUE_ADDED_ROWS) & ~F.col("colIi").rlike(c.FLAT_DEMAND_PATTERN)
     )
@@ -74,7 +81,7 @@ def reference_value_added(flat: DataFrame, crosswalk: DataFrame, kept: DataFrame
 
 def flat_emissions(ghg: DataFrame, crosswalk: DataFrame, kept: DataFrame) -> DataFrame:
     """Emissions in tonnes of the listed industries."""
-    codes = code_industries(crosswalk).select(
+    codes = _codes(crosswalk).select(
         F.col("code").alias("industry"), F.col("industry").alias("_industry")
     )
     folded = fold_countries(ghg.join(codes, "industry"), kept, ["ref_area"])
@@ -87,8 +94,9 @@ def flat_emissions(ghg: DataFrame, crosswalk: DataFrame, kept: DataFrame) -> Dat
 def align_flat(
     flat: DataFrame, crosswalk: DataFrame, kept: DataFrame, ghg: DataFrame | None = None
 ) -> Accounts:
-    totals = total_by_cell(classify_flat(flat, crosswalk, kept), "flat")
-    emissions = None if ghg is None else flat_emissions(ghg, crosswalk, kept)
+    codes = _codes(crosswalk)
+    totals = total_by_cell(classify_flat(flat, codes, kept), "flat")
+    emissions = None if ghg is None else flat_emissions(ghg, codes, kept)
     return Accounts(take_z(totals), take_va(totals), take_d(totals), emissions)
 
 

@@ -14,7 +14,7 @@ from weftable.operators.checks import conservation, coverage_gaps, key_conservat
 from weftable.operators.convert import gas_factors
 from weftable.operators.crosswalk import grid
 from weftable.operators.fold import fold_countries
-from weftable.operators.spread import spread_dense, spread_matrix, spread_one_sided
+from weftable.operators.spread import spread_dense, spread_matrix, spread_one_sided, unspread_matrix
 from weftable.operators.weights import repartition_keys
 from weftable.schemas import Accounts
 from weftable.sources.matrix import LabelledMatrix
@@ -74,7 +74,7 @@ def factor_totals(factors: LabelledMatrix, kept: DataFrame) -> DataFrame:
 def demand_totals(demand: LabelledMatrix, kept: DataFrame, positive_only: bool = True) -> DataFrame:
     """Final demand by (country, src, component, counterpartarea).
 
-    Columns without a common component are left out before lines are unfolded.
+    Columns without a common component meet no cell: the join on position drops theirs.
     """
     placed = demand.with_rows(
         lambda r: _place(r, kept, "region", "sector", "country", "src")
@@ -145,9 +145,14 @@ def weighted_emissions(totals: DataFrame, key: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class WeightedAlignment:
-    """Aligned accounts, the key used, and the checks that belong to them."""
+    """Aligned accounts, the key used, and the checks that belong to them.
+
+    ``unweighted`` has the transactions that found no weights, by pair of
+    countries; it is empty if no label lacks one.
+    """
 
     accounts: Accounts
+    unweighted: DataFrame
     key: DataFrame
     key_check: DataFrame
     z_check: DataFrame
@@ -155,7 +160,7 @@ class WeightedAlignment:
 
     def require_sound(self) -> "WeightedAlignment":
         """Raise unless all totals are handed on and every label is covered."""
-        require(self.gaps.where("gap <> 'unused'"), "labels without weight")
+        require(self.gaps, "labels without counterpart or weight")
         require(self.key_check.where("NOT conserved"), "weights lose value added")
         require(self.z_check.where("NOT conserved"), "alignment loses transactions")
         return self
@@ -168,14 +173,15 @@ def align_weighted(
     reference_va: DataFrame,
     positive_demand_only: bool = True,
     dense_demand: bool = True,
-    strict: bool = False,
+    strict: bool = True,
 ) -> WeightedAlignment:
     """Align one release. Every matrix is scanned once per account it feeds.
 
     Weights cover the kept countries and whatever the release folds to besides.
     The key serves all accounts and both sides of the transactions, so it is
     staged; the aligned transactions are staged because their check reads them
-    again. With ``strict`` a failed check is an error.
+    again. The check's other side sums each line where it lies, in a pass of its
+    own. A failed check is an error, unless ``strict`` is off.
     """
     listed = kept.select("country").distinct()
     present = fold_countries(
@@ -188,7 +194,6 @@ def align_weighted(
     flows = placed_flows(release.flows, countries)
     z = stage(spread_matrix(flows, key), "z")
 
-    raw = flows.cells().groupBy("resource_country").agg(null_sum("value").alias("value"))
     labels = flows.rows.select(
         F.col("resource_country").alias("country"), F.col("resource_src").alias("src")
     ).unionByName(
@@ -210,9 +215,10 @@ def align_weighted(
                 emission_totals(release.emissions, release.units, countries), key
             ),
         ),
+        unweighted=unspread_matrix(flows, key),
         key=key,
         key_check=key_conservation(sector_va, key),
-        z_check=conservation(raw, z, ["resource_country"]),
+        z_check=conservation(flows.line_totals(), z, ["resource_country"]),
         gaps=coverage_gaps(labels, key),
     )
     return aligned.require_sound() if strict else aligned

@@ -19,7 +19,7 @@ from weftable.sources.tables import read_wide_emissions, read_wide_table
 
 
 def _decoded(
-    labels: DataFrame, label: str, side: str, kept: DataFrame, iso: Mapping[str, str], compat: bool
+    labels: DataFrame, label: str, side: str, kept: DataFrame, iso: Mapping[str, str] | None, compat: bool
 ) -> DataFrame:
     """Country and industry of labels such as ``AUT_C17_18``, one row per label."""
     code = wide_code(F.substr(F.col(label), F.lit(5)))
@@ -36,7 +36,7 @@ def _decoded(
 def classify_wide(
     table: LabelledMatrix,
     kept: DataFrame,
-    iso: Mapping[str, str] = c.ISO3_TO_ISO2,
+    iso: Mapping[str, str] | None = None,
     compat: bool = False,
 ) -> DataFrame:
     """Cells of the wide table as classified cells.
@@ -84,7 +84,7 @@ def wide_emissions(
     ghg: DataFrame,
     kept: DataFrame,
     year: int,
-    iso: Mapping[str, str] = c.ISO3_TO_ISO2,
+    iso: Mapping[str, str] | None = None,
     compat: bool = False,
 ) -> DataFrame:
     """Emissions in tonnes of one year and of direct scope."""
@@ -106,7 +106,7 @@ def align_wide(
     kept: DataFrame,
     ghg: DataFrame | None = None,
     year: int | None = None,
-    iso: Mapping[str, str] = c.ISO3_TO_ISO2,
+    iso: Mapping[str, str] | None = None,
     compat: bool = False,
 ) -> Accounts:
     totals = total_by_cell(classify_wide(table, kept, iso, compat), "wide")
@@ -115,9 +115,14 @@ def align_wide(
 
 
 def align_wide_folder(
-    spark: SparkSession, folder: str, kept: DataFrame, year: int, compat: bool = False
+    spark: SparkSession,
+    folder: str,
+    kept: DataFrame,
+    year: int,
+    iso: Mapping[str, str] | None = None,
+    compat: bool = False,
 ) -> Accounts:
     """The same from a release folder; both of its files must be there."""
     ghg = read_wide_emissions(spark, wide_emissions_file(spark, folder))
     table = read_wide_table(spark, wide_table_file(spark, folder))
-    return align_wide(table, kept, ghg, year, compat=compat)
+    return align_wide(table, kept, ghg, year, iso, compat)
