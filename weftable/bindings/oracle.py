@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from weftable import classification as c
 from weftable.bindings import tables as t
 
 
@@ -58,7 +57,27 @@ z as (select rc, rs, uc, us, cast(sum(v) as double) v from flows group by 1, 2,
 """
 
 ISO3 = f"iso3 as {_numbered(t.NATION_ISO3)}"
-ISO2 = f"iso2 as {_values(list(c.ISO3_TO_ISO2.items()), 'code3, code2')}"
+# Written out here, so that an error in the library's own tables shows.
+ISO2 = """iso2 as (select * from (values
+  ('ZAF', 'ZA'), ('USA', 'US'), ('CHN', 'CN'), ('AUT', 'AT'), ('SAU', 'SA'), ('NGA', 'NG'), ('CAN', 'CA'),
+  ('IND', 'IN'), ('DEU', 'DE'), ('ISR', 'IL'), ('EGY', 'EG'), ('MEX', 'MX'), ('IDN', 'ID'), ('FRA', 'FR'),
+  ('TUR', 'TR'), ('MAR', 'MA'), ('BRA', 'BR'), ('JPN', 'JP'), ('GRC', 'GR'), ('ARE', 'AE'), ('KEN', 'KE'),
+  ('ARG', 'AR'), ('KOR', 'KR'), ('GBR', 'GB'), ('QAT', 'QA')) as v(code3, code2))"""
+MAPPED = """(select * from (values
+  ('A01', 'A01T02'), ('A02', 'A01T02'), ('A03', 'A03'), ('B', 'BZ'), ('C10T12', 'C10T12'), ('C17', 'C17T18'),
+  ('C18', 'C17T18'), ('C31_32', 'CM'), ('C33', 'CM'), ('D35', 'D35'), ('E36', 'EZ'), ('E37T39', 'EZ'), ('F', 'FZ'),
+  ('G45', 'GZ'), ('G46', 'GZ'), ('H49', 'H49'), ('I', 'IZ'), ('J58', 'JA'), ('J62_63', 'JC'), ('K64', 'KZ'),
+  ('L', 'LZ'), ('M71', 'MZ'), ('O84', 'OZ'), ('T', 'TZ')) as v(code, industry))"""
+MARKED = """(select * from (values
+  ('D01T02', 'A01T02', 'A01'), ('D01T02', 'A01T02', 'A02'), ('D05T06', 'BZ', 'B'), ('D07T08', 'BZ', 'B'),
+  ('D45T47', 'GZ', 'G45'), ('D45T47', 'GZ', 'G46'), ('D45T47', 'GZ', 'G47'), ('D61', 'J61', 'J61'),
+  ('D69T75', 'MZ', 'M69_70'), ('D69T75', 'MZ', 'M71'), ('D69T75', 'MZ', 'M72'), ('D69T75', 'MZ', 'M73'),
+  ('D69T75', 'MZ', 'M74_75'), ('D99', 'UZ', 'U')) as v(raw, industry, code))"""
+KEPT_CODES = (
+    "'AT', 'AU', 'BE', 'BG', 'BR', 'CA', 'CH', 'CN', 'CY', 'CZ', 'DE', 'DK', 'EE', 'ES', 'FI', 'FR', 'GB', 'GR',"
+    " 'HR', 'HU', 'ID', 'IE', 'IN', 'IT', 'JP', 'KR', 'LT', 'LU', 'LV', 'MT', 'MX', 'NL', 'NO', 'PL', 'PT', 'RO',"
+    " 'RU', 'SE', 'SI', 'SK', 'TR', 'US', 'ZA', 'SA', 'KE'"
+)
 WIDE = f"wc as {_numbered(t.WIDE_CODES)}"
 FLAT = f"fc as {_numbered(t.FLAT_CODES)}"
 VAC = f"vc as {_numbered(t.VALUE_ADDED_CODES)}"
@@ -132,6 +151,10 @@ select kr.country || '_' || kr.industry resource_id, ku.country || '_' || ku.ind
        round(sum(z.v * kr.w * ku.w), 3) as value
 from z join ky kr on kr.country = rc and kr.lib = rs join ky ku on ku.country = uc and ku.lib = us
 where kr.w <> 0 and ku.w <> 0 group by 1, 2
+union all
+select rc || '_UNWEIGHTED', uc || '_UNWEIGHTED', round(sum(v), 3) from z
+where not exists (select 1 from ky where country = rc and lib = rs and w <> 0)
+   or not exists (select 1 from ky where country = uc and lib = us and w <> 0) group by 1, 2
 """
     q["repartition_key"] = "select country, lib src, industry, round(w, 9) weight from ky"
     q["key_conservation"] = """
@@ -243,6 +266,10 @@ select 'Z' account, kr.country a, kr.industry b, ku.country c, ku.industry d,
 from dense join ky kr on kr.country = rc and kr.lib = rs join ky ku on ku.country = uc and ku.lib = us
 where kr.w <> 0 and ku.w <> 0 group by 1, 2, 3, 4, 5
 union all
+select 'Z', rc, 'UNWEIGHTED', uc, 'UNWEIGHTED', round(sum(v), 3) from dense
+where not exists (select 1 from ky where country = rc and lib = rs and w <> 0)
+   or not exists (select 1 from ky where country = uc and lib = us and w <> 0) group by 1, 2, 3, 4, 5
+union all
 select 'VA', g.country, g.industry, {none}, g.component,
        case when count(v * w) = count(*) then round(sum(v * w), 3) end
 from g left join y on y.country = g.country and y.lib = g.lib and y.component = g.component
@@ -286,12 +313,8 @@ select 'emissions', {_fold2('code2')}, {SECTION.format('wc.code')}, {none}, {non
 from em join iso3 on iso3.i = n left join iso2 on code3 = iso3.code join wc on wc.i = si
 where y = 2024 and event_type in ('click', 'view') group by 1, 2, 3, 4, 5
 """
-    mapped = _values(
-        sorted({(code, industry) for _, industry, codes in c.INDUSTRY_MAP for code in codes}),
-        "code, industry",
-    )
     flat_source = f"""
-, {FLAT}, {VAC}, mp as {mapped},
+, {FLAT}, {VAC}, mp as {MAPPED},
 s as (
   select rc, uc, dv, case when ln in (4, 5) then vc.code else fr.code end r,
          case when ln in (6, 7) then {FLAT_COMPONENT.format('pr')} when ln in (4, 5) then fr.code else fu.code end k
@@ -331,9 +354,8 @@ from j where ik is not null and r in ('D21X31','OP_RES','OP_NRES','D1','D29X39',
         "id, counterpartarea, component",
     )
     q["compare_emissions"] = _compare(
-        "select case event_type when 'click' then 'A' when 'view' then 'N' else 'R' end f,"
-        " country || '_' || lib id, sum(v) v from em where event_type in ('click', 'view', 'purchase')"
-        " group by 1, 2",
+        "select case event_type when 'click' then 'A' when 'error' then 'A' when 'purchase' then 'R' else 'N' end f,"
+        " country || '_' || lib id, sum(v) v from em group by 1, 2",
         "id",
         money=False,
     )
@@ -388,16 +410,12 @@ from flows cross join rate group by 1
         ],
         "kind, raw",
     )
-    codes = _values(
-        [(raw, industry, code) for raw, industry, listed in c.INDUSTRY_MAP for code in listed],
-        "raw, industry, code",
-    )
     crosswalk = f"""
-, fl as {flags}, mp as {codes},
+, fl as {flags}, mp as {MARKED},
 marked as (
   select distinct case when p_brand = 'Brand#25' then 'Extra-territorial organizations and bodies' else p_brand end src,
          case when p_brand = 'Brand#25' then 'D99' else fl.raw end raw
-  from part join fl on kind = p_type where p_size % 3 = 0),
+  from part join fl on kind = p_type),
 cw as (select src, marked.raw raw_industry, industry, code from marked join mp on mp.raw = marked.raw)
 """
     q["crosswalk_build"] = crosswalk + "select src, raw_industry, industry, code from cw"
@@ -474,9 +492,8 @@ select {SECTION.format('code')} industry, {COMPAT_SECTION.format('code')} compat
        cast(sum(v) as double) as value
 from flows join wc on i = ri group by 1, 2
 """
-    listed = ", ".join(f"'{x}'" for x in c.COUNTRIES)
     q["iso_map"] = f""", {ISO3}, {ISO2}
-select case when code2 in ({listed}) then code2 else 'ROW' end country, count(*) n
+select case when code2 in ({KEPT_CODES}) then code2 else 'ROW' end country, count(*) n
 from customer join iso3 on i = c_nationkey left join iso2 on code3 = code group by 1
 """
     q["regex_component_filter"] = f"""
@@ -510,6 +527,31 @@ select r.rc resource_country, r.rs resource_src, k.uc use_country, k.us use_src,
        cast(coalesce(v, 0) as double) as value
 from (select distinct rc, rs from flows) r cross join (select distinct uc, us from flows) k
 left join s on s.rc = r.rc and s.rs = r.rs and s.uc = k.uc and s.us = k.us
+"""
+    q["matrix_two_labels"] = """
+, s as (select rc, rs, uc, us, sum(tls) v from flows group by 1, 2, 3, 4)
+select r.rc resource_country, r.rs resource_src, k.uc use_country, k.us use_src,
+       cast(coalesce(v, 0) as double) as value
+from (select distinct rc, rs from flows) r cross join (select distinct uc, us from flows) k
+left join s on s.rc = r.rc and s.rs = r.rs and s.uc = k.uc and s.us = k.us
+union all
+select rc, rs, cast(null as varchar), cast(null as varchar), cast(sum(v) as double) from s group by 1, 2
+"""
+    q["nan_demand"] = """
+, s as (
+  select rc country, rs src, uc counterpartarea, sum(dv) v, case pr when '1-URGENT' then 'P3_S13'
+    when '2-HIGH' then 'P3_S14' when '3-MEDIUM' then 'P51G' when '5-LOW' then 'P5M' end component
+  from flows where not (uc = 'ROW' and pr = '5-LOW') group by 1, 2, 3, pr)
+select country, src, component, counterpartarea, round(cast(v as double), 3) as value
+from s where v > 0 and component is not null
+"""
+    q["gas_factors_first"] = f""", st as {stressors},
+x as (
+  select stressor, v, case when event = 'view' then 1 when stressor like '%CO2%' then 1
+         when stressor like '%CH4%' then 28 when stressor like '%N2O%' then 265
+         when stressor like '%SF6%' then 23500 else 0 end gwp
+  from em join st on event = event_type)
+select stressor, gwp, cast(sum(v * gwp) as double) as value from x group by 1, 2
 """
     q["csv_roundtrip"] = """
 select uc || '_' || us use_id, rc || '_' || rt resource_id, cast(sum(dv) as double) as value

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,15 @@ PRODUCER = ["resource_country", "resource_src"]
 PRODUCER_AS_KEY = {"resource_country": "country", "resource_src": "src"}
 RATE = 0.9
 
+# Demand label of a matrix played by each order priority; one has no component.
+DEMAND_LABELS = {
+    "1-URGENT": "Final consumption expenditure by government",
+    "2-HIGH": "Final consumption expenditure by households",
+    "3-MEDIUM": "Gross fixed capital formation",
+    "4-NOT SPECIFIED": "Exports: Total (fob)",
+    "5-LOW": "Changes in inventories",
+}
+
 
 def _double(name: str = "value") -> Column:
     return F.col(name).cast("double").alias(name)
@@ -48,27 +58,29 @@ def _rounded(name: str = "value") -> Column:
 
 
 def repartition_key(spark: SparkSession, folder: str) -> DataFrame:
-    key = t.key(spark, folder, t.cells(spark, folder))
+    key = t.key(spark, folder)
     return key.select("country", "src", "industry", F.round("weight", 9).alias("weight"))
 
 
 def z_two_sided(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions between common industries; what has no weights in rows of its own."""
     cells = t.cells(spark, folder)
     flows = cells.select(
         "resource_country", "resource_src", "use_country", "use_src", _double()
     )
-    z = spread.spread_two_sided(flows, t.key(spark, folder, cells))
+    key = t.key(spark, folder, cells)
+    z = spread.spread_two_sided(flows, key).unionByName(spread.unspread_two_sided(flows, key))
     return sinks.with_ids(z, "Z").select("resource_id", "use_id", _rounded())
 
 
 def key_conservation(spark: SparkSession, folder: str) -> DataFrame:
-    cells = t.cells(spark, folder)
+    sums = t.producer_sums(spark, folder)
     totals = (
-        cells.withColumnsRenamed(PRODUCER_AS_KEY)
+        sums.withColumnsRenamed(PRODUCER_AS_KEY)
         .groupBy("country", "src")
         .agg(null_sum("value").cast("double").alias("value"))
     )
-    checked = checks.key_conservation(totals, t.key(spark, folder, cells))
+    checked = checks.key_conservation(totals, t.key(spark, folder, sums))
     return checked.select("country", F.round("raw_total", 2).alias("raw_total"), "conserved")
 
 
@@ -96,22 +108,18 @@ def global_total(spark: SparkSession, folder: str) -> DataFrame:
 
 def coverage_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """Labels of the flows against a crosswalk that lacks two brands and has one too many."""
-    cells = t.cells(spark, folder)
+    sums = t.producer_sums(spark, folder)
     pairs = t.crosswalk(spark, folder)
     changed = pairs.where(~F.col("src").isin("Brand#7", "Brand#14")).unionByName(
         pairs.where(F.col("src") == "Brand#1").withColumn("src", F.lit("Brand#99"))
     )
-    key = stage(repartition_keys(changed, t.reference_va(cells), t.countries(spark, folder)), "key")
-    labels = cells.withColumnsRenamed(PRODUCER_AS_KEY).select("country", "src")
+    key = stage(repartition_keys(changed, t.reference_va(sums), t.countries(spark, folder)), "key")
+    labels = sums.withColumnsRenamed(PRODUCER_AS_KEY).select("country", "src")
     return checks.coverage_gaps(labels, key)
 
 
 def va_weighted(spark: SparkSession, folder: str) -> DataFrame:
-    keys = ["resource_country", "resource_src", "resource_type"]
-    sums = stage(
-        t.flows(spark, folder).groupBy(*keys).agg(null_sum("v").alias("value"), null_sum("tls").alias("tls")),
-        "va",
-    )
+    sums = t.producer_sums(spark, folder)
     key = t.key(spark, folder, sums)
     components = (
         sums.withColumnsRenamed(PRODUCER_AS_KEY)
@@ -158,7 +166,7 @@ def emissions_weighted(spark: SparkSession, folder: str) -> DataFrame:
         events.groupBy("country", "src")
         .agg(null_sum(F.col("v") * gwp).cast("double").alias("value"))
     )
-    key = t.key(spark, folder, t.cells(spark, folder))
+    key = t.key(spark, folder)
     return weighted.weighted_emissions(totals, key).withColumn("value", F.round("value", 5))
 
 
@@ -308,7 +316,7 @@ def _one_hot(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_brand")
     )
     hit = {
-        code: F.max(F.when((F.col("p_type") == kind) & (F.col("p_size") % 3 == 0), 1).otherwise(0))
+        code: F.max(F.when(F.col("p_type") == kind, 1).otherwise(0))
         for code, kind in flags.items()
     }
     return (
@@ -330,6 +338,17 @@ def _full_crosswalk(spark: SparkSession) -> DataFrame:
     )
 
 
+def _full_one_hot(spark: SparkSession) -> DataFrame:
+    """The same as a one-hot table: each raw industry marks its own column."""
+    raw = [name for name, _, _ in c.INDUSTRY_MAP]
+    labels = [c.CROSSWALK_COUNTRY, *c.CROSSWALK_UNUSED]
+    return industry_map(spark).select(
+        *[F.lit("x").alias(name) for name in labels],
+        F.col("raw_industry").alias(c.CROSSWALK_SOURCE),
+        *[(F.col("raw_industry") == name).cast("int").alias(name) for name in dict.fromkeys(raw)],
+    )
+
+
 def _flat_kept(spark: SparkSession, folder: str) -> DataFrame:
     return t.countries(spark, folder)
 
@@ -351,7 +370,7 @@ def _write_table(df: DataFrame, path: str, sep: str = ",") -> None:
 
 
 def flat_release(spark: SparkSession, folder: str) -> DataFrame:
-    """The same accounts from a release folder: both files written, chosen by name and read."""
+    """The same accounts from a release folder: its files and a crosswalk written, chosen by name and read."""
     root = new_folder(spark, "flat_release")
     _write_table(_flat_source(spark, folder), f"{root}/flatfile_eu-ic-io_ind-by-ind_24ed_2020.csv")
     ghg = t.emissions(spark, folder).select(
@@ -360,8 +379,9 @@ def flat_release(spark: SparkSession, folder: str) -> DataFrame:
         F.col("v").alias("obs_value"),
     )
     _write_table(ghg, f"{root}/greenhouse-gas-footprints_2020-data.csv")
-    kept = _flat_kept(spark, folder)
-    return _account_rows(flat.align_flat_folder(spark, root, _full_crosswalk(spark), kept))
+    _write_table(_full_one_hot(spark), f"{root}/crosswalk.csv")
+    crosswalk = build_crosswalk(tables.read_crosswalk(spark, f"{root}/crosswalk.csv"))
+    return _account_rows(flat.align_flat_folder(spark, root, crosswalk, _flat_kept(spark, folder)))
 
 
 def reference_value_added(spark: SparkSession, folder: str) -> DataFrame:
@@ -436,16 +456,7 @@ def weighted_accounts(spark: SparkSession, folder: str) -> DataFrame:
     use = ["use_country", "use_src"]
     write_wide_text(sums, PRODUCER, use, f"{root}/Z.txt", two)
 
-    label = recode.map_values(
-        "priority",
-        {
-            "1-URGENT": "Final consumption expenditure by government",
-            "2-HIGH": "Final consumption expenditure by households",
-            "3-MEDIUM": "Gross fixed capital formation",
-            "4-NOT SPECIFIED": "Exports: Total (fob)",
-            "5-LOW": "Changes in inventories",
-        },
-    )
+    label = recode.map_values("priority", DEMAND_LABELS)
     demand = sums.select(*PRODUCER, "use_country", label.alias("label"), F.col("dv").alias("value"))
     write_wide_text(demand, PRODUCER, ["use_country", "label"], f"{root}/Y.txt", two)
 
@@ -471,9 +482,10 @@ def weighted_accounts(spark: SparkSession, folder: str) -> DataFrame:
     pairs = stage(t.crosswalk(spark, folder), "crosswalk")
     release = weighted.read_release(spark, root)
     aligned = weighted.align_weighted(
-        release, pairs, t.countries(spark, folder), t.reference_va(sums)
+        release, pairs, t.countries(spark, folder), t.reference_va(sums), strict=False
     )
-    return _account_rows(aligned.accounts)
+    whole = aligned.accounts.z.unionByName(aligned.unweighted)
+    return _account_rows(replace(aligned.accounts, z=whole))
 
 
 # --- comparison ---------------------------------------------------------------------------
@@ -547,11 +559,10 @@ def compare_d(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compare_emissions(spark: SparkSession, folder: str) -> DataFrame:
-    flag = recode.map_values("event", {"click": "A", "view": "N", "purchase": "R"})
+    sources = {"click": "A", "view": "N", "purchase": "R", "error": "A", "signup": "N"}
     sums = (
         t.emissions(spark, folder)
-        .withColumn("flag", flag)
-        .where("flag IS NOT NULL")
+        .withColumn("flag", recode.map_values("event", sources))
         .groupBy("flag", "country", F.col("src").alias("industry"))
         .agg(null_sum("v").alias("value"))
     )
@@ -615,7 +626,7 @@ def currency_convert(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     amount = lambda flag: F.sum(F.when(F.col("flag") == flag, F.col("v"))).cast("double")
-    totals = t.flows(spark, folder).groupBy("resource_country", "resource_type").agg(
+    totals = t.producer_lines(spark, folder).groupBy("resource_country", "resource_type").agg(
         amount("A").alias("value_a"),
         amount("N").alias("value_n"),
         F.sum("tls").cast("double").alias("quantity"),
@@ -637,7 +648,7 @@ def rate_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = f"{new_folder(spark, 'rates')}/rates.csv"
     _write_table(rates, path)
-    totals = t.flows(spark, folder).groupBy("resource_country").agg(
+    totals = t.producer_lines(spark, folder).groupBy("resource_country").agg(
         null_sum("v").cast("double").alias("value")
     )
     rate = convert.rate_of(tables.read_rates(spark, path), 2000)
@@ -789,7 +800,7 @@ def append_union(spark: SparkSession, folder: str) -> DataFrame:
 
 def unite_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Country and type as one id; a missing part is written out."""
-    flows = t.flows(spark, folder).withColumn(
+    flows = t.producer_lines(spark, folder).withColumn(
         "industry", F.when(F.col("resource_type") != "PROMO", F.col("resource_type"))
     )
     united = unite_id("resource_country", "industry").alias("id")
@@ -798,7 +809,7 @@ def unite_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of nation key and country taken apart at the first underscore only."""
-    joined = t.flows(spark, folder).select(
+    joined = t.producer_lines(spark, folder).select(
         unite_id(F.col("resource_nation"), F.col("resource_country"), F.col("resource_type")).alias("id"), "v"
     )
     head, rest = split_id("id")
@@ -811,7 +822,7 @@ def split_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def section_recode(spark: SparkSession, folder: str) -> DataFrame:
     """Wide-table codes by the section rules, in both of their readings."""
-    flows = t.flows(spark, folder).withColumn("code", t.pick(t.WIDE_CODES, F.col("resource_sector")))
+    flows = t.producer_lines(spark, folder).withColumn("code", t.pick(t.WIDE_CODES, F.col("resource_sector")))
     return flows.groupBy(
         recode.section_recode("code").alias("industry"),
         recode.section_recode(recode.wide_code("code"), compat=True).alias("compat_industry"),
@@ -819,11 +830,14 @@ def section_recode(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def iso_map(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers by the alpha-2 code of their nation; unknown codes go to the rest."""
+    """Customers by the alpha-2 code of their nation; codes not kept go to the rest.
+
+    Countries outside the common classification are kept, too.
+    """
     customers = t.table(spark, folder, "customer").select(
         recode.iso2(t.pick(t.NATION_ISO3, F.col("c_nationkey"))).alias("country")
     )
-    return fold_countries(customers, c.COUNTRIES, ["country"]).groupBy("country").agg(
+    return fold_countries(customers, [*c.COUNTRIES, "SA", "KE"], ["country"]).groupBy("country").agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -896,11 +910,60 @@ def matrix_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         [["region", ""], ["sector", ""], ["region", "sector"]],
     )
     matrix = read_matrix(
-        spark, path, ["resource_country", "resource_src"], ["use_country", "use_src", None]
+        spark, path, ["resource_country", "resource_src"], ["use_country", "use_src"]
     )
     return matrix.cells()
 
 
+def matrix_two_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with two label lines and quantities, and the sums of its lines beside the cells."""
+    sums = t.flows(spark, folder).select(
+        "resource_country", "resource_src", "use_country", "use_src", F.col("tls").alias("value")
+    )
+    path = new_folder(spark, "matrix")
+    write_wide_text(sums, PRODUCER, ["use_country", "use_src"], path, [["region", ""], ["sector", ""]])
+    matrix = read_matrix(spark, path, PRODUCER, ["use_country", "use_src"])
+    no = F.lit(None).cast("string")
+    lines = matrix.line_totals().select(*PRODUCER, no.alias("use_country"), no.alias("use_src"), "value")
+    return matrix.cells().unionByName(lines)
+
+
+def nan_demand(spark: SparkSession, folder: str) -> DataFrame:
+    """Final demand from a matrix whose cells for one component of the rest are not a number."""
+    gap = (F.col("use_country") == c.REST_OF_WORLD) & (F.col("priority") == "5-LOW")
+    demand = t.flows(spark, folder).groupBy(*PRODUCER, "use_country", "priority").agg(
+        F.sum("dv").cast("double").alias("value")
+    )
+    demand = demand.select(
+        *PRODUCER,
+        "use_country",
+        recode.map_values("priority", DEMAND_LABELS).alias("label"),
+        F.when(gap, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"),
+    )
+    marks = [["region", ""], ["sector", ""], ["region", "sector"]]
+    path = write_wide_text(demand, PRODUCER, ["use_country", "label"], new_folder(spark, "demand"), marks)
+    kept = t.countries(spark, folder)
+    return weighted.demand_totals(tables.read_demand_matrix(spark, path), kept).withColumn("value", _rounded())
+
+
+def gas_factors_first(spark: SparkSession, folder: str) -> DataFrame:
+    """Emissions by stressor, each listed under two units, of which the first counts."""
+    stressor = recode.map_values("event", {k: v[0] for k, v in t.EVENT_STRESSORS.items()})
+    events = t.emissions(spark, folder).select("event", stressor.alias("stressor"), "v")
+    plain, done = F.lit("kg"), F.lit(c.CO2_EQUIVALENT_UNIT)
+    units = F.when(F.col("event") == "view", F.array(done, plain)).otherwise(F.array(plain, done))
+    listed = events.select("stressor", units.alias("units")).distinct()
+    lines = listed.select("stressor", F.posexplode("units").alias("place", "unit")).orderBy("stressor", "place")
+    path = f"{new_folder(spark, 'units')}/unit.txt"
+    _write_table(lines.select("stressor", "unit").coalesce(1), path, sep="\t")
+    factors = convert.gas_factors(tables.read_units(spark, path))
+    return (
+        events.join(factors, "stressor")
+        .groupBy("stressor", "gwp")
+        .agg(null_sum(F.col("v") * F.col("gwp")).cast("double").alias("value"))
+    )
+
+
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions written as an account file and read back by column patterns."""
     sums = (
@@ -981,6 +1044,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gas_factors": gas_factors,
         "vintage_asof": vintage_asof,
         "matrix_roundtrip": matrix_roundtrip,
+        "matrix_two_labels": matrix_two_labels,
+        "nan_demand": nan_demand,
+        "gas_factors_first": gas_factors_first,
         "csv_roundtrip": csv_roundtrip,
         "partitioned_sink": partitioned_sink,
     }

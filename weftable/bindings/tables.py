@@ -152,29 +152,16 @@ def use_sector(custkey: Column) -> Column:
     return F.concat(F.lit("Brand#"), (custkey % SECTORS + 1).cast("string"))
 
 
-def flows(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order line with producer, user and amounts.
+def producer_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order line with its producer and amounts, for what needs no user.
 
     No join carries a hint: dimension files below the broadcast threshold are
     broadcast, larger ones are shuffled and split by AQE where a key is hot.
     """
-    at = nations(spark, folder)
-    users = (
-        table(spark, folder, "orders")
-        .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            "o_orderkey",
-            F.col("c_nationkey").alias("use_nation"),
-            country_of(at, F.col("c_nationkey")).alias("use_country"),
-            use_sector(F.col("o_custkey")).alias("use_src"),
-            (F.col("o_custkey") % SECTORS).alias("use_sector"),
-            F.col("o_orderpriority").alias("priority"),
-        )
-    )
     producers = table(spark, folder, "supplier").select(
         "s_suppkey",
         F.col("s_nationkey").alias("resource_nation"),
-        country_of(at, F.col("s_nationkey")).alias("resource_country"),
+        country_of(nations(spark, folder), F.col("s_nationkey")).alias("resource_country"),
     )
     products = table(spark, folder, "part").select(
         "p_partkey", F.col("p_brand").alias("resource_src"), F.col("p_type").alias("resource_type")
@@ -184,20 +171,15 @@ def flows(spark: SparkSession, folder: str) -> DataFrame:
     )
     return (
         table(spark, folder, "lineitem")
-        .join(users, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(producers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(products, F.col("l_partkey") == F.col("p_partkey"))
         .select(
+            "l_orderkey",
             "resource_nation",
             "resource_country",
             "resource_src",
             "resource_type",
             (F.substring("resource_src", 7, 10).cast("int") - 1).alias("resource_sector"),
-            "use_nation",
-            "use_country",
-            "use_src",
-            "use_sector",
-            "priority",
             F.col("l_linenumber").alias("line"),
             F.col("l_returnflag").alias("flag"),
             money("l_extendedprice").alias("v"),
@@ -207,6 +189,33 @@ def flows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def flows(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order line with producer, user and amounts."""
+    users = (
+        table(spark, folder, "orders")
+        .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            "o_orderkey",
+            F.col("c_nationkey").alias("use_nation"),
+            country_of(nations(spark, folder), F.col("c_nationkey")).alias("use_country"),
+            use_sector(F.col("o_custkey")).alias("use_src"),
+            (F.col("o_custkey") % SECTORS).alias("use_sector"),
+            F.col("o_orderpriority").alias("priority"),
+        )
+    )
+    lines = producer_lines(spark, folder)
+    return lines.join(users, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
+
+
+def producer_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts by producer, staged: the base of the weights, without orders or customers."""
+    keys = ["resource_country", "resource_src", "resource_type"]
+    sums = producer_lines(spark, folder).groupBy(*keys).agg(
+        null_sum("v").alias("value"), null_sum("tls").alias("tls")
+    )
+    return stage(sums, "producers")
+
+
 def cells(spark: SparkSession, folder: str) -> DataFrame:
     """Flows summed by everything the weighted transactions and their weights need.
 
@@ -224,8 +233,9 @@ def reference_va(sums: DataFrame) -> DataFrame:
     ).agg(null_sum("value").cast("double").alias("value"))
 
 
-def key(spark: SparkSession, folder: str, sums: DataFrame) -> DataFrame:
+def key(spark: SparkSession, folder: str, sums: DataFrame | None = None) -> DataFrame:
     """Weights of the binding; staged because every use of them is a join."""
+    sums = producer_sums(spark, folder) if sums is None else sums
     weights = repartition_keys(
         crosswalk(spark, folder), reference_va(sums), countries(spark, folder)
     )

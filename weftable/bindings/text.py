@@ -17,16 +17,17 @@ def write_wide_text(
     path: str,
     marks: Sequence[Sequence[str]],
     sep: str = "\t",
-    parts: int = 16,
+    parts: int | None = None,
 ) -> str:
     """Write cells (rows..., columns..., value) as a dense matrix of delimited text.
 
     ``marks`` gives the leading fields of each label line; label lines beyond
-    the number of ``columns`` are empty. Lines are spread over ``parts`` files
-    and each starts with the label lines. A line holds as many cells as the
+    the number of ``columns`` are empty. Lines are spread over ``parts`` files (as
+    many as shuffle partitions) and each starts with the label lines. A line holds as many cells as the
     matrix has columns.
     """
     rows, columns = list(rows), list(columns)
+    parts = parts or int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     totals = stage(cells.groupBy(*rows, *columns).agg(F.sum("value").alias("value")), "cells")
     labels = stage(
         totals.agg(F.sort_array(F.collect_set(F.struct(*columns))).alias("all")), "labels"
