@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from weftable.schemas import FLAT_FILE
 from weftable.sources import locate, sinks, tables, vintages
 from weftable.sources.matrix import read_matrix
-from weftable.sources.staging import new_folder, shared_folder, stage
+from weftable.sources.staging import new_folder, shared_folder, stage, staged_tables
 
 
 def write(path, lines, sep="\t", end="\n"):
@@ -124,12 +124,40 @@ def test_label_work_happens_before_cells(spark, tmp_path):
     assert [tuple(r) for r in part.cells().collect()] == [("AT", "p", "WA", "p", "ROW", 0.0)]
 
 
-def test_very_wide_matrix_stages_its_columns(spark, tmp_path, monkeypatch):
-    from weftable.sources import matrix as module
+def test_two_label_lines(spark, tmp_path):
+    path = write(tmp_path / "Z.txt", Z_LINES[:2] + Z_LINES[3:])
+    assert cells(tables.read_flow_matrix(spark, path))[1] == sorted(Z_CELLS, key=str)
+    assert cells(read_matrix(spark, path, ["a", "b"], ["c", "d"], label_lines=2))[1] == sorted(Z_CELLS, key=str)
+    with pytest.raises(ValueError, match="more than|fewer than"):
+        read_matrix(spark, path, ["a", "b"], ["c", "d"], label_lines=1)
+
 
-    monkeypatch.setattr(module, "BROADCAST_WIDTH", 1)
+def test_label_lines_are_checked_against_the_file(spark, tmp_path):
     path = write(tmp_path / "Z.txt", Z_LINES)
-    assert cells(tables.read_flow_matrix(spark, path))[1] == sorted(Z_CELLS, key=str)
+    with pytest.raises(ValueError, match="more than 2"):
+        read_matrix(spark, path, ["a", "b"], ["c", "d"], label_lines=2)
+
+
+@pytest.mark.parametrize("line", [["AT", "q", "1"], ["AT", "q", "1", "2", "3", "99"]])
+def test_a_line_of_another_size_is_an_error(spark, tmp_path, line):
+    path = write(tmp_path / "Z.txt", [*Z_LINES, line])
+    with pytest.raises(Exception, match="another size"):
+        tables.read_flow_matrix(spark, path).cells().collect()
+
+
+def test_encoding_of_a_matrix(spark, tmp_path):
+    path = tmp_path / "Z.txt"
+    lines = [["region", "", "CÔ"], ["sector", "", "é"], ["CÔ", "é", "1"]]
+    path.write_bytes("\n".join("\t".join(line) for line in lines).encode("latin-1"))
+    matrix = read_matrix(spark, str(path), ["a", "b"], ["c", "d"], encoding="ISO-8859-1")
+    assert cells(matrix)[1] == [("CÔ", "é", "CÔ", "é", 1.0)]
+
+
+def test_nan_cells_are_missing(spark, tmp_path):
+    path = write(tmp_path / "Z.txt", [*Z_LINES[:2], ["AT", "p", "NaN", "2", "3"], ["WA", "p", "1", "-2", "3"]])
+    matrix = tables.read_flow_matrix(spark, path)
+    assert [r["value"] for r in matrix.cells().where("resource_region = 'AT'").orderBy("value").collect()] == [None, 2.0, 3.0]
+    assert sorted((tuple(r) for r in matrix.line_totals().collect()), key=str) == [("AT", "p", None, None), ("WA", "p", 2.0, 6.0)]
 
 
 def test_flat_file_by_name_with_bad_numbers(spark, tmp_path):
@@ -192,6 +220,24 @@ def test_find_file(spark, tmp_path):
         locate.find_file(spark, folder, ["nothing"])
 
 
+def test_entries_however_the_folder_is_written(spark, tmp_path, monkeypatch):
+    for name in ("layout/out/A/Z.csv/part-0", "layout/out/B/Z.csv/part-0", "layout/out/B/Z.csv/part-1"):
+        write(tmp_path / name, [["x"]])
+    root = str(tmp_path / "layout")
+    for folder in (f"{root}//out", f"{root}/../layout/out", f"{root}/out/", f"file:{root}/out"):
+        assert locate.list_sources(spark, folder) == ["A", "B"]
+    assert [name for name, _ in locate.list_entries(spark, root)] == ["out"]
+    with pytest.raises(FileNotFoundError):
+        locate.list_sources(spark, f"{root}/nothing")
+
+
+def test_edition_of_the_reference_file(spark, tmp_path):
+    for edition in ("24ed", "25ed"):
+        write(tmp_path / "in" / f"flatfile_eu-ic-io_ind-by-ind_{edition}_2020.csv", [["a"]])
+    found = locate.reference_flat_file(spark, str(tmp_path / "in"), 2020, edition="25ed")
+    assert "25ed" in found and "24ed" in locate.reference_flat_file(spark, str(tmp_path / "in"), 2020)
+
+
 def test_list_sources_leaves_out_the_comparison(spark, tmp_path):
     for name in ("B/Z.csv/part-0", "A/Z.csv/part-0", "COMPARISON/Z.csv/part-0"):
         write(tmp_path / "out" / name, [["x"]])
@@ -206,7 +252,7 @@ def test_account_csv_keeps_accents_nulls_and_precision(spark, tmp_path, rows):
     back = tables.read_account_csv(spark, str(tmp_path / "S" / "emissions.csv"), "emissions", "S")
     assert rows(back, "id", "S") == [("AT_B", None), ("AT_é;\"x", 0.1 + 0.2)]
     text = b"".join(p.read_bytes() for p in (tmp_path / "S" / "emissions.csv").glob("part-*"))
-    assert "é".encode("latin-1") in text and b"country;industry;value;id" in text
+    assert "é".encode("latin-1") in text and b'"country";"industry";"value";"id"' in text
 
 
 def test_rescan_accepts_prefixed_ids(spark, tmp_path, rows):
@@ -245,6 +291,15 @@ def test_vintages(spark, rows):
     ]
 
 
+def test_staged_tables_have_an_end(spark, tmp_path):
+    import os
+
+    with staged_tables(spark):
+        path = stage(spark.range(3), "x").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+
 def test_stage_uses_the_shared_folder(spark, rows):
     df = spark.createDataFrame([("a", None), (None, 1.0)], "k string, v double")
     staged = stage(df, "x")
