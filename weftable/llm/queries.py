@@ -1,4 +1,4 @@
-"""Registered queries of the operators, and their SQL."""
+"""Registered queries of the operators. Their SQL is in ``oracle``."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from .decontaminate import find_passages
 from .fingerprint import fingerprints
 from .jaccard import jaccard_components
 from .learning import held_out
+from .oracle import oracle_sql
 from .pieces import encode
 from .pii import personal_data
 from .preference import preference_pairs, swapped_answers
@@ -90,5 +91,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_decontamination, op4_ngram_jaccard_join, op5_fingerprints, op6_token_binary, op7_chat_formatting, op8_toxicity, op9_line_dedup, op10_pii)}
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+__all__ = ["oracle_sql", "queries", "tokenizer_path"]
