@@ -1,0 +1,167 @@
+"""Line dedup, decontamination and the learned scores against plain versions and held-out labels."""
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from weftable.llm import boilerplate, decontaminate, learning, quality, toxicity
+from weftable.llm.hashing import separators, word_hashes
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_line_dedup_against_plain(spark):
+    docs = [(r.doc_id, r.source, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    docs += [(-1, None, "a\nb\na"), (-2, None, None), (-3, "src1", "")] + [(-10 - i, "one", f"head\nbody {i}\nhead\n") for i in range(6)]
+    pages, hits = Counter(s for _, s, _ in docs), defaultdict(Counter)
+    for _, s, t in docs:
+        hits[s].update({x for x in (t or "").split("\n") if x.strip(" ")})
+    def kept(source, text):
+        return "\n".join(x for x in (text or "").split("\n") if not (hits[source][x] >= 5 and hits[source][x] > 0.1 * pages[source]))
+    found = boilerplate.drop_boilerplate(spark.createDataFrame(docs, "doc_id long, source string, text string"))
+    assert {r.doc_id: r.text for r in found.collect()} == {k: kept(s, t) for k, s, t in docs}
+    assert kept("one", "head\nbody 1\nhead\n") == "body 1\n"
+
+
+def plain_distance(a, b):
+    """Least edits from ``a`` to any passage of ``b``."""
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    rows = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
+    return [(r.item_id, r.text) for r in rows]
+
+
+def hashed(text):
+    return word_hashes([text], separators("other"))[0].tolist()
+
+
+def test_passages_against_plain(spark, items):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rng = random.Random(2)
+    planted = {}
+    for i in range(60):
+        key, text = items[rng.randrange(len(items))]
+        words = text.split()
+        for _ in range(rng.randrange(0, max(1, len(words) * 15 // 100) + 1)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(2)] = [f"new{rng.random()}"] * rng.randrange(2)
+        other = rng.choice(docs)[1].split()[:300]
+        at = rng.randrange(len(other) + 1)
+        docs.append((10_000 + i, " ".join(other[:at] + words + other[at:])))
+        planted[10_000 + i] = key
+    found = decontaminate.find_passages(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    pairs = {(r.doc_id, r.item_id): r.distance for r in found}
+    expected = {}
+    for key, text in docs:
+        if len(text) > 20_000:
+            continue
+        words = hashed(text)
+        for item, passage in items:
+            own = hashed(passage)
+            limit = decontaminate.allowed(len(own))
+            if len(own) >= decontaminate.LEAST and sum((Counter(own) & Counter(words)).values()) >= len(own) - limit:
+                d = plain_distance(own, words)
+                if d <= limit:
+                    expected[key, item] = d
+    long = {k for k, t in docs if len(t) > 20_000}
+    assert {k: d for k, d in pairs.items() if k[0] not in long}.items() <= expected.items()
+    assert len([k for k in expected if k in pairs]) >= 0.98 * len(expected)
+    assert all((k, i) in pairs for k, i in expected if expected[k, i] == 0)
+
+
+def test_recall_at_the_limit(items):
+    index = decontaminate.build([k for k, _ in items], [t for _, t in items])
+    rng = np.random.default_rng(8)
+    met = 0
+    for i in range(200):
+        at = int(rng.integers(len(items)))
+        words = items[at][1].split()
+        for _ in range(decontaminate.allowed(len(hashed(items[at][1])))):
+            place, kind = int(rng.integers(len(words))), int(rng.integers(3))
+            words[place : place + (kind != 1)] = [f"new{i}"] * (kind != 2)
+        met += any(index.ids[m[1]] == items[at][0] for m in decontaminate.matches(index, ["before it some words " + " ".join(words) + " and after"]))
+    assert met >= 0.9 * 200
+
+
+def test_gradients_of_the_recurrent_network():
+    rng = np.random.default_rng(0)
+    p = {k: v.astype(np.float64) for k, v in toxicity._parameters(rng).items() if k not in ("word", "gram")}
+    x = rng.standard_normal((5, 3, 2 * toxicity.EMBED + 2))
+    mask = np.ones((5, 3, 1))
+    mask[3:, 1] = 0
+    labels = np.array([1.0, 0.0, 1.0])
+    _, g, d_x = toxicity.gradients(p, x, mask, labels)
+    for name, gradient in {**g, "x": d_x}.items():
+        values = x if name == "x" else p[name]
+        for _ in range(4):
+            at = tuple(rng.integers(s) for s in values.shape)
+            if name == "x" and not mask[at[0], at[1]]:
+                continue
+            old, loss = values[at], []
+            for step in (1e-5, -1e-5):
+                values[at] = old + step
+                loss.append(toxicity.gradients(p, x, mask, labels)[0])
+            values[at] = old
+            assert gradient[at] == pytest.approx((loss[0] - loss[1]) / 2e-5, rel=0.02, abs=2e-5), name
+
+
+def test_windows_cover_every_word():
+    for n in (0, 1, 63, 64, 65, 112, 113, 1000):
+        first, size, _ = toxicity.windows(np.array([0, n]))
+        covered = {i for a, s in zip(first, size, strict=True) for i in range(a, a + s)}
+        assert covered == set(range(n)) and all(s <= toxicity.WINDOW for s in size)
+
+
+def auc(scores, labels):
+    rank = np.argsort(np.argsort(scores)) + 1
+    n = labels.sum()
+    return (rank[labels == 1].sum() - n * (n + 1) / 2) / (n * (len(labels) - n))
+
+
+def scored(spark, module, column, folder="/root/testdata/sf0.1"):
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = module.train(docs, labels)
+    held = labels.where(learning.held_out(labels["doc_id"])).select("doc_id", column)
+    rows = module.score(docs.join(held, "doc_id"), model).join(held, "doc_id").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows)
+    return np.array([r.score for r in rows]), np.array([r[column] for r in rows]), model
+
+
+def test_held_out_toxicity(spark):
+    scores, labels, _ = scored(spark, toxicity, "toxic")
+    assert auc(scores, labels) > 0.98
+    assert (scores[labels == 1] >= 0.3).mean() > 0.9 and (scores[labels == 0] >= 0.3).mean() < 0.03
+
+
+def test_held_out_quality(spark):
+    scores, labels, model = scored(spark, quality, "quality")
+    assert auc(scores, labels) > 0.98 and abs(model.prior - labels.mean()) < 0.1
+    assert (scores[labels == 1] >= 0.7).mean() > 0.97 and (scores[labels == 0] >= 0.7).mean() < 0.05
+
+
+def test_non_negative_risk_and_prior_on_known_mixtures():
+    rng = np.random.default_rng(1)
+    positive = rng.normal(1.5, 1, (800, 2))
+    for prior in (0.3, 0.7):
+        n = int(2000 * prior)
+        mixed = np.concatenate((rng.normal(1.5, 1, (n, 2)), rng.normal(-1.5, 1, (2000 - n, 2))))
+        first = quality.minimise(positive[:600], mixed[::2], 0.5)
+        found = quality.estimate_prior(first.logits(positive[600:]), first.logits(mixed[1::2]))
+        assert abs(found - prior) < 0.1
+        model = quality.minimise(positive, mixed, found)
+        right = (model.logits(mixed) > 0) == (np.arange(2000) < n)
+        assert right.mean() > 0.95

@@ -173,13 +173,17 @@ def personal_data(
     )
     return joined.select(
         F.col("key").alias(key),
-        *[F.size(F.filter("base", lambda s, r=r: s["rank"] == r)).cast("long").alias(f"n_{k}") for r, k in enumerate(KINDS)],
+        *[_count(rank).alias(f"n_{kind}") for rank, kind in enumerate(KINDS)],
         F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.sort_array(F.concat("base", "added"))).alias("spans"),
         F.size("added").cast("long").alias("n_added"),
     )
 
 
+def _count(rank: int) -> Column:
+    return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(
