@@ -8,7 +8,7 @@ edit; punctuation and white space do not count. A passage matches an item of ``n
 2. CGK embedding: a window of an item's size is walked with random bits that depend on step and word, which repeats a word or
    moves to the next; few edits become few differing steps. Windows are hashed by the words at a few sampled steps, in
    tables that are added, with new walks, until the recall measured on items edited at the limit reaches ``RECALL``.
-3. Windows that share a bucket with an item are verified by exact edit distance.
+3. Windows that share a bucket with an item are verified by exact edit distance, with all starts around them.
 
 The items are read in blocks of bounded size, each a pass over all documents.
 
@@ -40,6 +40,7 @@ TABLES_PER_WALK, MOST_TABLES = 4, 96
 TRIALS = 400
 ITEMS_AT_ONCE = 20_000
 WINDOWS_AT_ONCE = 1 << 13
+VERIFIED_AT_ONCE = 1 << 12
 BLOOM_BITS = 22
 
 
@@ -220,6 +221,14 @@ def distances(item: np.ndarray, words: np.ndarray, starts: np.ndarray, ends: np.
     return row.min(axis=1)
 
 
+def _around(starts: np.ndarray, text: np.ndarray, at: np.ndarray, slack: int) -> np.ndarray:
+    """All starts, with their texts, within ``slack`` words of the given ones."""
+    place = starts[:, None] + np.arange(-slack, slack + 1)[None, :]
+    where = np.broadcast_to(text[:, None], place.shape)
+    inside = (place >= at[where]) & (place < at[where + 1])
+    return np.unique(np.stack((place[inside], where[inside]), axis=1), axis=0)
+
+
 def matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int]]:
     """Text, item, distance and first word of the best match of each text and item."""
     words, at = word_hashes(texts, separators("other"))
@@ -236,12 +245,13 @@ def matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int]]:
         cuts = np.append(np.flatnonzero(np.diff(met[:, 0], prepend=-1)), len(met))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             item, window = int(met[a, 0]), met[a:b, 1]
-            d = distances(index.words[item], words, first[window], at[of[window] + 1])
-            for x, w in zip(d.tolist(), window.tolist(), strict=True):
-                if x <= allowed(len(index.words[item])):
-                    here = (int(x), int(first[w] - at[of[w]]))
-                    pair = (int(of[w]), item)
-                    best[pair] = min(best.get(pair, here), here)
+            near = _around(first[window], of[window], at, allowed(len(index.words[item])))
+            for lo2 in range(0, len(near), VERIFIED_AT_ONCE):
+                place, where = near[lo2 : lo2 + VERIFIED_AT_ONCE].T
+                d = distances(index.words[item], words, place, at[where + 1])
+                good = np.flatnonzero(d <= allowed(len(index.words[item])))
+                for x, t, p in zip(d[good].tolist(), where[good].tolist(), (place - at[where])[good].tolist(), strict=True):
+                    best[t, item] = min(best.get((t, item), (x, p)), (x, p))
     return [(t, i, *v) for (t, i), v in sorted(best.items())]
 
 

@@ -1,6 +1,6 @@
 """Quality scores by positive-unlabelled learning.
 
-A network with one hidden layer is trained in numpy on trusted positives and unlabelled web text alone. It minimises the
+Small networks with one hidden layer are trained in numpy on trusted positives and unlabelled web text alone. They minimise the
 non-negative unbiased risk: the positives' loss times the class prior, plus the unlabelled texts' loss as negatives less
 the part of it that positives among them account for; where that difference falls below zero, its gradient is reversed.
 The prior is estimated first, on texts left out of training: the least ratio, over all thresholds, of the shares of
@@ -30,7 +30,7 @@ from .hashing import batches, separators, span_hashes, word_spans
 from .learning import Adam, chosen, held_out, sigmoid, texts_of
 
 POSITIVES, UNLABELLED, LONGEST = 4000, 8000, 20_000
-HIDDEN, EPOCHS, BATCH, RATE, DECAY = 16, 40, 256, 0.01, 1e-4
+HIDDEN, EPOCHS, BATCH, RATE, DECAY, MEMBERS = 16, 25, 256, 0.01, 1e-3, 5
 
 CLASSES = (
     "abcdefghijklmnopqrstuvwxyz",
@@ -92,7 +92,6 @@ class Model:
     scale: np.ndarray
     parameters: dict[str, np.ndarray]
     prior: float
-    constant: float | None = None
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         p = self.parameters
@@ -101,10 +100,19 @@ class Model:
     def scaled(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.centre) / self.scale, -5, 5)
 
+
+@dataclass
+class Committee:
+    """Networks from different starts; the mean of their logits is steadier than any of them."""
+
+    members: list[Model]
+    prior: float
+
     def scores(self, texts: list[str]) -> np.ndarray:
-        if self.constant is not None:
-            return np.full(len(texts), self.constant)
-        return sigmoid(self.logits(features(texts)))
+        if not self.members:
+            return np.full(len(texts), 0.5)
+        x = features(texts)
+        return sigmoid(np.mean([m.logits(x) for m in self.members], axis=0))
 
 
 def _loss_gradient(model: Model, x: np.ndarray, outer: np.ndarray, hidden: np.ndarray) -> dict[str, np.ndarray]:
@@ -158,16 +166,16 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float =
     return float(np.clip(share_u[best] / share_p[best], 0.05, 0.99))
 
 
-def fit(positive: list[str], unlabelled: list[str], seed: int = 1) -> Model:
+def fit(positive: list[str], unlabelled: list[str], seed: int = 1) -> Committee:
     xp, xu = features(positive), features(unlabelled)
     half_p, half_u = max(1, len(xp) * 3 // 4), max(1, len(xu) * 3 // 4)
     first = minimise(xp[:half_p], xu[:half_u], 0.5, seed)
     left_p, left_u = xp[half_p:], xu[half_u:]
     prior = estimate_prior(first.logits(left_p), first.logits(left_u)) if len(left_p) and len(left_u) else 0.5
-    return minimise(xp, xu, prior, seed)
+    return Committee([minimise(xp, xu, prior, seed + k) for k in range(MEMBERS)], prior)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text") -> Model:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text") -> Committee:
     """Model from bounded samples of the rows outside the held-out fold."""
     outside = F.col(key).isNotNull() & ~held_out(F.col(key))
     trusted = labels.filter(outside & (F.col(label) == 1)).select(F.col(key)).distinct()
@@ -177,12 +185,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
         for ids, most in ((trusted, POSITIVES), (web, UNLABELLED))
     ]
     if not (texts[0] and texts[1]):
-        return Model(np.zeros(0), np.zeros(0), {}, 0.5, constant=0.5)
+        return Committee([], 0.5)
     shuffled = [[t[i] for i in np.random.default_rng(5).permutation(len(t))] for t in texts]
     return fit(*shuffled)
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Committee, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, score`` for each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -1,6 +1,7 @@
 """Toxicity scores of a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-Each word enters by a hashed word embedding and by hashed four-character embeddings, each with a fixed input that
+Each word enters by a hashed word embedding and by embeddings of its hashed runs of
+four bytes and beginnings of four to six, each with a fixed input that
 tells how much more often toxic sample documents contain it. The network reads windows of ``WINDOW`` words that overlap by
 ``WINDOW - STRIDE``, in both directions; attention weighs the states of a window into one vector and a logit.
 A document's logit is the largest of all its windows, which cover the whole text, and becomes a probability by a
@@ -31,9 +32,13 @@ WINDOW, STRIDE = 64, 48
 PER_CLASS, LONGEST = 2000, 20_000
 STATE, EMBED, ATTEND = 8, 8, 8
 COUNT_BITS, EMBED_BITS = 18, 15
-SMOOTH = 3.0
+SMOOTH = 1.0
 EPOCHS, BATCH, RATE = 9, 128, 0.01
+#: Share of word and gram embeddings set to zero in each step of training, so that none is relied on alone.
+DROPPED = 0.9
 AT_ONCE = 2048
+#: Grams are the runs of four bytes of a word, and its beginnings of these sizes.
+PREFIXES = (4, 5, 6)
 
 
 @dataclass
@@ -51,16 +56,17 @@ def read_words(texts: list[str]) -> Words:
     data, first, last, at = word_spans(texts, separators("other"))
     hashes, one, sequence = np.unique(span_hashes(data, first, last), return_index=True, return_inverse=True)
     first, last = first[one], last[one]
-    padded = np.concatenate((data, np.zeros(4, np.uint8))).astype(np.uint64)
-    counts = np.maximum(last - first - 3, 1) + 1
+    padded = np.concatenate((data, np.zeros(PREFIXES[-1], np.uint8))).astype(np.uint64)
+    counts = np.maximum(last - first - 3, 1) + len(PREFIXES)
     gram_at = np.cumsum(counts) - counts
     owner = np.repeat(np.arange(len(first)), counts)
     place = np.arange(int(counts.sum())) - gram_at[owner]
-    begin = first[owner] + np.maximum(place - 1, 0)
-    value = np.zeros(len(owner), dtype=np.uint64)
-    for i in range(4):
-        value |= np.where(begin + i < last[owner], padded[begin + i], 0).astype(np.uint64) << np.uint64(8 * i)
-    value |= (place == 0).astype(np.uint64) << np.uint64(32)  # the gram a word begins with counts as another one, too
+    begin = first[owner] + np.maximum(place - len(PREFIXES), 0)
+    size = np.where(place < len(PREFIXES), np.array(PREFIXES)[np.minimum(place, len(PREFIXES) - 1)], 4)
+    end = np.minimum(begin + size, last[owner])
+    value = (np.minimum(place, len(PREFIXES)) + 1).astype(np.uint64) << np.uint64(56)
+    for i in range(PREFIXES[-1]):
+        value |= np.where(begin + i < end, padded[begin + i], 0).astype(np.uint64) << np.uint64(8 * i)
     return Words(hashes, mix(value), gram_at, sequence.reshape(-1), at)
 
 
@@ -314,8 +320,13 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 1) -> Mo
             top = np.where(positive, gram_odds[1][rows], gram_odds[0][rows])
             x = np.concatenate((p["word"][word_bucket][back], odds[..., None], gram_mean[back], top[..., None]), axis=2, dtype=np.float32)
             mask = inside.astype(np.float32)[:, :, None]
+            kept = (random.random((*rows.shape, 2)) >= DROPPED).astype(np.float32) / (1 - DROPPED)
+            x[..., :EMBED] *= kept[..., :1]
+            x[..., EMBED + 1 : 2 * EMBED + 1] *= kept[..., 1:]
             x *= mask
             _, g, d_x = gradients(p, x, mask, label_of[at].astype(np.float32))
+            d_x[..., :EMBED] *= kept[..., :1]
+            d_x[..., EMBED + 1 : 2 * EMBED + 1] *= kept[..., 1:]
             d_x = (d_x * mask).reshape(-1, d_x.shape[2])
             per_word = np.zeros((len(flat), d_x.shape[1]), dtype=np.float32)
             np.add.at(per_word, back.reshape(-1), d_x)
