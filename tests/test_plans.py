@@ -424,3 +424,81 @@ def test_written_and_direct_comparison_agree(spark, setting, weighted, flat_fold
 
 def test_industry_map_table(spark):
     assert industry_map(spark).count() == len(c.INDUSTRY_MAP)
+
+
+# --- what must not happen unseen ------------------------------------------------------------------
+
+
+def plain_va(spark):
+    rows = [(*k, v) for k, v in reference_numbers().items()]
+    return spark.createDataFrame(rows, "country string, industry string, value double")
+
+
+def test_two_label_lines_give_the_same_transactions(spark, setting, weighted, tmp_path):
+    write_release(tmp_path, release_numbers())
+    lines = (tmp_path / "Z.txt").read_text().splitlines()
+    (tmp_path / "Z.txt").write_text("\n".join(lines[:2] + lines[3:]) + "\n")
+    aligned = align_weighted(read_release(spark, str(tmp_path)), *setting, plain_va(spark))
+    assert by_key(aligned.accounts.z) == pytest.approx(by_key(weighted.accounts.z))
+
+
+def test_a_sector_missing_from_the_matrix_is_an_error(spark, setting, tmp_path):
+    write_release(tmp_path, release_numbers())
+    lines = (tmp_path / "Z.txt").read_text().splitlines()
+    at = next(i for i, label in enumerate(LABELS) if label == ("AT", "Trade"))
+    cut = [line.split("\t") for line in lines if line.split("\t")[:2] != ["AT", "Trade"]]
+    put(tmp_path / "Z.txt", [row[: 2 + at] + row[3 + at :] for row in cut], "\t")
+    with pytest.raises(CheckFailed, match="Trade"):
+        align_weighted(read_release(spark, str(tmp_path)), *setting, plain_va(spark))
+
+
+def test_value_without_weights_is_kept_apart(spark, setting, tmp_path):
+    write_release(tmp_path, release_numbers())
+    crosswalk, kept = setting
+    fewer = crosswalk.where("src <> 'Trade'")
+    aligned = align_weighted(read_release(spark, str(tmp_path)), fewer, kept, plain_va(spark), strict=False)
+    left = by_key(aligned.unweighted)
+    assert {k[1] for k in left} == {c.UNWEIGHTED}
+    total = sum(by_key(aligned.accounts.z).values()) + sum(left.values())
+    assert total == pytest.approx(sum(release_numbers()["z"].values()))
+
+
+def test_flat_facts_are_not_shuffled_for_their_codes(spark, setting, flat_folder, tmp_path):
+    from weftable.plans.flat import classify_flat, flat_emissions
+    from weftable.sources.tables import read_flat_emissions
+
+    crosswalk, kept = setting
+    flat = read_flat_file(spark, str(flat_folder / "flatfile_eu-ic-io_ind-by-ind_24ed_2020.csv"))
+    ghg = read_flat_emissions(spark, str(flat_folder / "greenhouse-gas-footprints_2024-edition_2020-data.csv"))
+    for df in (classify_flat(flat, crosswalk, kept), reference_value_added(flat, crosswalk, kept), flat_emissions(ghg, crosswalk, kept)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+        assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(rowIi" in x or "Exchange hashpartitioning(colIi" in x]
+
+
+def test_a_code_of_two_industries_is_an_error(spark, setting):
+    from weftable.operators.crosswalk import code_industries
+
+    crosswalk, _ = setting
+    wrong = crosswalk.unionByName(crosswalk.where("code = 'B'").selectExpr("src", "raw_industry", "'DZ' industry", "code"))
+    with pytest.raises(CheckFailed, match="several industries"):
+        code_industries(wrong)
+
+
+def test_a_total_of_nothing_is_conserved(spark):
+    from weftable.operators.checks import conservation
+
+    raw = spark.createDataFrame([("AT", 0.1), ("AT", 0.2), ("AT", -0.3)], "k string, value double")
+    aligned = spark.createDataFrame([("AT", -0.3), ("AT", 0.2), ("AT", 0.1), ("AT", 1e-13)], "k string, value double")
+    assert conservation(raw, aligned, ["k"]).first().conserved
+    lost = spark.createDataFrame([("AT", -0.3), ("AT", 0.2)], "k string, value double")
+    assert not conservation(raw, lost, ["k"]).first().conserved
+
+
+def test_first_unit_of_a_stressor_counts(spark, tmp_path, rows):
+    from weftable.operators.convert import gas_factors
+    from weftable.sources.tables import read_units
+
+    put(tmp_path / "u.txt", [["stressor", "unit"], ["CH4 - air", "kg CO2-eq"], ["CH4 - air", "kg"], ["SF6", "kg"], ["SF6", "kg CO2-eq"]], "\t")
+    assert rows(gas_factors(read_units(spark, str(tmp_path / "u.txt"))), "stressor", "gwp") == [("CH4 - air", 1), ("SF6", 23500)]
