@@ -24,13 +24,13 @@ def randoms(n: int, seed: int) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept between calls up to a size of a few million."""
+    """base**0 .. base**(n-1) modulo 2**64, kept between calls up to a size of two million."""
     known = _powers.get(base)
     if known is None or len(known) < n:
         steps = np.full(max(n, 1), base, dtype=np.uint64)
         steps[0] = 1
         known = np.multiply.accumulate(steps)
-        if n <= 1 << 23:
+        if n <= 1 << 21:
             _powers[base] = known
     return known[:n]
 
@@ -93,7 +93,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def batches(texts: list[str], size: int = 1 << 22):
+def batches(texts: list[str], size: int = 1 << 20):
     """Ranges of rows of about ``size`` characters; a longer text is a range by itself."""
     start = used = 0
     for i, t in enumerate(texts):

@@ -1,11 +1,12 @@
 """N-gram Jaccard join: documents whose sets of word shingles overlap enough are linked.
 
 1. Each document becomes the sorted array of the 64-bit hashes of its distinct shingles. Equal sets are one
-   set from here on.
+   set from here on, named by a 64-bit hash. Arrays are made anew from the texts in each pass that needs them; what
+   is shuffled or written are single hashes, bitmaps of candidates, and arrays of pairs that bitmaps let through.
 2. Two sets that link share one of their first (1 - threshold) shares of shingles in any common order. The
    order is by how often a shingle's bucket occurs in the corpus, rare ones first. Sets that share such a
    shingle are candidates; a shingle that only one set has is dropped at once.
-3. Each group of candidates is first compared with its hub, the set with most shared shingles, and linked
+3. Each candidate is first compared with one hub, the set with most shared shingles in its groups, and linked
    sets are merged. What is left of the groups, sets of different components, is cut into tiles: bands of
    sizes that can still link, in blocks. Within a tile all pairs are bounded from above by the bit counts
    of their hashed bitmaps; only those that can still link are compared exactly, as sorted arrays.
@@ -20,11 +21,12 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -33,28 +35,48 @@ from .store import written
 
 N = 4
 PERCENT = 85
-ORDER_BUCKETS = 1 << 18
+ORDER_BUCKETS, ORDER_PART = 1 << 22, 1 << 16
+FEW = 100_000
 MOST_FILTER_BITS = 1 << 27
 BLOCK = 1024
+PAIRS_AT_ONCE, WORDS_AT_ONCE = 1 << 16, 1 << 18
 
 
-def _sets(frames: Iterator[pd.DataFrame], n: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
-    """Frames of few million characters with the sorted distinct shingle hashes of each row."""
+def _sets(frames: Iterator[pd.DataFrame], n: int) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of few million characters, their sorted distinct shingle hashes one after another, where each row's begin, and all shingles."""
     space = separators("space")
     for frame in frames:
         texts = frame["text"].tolist()
         for lo, hi in batches(texts):
             words, at = word_hashes(texts[lo:hi], space)
-            yield frame.iloc[lo:hi], [np.unique(shingles(words[at[i] : at[i + 1]], n)) for i in range(hi - lo)]
-
-
-def _identity(items: np.ndarray) -> tuple[int, int]:
-    a, b = mix(items), mix(items ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    return int(a.sum(dtype=np.uint64).astype(np.int64)), int(b.sum(dtype=np.uint64).astype(np.int64))
-
-
-def _signed(items: np.ndarray) -> np.ndarray:
-    return items.view(np.int64)
+            counts = np.diff(at)
+            sizes = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
+            starts = np.concatenate(([0], np.cumsum(sizes)))
+            items = np.zeros(starts[-1], dtype=np.uint64)
+            if len(words) >= n:
+                row = np.repeat(np.arange(hi - lo), sizes)
+                place = at[row] + np.arange(len(items)) - starts[row]
+                items = shingles(words, n)[np.minimum(place, len(words) - n)]
+            for i in np.flatnonzero((counts > 0) & (counts < n)):
+                items[starts[i]] = shingles(words[at[i] : at[i + 1]], n)[0]
+            every = items.copy()
+            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                items[a:b].sort()
+            new = np.ones(len(items), dtype=bool)
+            new[1:] = items[1:] != items[:-1]
+            new[starts[:-1][sizes > 0]] = True
+            yield frame.iloc[lo:hi], items[new], np.concatenate(([0], np.cumsum(new)))[starts], every
+
+
+def _names(items: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit names of the sets, each from its size and two sums over its mixed items."""
+    def sums(values: np.ndarray) -> np.ndarray:
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
+        return total[starts[1:]] - total[starts[:-1]]
+
+    out = mix(np.diff(starts).astype(np.uint64))
+    out = mix(out ^ sums(mix(items)))
+    return mix(out ^ sums(mix(items ^ np.uint64(0xA5A5A5A5A5A5A5A5)))).view(np.int64)
 
 
 def bitmap(items: np.ndarray) -> bytes:
@@ -90,42 +112,72 @@ def bands(percent: int) -> np.ndarray:
     return np.array(starts, dtype=np.int64)
 
 
-def _bucket_counts(docs: DataFrame, n: int) -> np.ndarray:
-    """Shingles of the corpus by bucket, a table of fixed size."""
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(ORDER_BUCKETS, dtype=np.int64)
-        space = separators("space")
-        for frame in frames:
-            texts = frame["text"].tolist()
-            for lo, hi in batches(texts):
-                words, at = word_hashes(texts[lo:hi], space)
-                items = np.concatenate([shingles(words[at[i] : at[i + 1]], n) for i in range(hi - lo)])
-                counts += np.bincount((items % np.uint64(ORDER_BUCKETS)).astype(np.int64), minlength=ORDER_BUCKETS)
-        used = np.flatnonzero(counts)
-        yield pd.DataFrame({"bucket": used.astype(np.int32), "n": counts[used]})
-
-    found = docs.select("text").mapInPandas(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(ORDER_BUCKETS, dtype=np.int64)
-    counts[found["bucket"].to_numpy()] = found["n"].to_numpy()
-    return counts
-
-
-def _filter_bits(reps: DataFrame) -> np.ndarray:
-    """Bits by ``h1`` of the given sets, so that most others need not be shuffled; at most 16 MB."""
-    count = reps.count()
-    bits = min(MOST_FILTER_BITS, max(1 << 12, 1 << (16 * max(count, 1)).bit_length()))
-    place = F.col("h1").bitwiseAND(F.lit(bits - 1))
-    words = reps.select(F.shiftright(place, 6).alias("w"), place.bitwiseAND(F.lit(63)).cast("int").alias("b"))
+def _describe(own: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
+    """``id, n, sid`` of each row, and how many shingles of the corpus fall in each bucket, from one pass.
+
+    Each task adds its table of buckets, of fixed size, to the rows it writes.
+    """
+
+    def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(ORDER_BUCKETS, dtype=np.uint32)
+        for f, items, starts, every in _sets(frames, n):
+            bucket, often = np.unique((every % np.uint64(ORDER_BUCKETS)).astype(np.uint32), return_counts=True)
+            counts[bucket] += often.astype(np.uint32)
+            yield pd.DataFrame({"id": f["id"], "n": np.diff(starts), "sid": _names(items, starts), "part": -1, "counts": None})
+        parts = counts.reshape(-1, ORDER_PART)
+        used = np.flatnonzero(parts.any(axis=1))
+        packed = [zlib.compress(p.tobytes(), 1) for p in parts[used]]
+        yield pd.DataFrame({"id": None, "n": 0, "sid": 0, "part": used, "counts": packed})
+
+    def add(parts: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(c), dtype=np.uint32).astype(np.uint64) for c in parts["counts"])
+        capped = np.minimum(total, np.uint64(np.iinfo(np.uint32).max)).astype(np.uint32)
+        return pd.DataFrame({"part": parts["part"].iloc[:1], "counts": [zlib.compress(capped.tobytes(), 1)]})
+
+    both = written(own.mapInPandas(describe, "id string, n long, sid long, part long, counts binary"), "named-sets")
+    parts = both.filter("part >= 0").select("part", "counts").groupBy("part").applyInPandas(add, "part long, counts binary").toPandas()
+    out = np.zeros((ORDER_BUCKETS // ORDER_PART, ORDER_PART), dtype=np.uint32)
+    for part, counts in zip(parts["part"], parts["counts"], strict=True):
+        out[part] = np.frombuffer(zlib.decompress(counts), dtype=np.uint32)
+    return both.filter("part < 0").select("id", "n", "sid"), out.reshape(-1)
+
+
+def _filter_bits(wanted: DataFrame) -> np.ndarray:
+    """Bits by name of the given sets, so that most others need not be shuffled; at most 16 MB."""
+    bits = min(MOST_FILTER_BITS, max(1 << 12, 1 << (16 * wanted.count()).bit_length()))
+    place = F.col("sid").bitwiseAND(F.lit(bits - 1))
+    words = wanted.select(F.shiftright(place, 6).alias("w"), place.bitwiseAND(F.lit(63)).cast("int").alias("b"))
     ored = words.groupBy("w").agg(F.expr("bit_or(shiftleft(1L, b))").alias("x")).toPandas()
     out = np.zeros(bits // 64, dtype=np.uint64)
     out[ored["w"].to_numpy(dtype=np.int64)] = ored["x"].to_numpy(dtype=np.int64).view(np.uint64)
     return out
 
 
-def _bits_test(bits: np.ndarray, h: int) -> bool:
-    place = h & (len(bits) * 64 - 1)
-    return bool((int(bits[place >> 6]) >> (place & 63)) & 1)
+def _of_sets(own: DataFrame, wanted: DataFrame, n: int, percent: int, exact: bool) -> DataFrame:
+    """``sid, items`` or ``sid, n, band, map`` of the wanted sets, one row each, from a pass over the texts."""
+    bits = own.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
+    firsts = bands(percent)
+
+    def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, items, starts, _ in _sets(frames, n):
+            names = _names(items, starts)
+            place = names.view(np.uint64) & np.uint64(len(bits.value) * 64 - 1)
+            marked = (bits.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
+            rows = np.flatnonzero((marked > 0) & (np.diff(starts) > 0))
+            if not len(rows):  # no column of arrays comes from no rows
+                continue
+            sets = [items[starts[i] : starts[i + 1]] for i in rows]
+            if exact:
+                yield pd.DataFrame({"sid": names[rows], "items": [np.sort(x.view(np.int64)) for x in sets]})
+                continue
+            sizes = np.diff(starts)[rows]
+            band = np.searchsorted(firsts, sizes, side="right")
+            yield pd.DataFrame({"sid": names[rows], "n": sizes, "band": band, "map": [bitmap(x) for x in sets]})
+
+    schema = "sid long, items array<long>" if exact else "sid long, n long, band int, map binary"
+    found = own.select("text").mapInPandas(describe, schema)
+    once = found.groupBy("sid").agg(*[F.any_value(c).alias(c) for c in found.columns[1:]])
+    return written(once.join(wanted.select("sid"), "sid", "left_semi"), "arrays" if exact else "bitmaps")
 
 
 def _exact(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
@@ -156,9 +208,11 @@ def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
             for s in np.unique(sizes):
                 at = np.flatnonzero(sizes == s)
                 part = f.iloc[at]
-                ma = np.frombuffer(b"".join(part["ma"]), dtype=np.uint64).reshape(len(at), -1)
-                mb = np.frombuffer(b"".join(part["mb"]), dtype=np.uint64).reshape(len(at), -1)
-                keep[at] = can_link(ma, part["na"].to_numpy(), mb, part["nb"].to_numpy(), percent)
+                step = max(1, 8 * WORDS_AT_ONCE // int(max(s >> 32, s & (1 << 32) - 1)))
+                for lo in range(0, len(at), step):
+                    some = part.iloc[lo : lo + step]
+                    ma, mb = (np.frombuffer(b"".join(some[m]), dtype=np.uint64).reshape(len(some), -1) for m in ("ma", "mb"))
+                    keep[at[lo : lo + step]] = can_link(ma, some["na"].to_numpy(), mb, some["nb"].to_numpy(), percent)
             yield f.loc[keep, ["a", "b"]]
 
     a = maps.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("map").alias("ma"))
@@ -167,54 +221,76 @@ def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     return joined.mapInPandas(compare, "a long, b long")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(own: DataFrame, pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs that link: bounded by bitmaps, then compared as arrays of the sets that are left."""
     can = written(_bounded(pairs, sets, percent), "can-link")
-    return written(_exact(can, sets, percent), "links")
+    ends = written(can.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "can-link-sets")
+    return written(_exact(can, _of_sets(own, ends, n, percent, exact=True), percent), "links")
 
 
 def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs that can link within each tile; rows of a tile come together and are compared as one matrix of bit counts."""
-
-    def compare_tile(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        f = f.sort_values("n", kind="stable")
-        n = f["n"].to_numpy()
-        sid, comp, band, block = (f[c].to_numpy() for c in ("sid", "component", "band", "block"))
-        tile, one, two = int(f["tile"].iloc[0]), int(f["one"].iloc[0]), int(f["two"].iloc[0])
-        maps = [np.frombuffer(m, dtype=np.uint64) for m in f["map"]]
-        stacks = {w: np.stack([m for m in maps if len(m) == w]) for w in {len(m) for m in maps}}
-        rows = {w: np.array([i for i, m in enumerate(maps) if len(m) == w]) for w in stacks}
-        for i in range(len(f)):
-            for w, stack in stacks.items():
-                at = rows[w]
-                first = np.searchsorted(at, i + 1)
-                last = np.searchsorted(n[at], n[i] * 100 // percent, side="right")
-                if first >= last:
-                    continue
-                at = at[first:last]
-                ok = (comp[at] != comp[i]) & ((band[at] == tile) | (band[i] == tile))
-                if one != two:
-                    ok &= block[at] != block[i]
-                picked = np.flatnonzero(ok)
-                if len(picked):
-                    fits = can_link(maps[i][None, :], n[i], stack[first:last][picked], n[at[picked]], percent)
-                    to = sid[at[picked[fits]]]
-                    if len(to):
-                        yield pd.DataFrame({"a": np.minimum(sid[i], to), "b": np.maximum(sid[i], to)})
+    """Pairs that can link within each tile, by bit counts.
+
+    Rows of a tile come together. Several tiles are compared at once: every row with the first, second, ...
+    row after it, as long as some of these pairs lie within a tile.
+    """
+    keys = ["key", "tile", "one", "two"]
+
+    def compare_tiles(f: pd.DataFrame, group: np.ndarray) -> Iterator[pd.DataFrame]:
+        sid, comp, band, block, tile, n, pos = (f[c].to_numpy() for c in ("sid", "component", "band", "block", "tile", "n", "pos"))
+        mixed = (f["one"] != f["two"]).to_numpy()
+        maps = f["map"].tolist()
+        words = np.array([len(m) // 8 for m in maps])
+        stacks = {w: np.stack([np.frombuffer(maps[i], dtype=np.uint64) for i in np.flatnonzero(words == w)]) for w in np.unique(words)}
+        place = np.zeros(len(f), dtype=np.int64)
+        for w in stacks:
+            place[words == w] = np.arange((words == w).sum())
+        found, held = [], 0
+        for step in range(1, len(f)):
+            a = np.flatnonzero(group[step:] == group[:-step])
+            if not len(a):
+                break
+            b = a + step
+            small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+            # overlap that a link needs; the first shared key leaves at least that many items behind it in both
+            least = -(-percent * (small + large) // (100 + percent))
+            ok = (comp[a] != comp[b]) & (100 * small >= percent * large) & ((band[a] == tile[a]) | (band[b] == tile[a]))
+            ok &= (n[a] - pos[a] >= least) & (n[b] - pos[b] >= least) & (~mixed[a] | (block[a] != block[b]))
+            if ok.any():
+                found.append(np.stack((a[ok], b[ok]), axis=1))
+                held += int(ok.sum())
+            if held >= PAIRS_AT_ONCE:
+                yield from fits(np.concatenate(found), sid, n, words, stacks, place)
+                found, held = [], 0
+        if found:
+            yield from fits(np.concatenate(found), sid, n, words, stacks, place)
+
+    def fits(pairs: np.ndarray, sid, n, words, stacks, place) -> Iterator[pd.DataFrame]:
+        names = np.sort(sid[pairs], axis=1)
+        pairs = pairs[np.unique(names, axis=0, return_index=True)[1]]
+        kind = words[pairs[:, 0]] * (1 << 32) + words[pairs[:, 1]]
+        for k in np.unique(kind):
+            some = pairs[kind == k]
+            step = max(1, WORDS_AT_ONCE // int(max(words[some[0, 0]], words[some[0, 1]])))
+            for lo in range(0, len(some), step):
+                a, b = some[lo : lo + step].T
+                can = can_link(stacks[words[a[0]]][place[a]], n[a], stacks[words[b[0]]][place[b]], n[b], percent)
+                if can.any():
+                    x, y = sid[a[can]], sid[b[can]]
+                    yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys = ["key", "tile", "one", "two"]
         rest = None
         for f in frames:
             f = f if rest is None else pd.concat([rest, f], ignore_index=True)
-            new = (f[keys] != f[keys].shift()).any(axis=1).to_numpy()
-            starts = np.flatnonzero(new)
-            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
-                yield from compare_tile(f.iloc[lo:hi])
-            rest = f.iloc[starts[-1] :] if len(starts) else None
+            group = np.cumsum((f[keys] != f[keys].shift()).any(axis=1).to_numpy())
+            last = int(np.searchsorted(group, group[-1])) if len(f) else 0
+            if last:
+                yield from compare_tiles(f.iloc[:last], group[:last])
+            rest = f.iloc[last:]
         if rest is not None and len(rest):
-            yield from compare_tile(rest)
+            yield from compare_tiles(rest, np.zeros(len(rest)))
 
-    keys = ["key", "tile", "one", "two"]
     dealt = tiles.repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInPandas(compare, "a long, b long").distinct()
 
@@ -230,97 +306,89 @@ def _tiles(groups: DataFrame, sets: DataFrame) -> DataFrame:
     dealt = tiled.join(live, ["key", "tile"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return spread.select(
-        "key", "tile", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "sid", "component", "band"
+        "key", "tile", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
+        "block", "sid", "component", "band", "pos",
     ).join(sets.select("sid", "n", "map"), "sid")
 
 
+def _groups(own: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
+    """``key, sid, pos`` of the sets that share a prefix shingle with another set; ``pos`` is its place in the prefix.
+
+    Keys whose bucket proves that they are few are counted where they come together, in one shuffle; others are counted
+    before they are shuffled, and joined.
+    """
+    shared_counts = own.sparkSession.sparkContext.broadcast(counts)
+
+    def prefixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        order = shared_counts.value
+        for _, items, starts, _ in _sets(frames, n):
+            count = order[(items % np.uint64(ORDER_BUCKETS)).astype(np.int64)]
+            sizes = np.diff(starts)
+            takes = np.where(sizes > 0, sizes + (-percent * sizes) // 100 + 1, 0)
+            first = [a + np.argsort(count[a:b], kind="stable")[:t] for a, b, t in zip(starts[:-1], starts[1:], takes, strict=True) if t]
+            if first:
+                at = np.concatenate(first)
+                pos = np.arange(len(at)) - np.repeat(np.cumsum(takes) - takes, takes)
+                yield pd.DataFrame(
+                    {"key": items[at].view(np.int64), "often": count[at] > FEW, "sid": np.repeat(_names(items, starts), takes), "pos": pos}
+                )
+
+    postings = own.select("text").mapInPandas(prefixes, "key long, often boolean, sid long, pos int")
+    alike = Window.partitionBy("key")
+    columns = ["key", "sid", "pos"]
+    few = (
+        postings.filter("not often")
+        .select(*columns, F.min("sid").over(alike).alias("least"), F.max("sid").over(alike).alias("most"))
+        .filter("least != most")
+        .select(*columns)
+    )
+    if not bool((counts > FEW).any()):
+        return written(few.distinct(), "groups")
+    many = postings.filter("often").select(*columns).distinct()
+    shared = many.groupBy("key").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).filter("least != most")
+    return written(few.distinct().unionByName(many.join(shared.select("key"), "key")), "groups")
+
+
 def jaccard_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT
 ) -> DataFrame:
     """``key, n_shingles, component_id`` for each row: documents are linked at Jaccard >= ``percent`` / 100."""
-    kind = docs.schema[key].dataType
     own = docs.select(F.col(key).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    counts = docs.sparkSession.sparkContext.broadcast(_bucket_counts(own, n))
-
-    def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        order = counts.value
-        for f, sets in _sets(frames, n):
-            prefixes = []
-            for s in sets:
-                first = len(s) + (-percent * len(s)) // 100 + 1 if len(s) else 0
-                often = order[(s % np.uint64(ORDER_BUCKETS)).astype(np.int64)]
-                prefixes.append(_signed(s[np.argsort(often, kind="stable")[:first]]))
-            ids = [_identity(s) for s in sets]
-            yield pd.DataFrame(
-                {"id": f["id"], "n": [len(s) for s in sets], "h1": [a for a, _ in ids], "h2": [b for _, b in ids], "prefix": prefixes}
-            )
-
-    found = own.mapInPandas(describe, "id string, n long, h1 long, h2 long, prefix array<long>")
-    described = written(found.withColumn("id", F.col("id").cast(kind)), "shingle-sets")
-    same = ["n", "h1", "h2"]
-    reps = written(
-        described.filter("n > 0")
-        .groupBy(*same)
-        .agg(F.min("id").alias("first"), F.any_value("prefix").alias("prefix"))
-        .withColumn("sid", F.monotonically_increasing_id()),
-        "distinct-sets",
-    )
-    postings = reps.select("sid", F.explode("prefix").alias("key"))
-    shared = postings.groupBy("key").agg(F.count("*").alias("sets")).filter("sets > 1")
-    groups = written(postings.join(shared, "key"), "groups")
-    sets = _candidate_sets(own, reps.join(groups.select("sid").distinct(), "sid", "left_semi").select("sid", *same), n, percent)
-
-    score = groups.groupBy("sid").agg(F.sum("sets").alias("score"))
-    scored = groups.join(score, "sid").join(sets.select("sid", "n"), "sid").select("key", "sid", "score", "n")
-    hubs = scored.groupBy("key").agg(F.max(F.struct("score", "sid", "n")).alias("hub"))
+    described, counts = _describe(own, n)
+    described = described.withColumn("id", F.col("id").cast(docs.schema[key].dataType))
+    groups = _groups(own, counts, n, percent)
+    candidates = written(groups.groupBy("sid").agg(F.count("*").alias("shared")), "candidates")
+    sets = _of_sets(own, candidates, n, percent, exact=False)
+
+    # a set whose whole prefix is shared is likelier the original of copies that each lost a little
+    sized = candidates.join(sets.select("sid", "n"), "sid").select("sid", "n", (F.col("shared") / F.col("n")).alias("score"))
+    scored = groups.join(sized, "sid")
+    hubs = scored.groupBy("key").agg(F.max(F.struct("score", "n", "sid")).alias("hub"))
     near = (F.col("n") * 100 >= F.col("hub.n") * percent) & (F.col("hub.n") * 100 >= F.col("n") * percent)
-    stars = (
-        scored.join(hubs, "key")
-        .filter((F.col("sid") != F.col("hub.sid")) & near)
-        .select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b"))
-        .distinct()
-    )
-    links = _links(stars, sets, percent)
-    merged = written(components(links, "a", "b"), "merged")
-    labelled = groups.select("key", "sid").join(merged.withColumnRenamed("node", "sid"), "sid", "left")
-    labelled = labelled.withColumn("component", F.coalesce("component", "sid"))
+    own_hub = scored.join(hubs, "key").filter((F.col("sid") != F.col("hub.sid")) & near).groupBy("sid").agg(F.max("hub").alias("hub"))
+    stars = own_hub.select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b")).distinct()
+    links = _links(own, stars, sets, n, percent)
+    merged = written(components(links, "a", "b"), "merged").withColumnRenamed("node", "sid")
+    labelled = groups.join(merged, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     rest = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2")
-    open_groups = labelled.join(rest.select("key"), "key", "left_semi")
-    more = _links(_tile_pairs(_tiles(open_groups, sets), percent), sets, percent)
+    open_groups = written(labelled.join(rest.select("key"), "key", "left_semi"), "open-groups")
+    more = _links(own, _tile_pairs(_tiles(open_groups, sets), percent), sets, n, percent)
     label = written(components(links.unionByName(more), "a", "b"), "components").withColumnRenamed("node", "sid")
 
-    of_set = reps.select("sid", "first", *same).join(label, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    of_set = described.filter("n > 0").groupBy("sid").agg(F.min("id").alias("first"))
+    of_set = of_set.join(label, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     smallest = of_set.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = written(of_set.join(smallest, "component").select(*same, "component_id"), "labels")
+    named = of_set.join(smallest, "component").select("sid", "component_id")
     return (
-        described.select("id", *same)
-        .join(named, same, "left")
-        .select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+        described.join(named, "sid", "left")
+        .select(
+            F.col("id").alias(key),
+            F.col("n").alias("n_shingles"),
+            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+        )
     )
 
 
-def _candidate_sets(own: DataFrame, wanted: DataFrame, n: int, percent: int) -> DataFrame:
-    """``sid, n, band, items, map`` of the wanted sets, from a second pass over the texts."""
-    bits = own.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
-    starts = bands(percent)
-
-    def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, sets in _sets(frames, n):
-            rows = []
-            for s in sets:
-                if len(s):
-                    h1, h2 = _identity(s)
-                    if _bits_test(bits.value, h1):
-                        band = int(np.searchsorted(starts, len(s), side="right"))
-                        rows.append((len(s), h1, h2, band, _signed(np.sort(_signed(s))), bitmap(s)))
-            yield pd.DataFrame(rows, columns=["n", "h1", "h2", "band", "items", "map"])
-
-    schema = "n long, h1 long, h2 long, band int, items array<long>, map binary"
-    found = own.select("text").mapInPandas(describe, schema)
-    once = found.groupBy("n", "h1", "h2").agg(*[F.any_value(c).alias(c) for c in ("band", "items", "map")])
-    return written(once.join(wanted, ["n", "h1", "h2"]).select("sid", "n", "band", "items", "map"), "candidate-sets")
-
-
 def keep_one(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` but those that are not the smallest id of their component; rows without id stay."""
     gone = labels.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone")).distinct()
