@@ -30,39 +30,39 @@ class _Codes(dict):
 class ChunkEncoder:
     """Ids of sequences of chunks.
 
-    ``encode`` is called only with chunks not seen since the store was last emptied; it returns all
-    their ids in one array, and the number of ids of each.
+    ``encode`` returns the ids of some chunks in one array, and the number of ids of each. The first ``most``
+    chunks are kept, and frequent ones are among the first; later ones are kept until the call ends.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 250_000) -> None:
         self._encode = encode
         self._most = most
-        self._clear()
-
-    def _clear(self) -> None:
         self._codes = _Codes()
         self._starts = np.zeros(0, dtype=np.int64)
         self._sizes = np.zeros(0, dtype=np.int64)
         self._flat = np.zeros(0, dtype=np.int32)
 
-    def _learn(self) -> None:
-        flat, sizes = self._encode(self._codes.pending)
-        starts = len(self._flat) + np.cumsum(sizes) - sizes
-        self._starts = np.concatenate((self._starts, starts))
-        self._sizes = np.concatenate((self._sizes, sizes))
-        self._flat = np.concatenate((self._flat, flat))
-        self._codes.pending = []
-
     def ids(self, documents: list[list[str]]) -> list[np.ndarray]:
         """The ids of each document's chunks, one after another."""
-        if len(self._codes) > self._most:
-            self._clear()
-        get = self._codes.__getitem__
+        kept = len(self._codes)
         counts = np.array([len(d) for d in documents], dtype=np.int64)
-        codes = np.fromiter(map(get, chain.from_iterable(documents)), dtype=np.int64, count=int(counts.sum()))
-        if self._codes.pending:
-            self._learn()
-        sizes = self._sizes[codes]
-        flat = gather(self._flat, self._starts[codes], sizes)
+        codes = np.fromiter(map(self._codes.__getitem__, chain.from_iterable(documents)), dtype=np.int64, count=int(counts.sum()))
+        new = self._codes.pending
+        starts, all_sizes, flat = self._starts, self._sizes, self._flat
+        if new:
+            ids, sizes = self._encode(new)
+            starts = np.concatenate((starts, len(flat) + np.cumsum(sizes) - sizes))
+            all_sizes = np.concatenate((all_sizes, sizes))
+            flat = np.concatenate((flat, ids))
+            self._codes.pending = []
+            room = max(0, self._most - kept)
+            for chunk in new[room:]:
+                del self._codes[chunk]
+            if room:
+                end = kept + min(room, len(new))
+                last = int(starts[end - 1] + all_sizes[end - 1])
+                self._starts, self._sizes, self._flat = starts[:end].copy(), all_sizes[:end].copy(), flat[:last].copy()
+        sizes = all_sizes[codes]
         cuts = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
-        return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        out = gather(flat, starts[codes], sizes)
+        return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .hashing import batches
-from .interning import ChunkEncoder
+from .interning import ChunkEncoder, gather
 from .store import new_path
 
 END = 0
@@ -40,10 +40,26 @@ SAMPLE_DOCS = 1000
 SAMPLE_CHARS = 20_000
 FEWEST_SAMPLES = 50
 
-#: A boundary between other characters and a space, tab or line break is one between tokens of a byte-level
+#: A boundary between another character and a space, tab or line break is one between tokens of a byte-level
 #: tokenizer, whatever surrounds it; texts with other white space are encoded whole.
 CHUNK = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
 OTHER_SPACE = re.compile(r"[^\S \n\t]")
+JOINED = 4096
+
+
+def _keys(text: str) -> list[str]:
+    """Chunks of a text: ``word`` stands for the word after a space, `` chunk`` for a chunk as it is."""
+    if not text:
+        return []
+    if "  " in text or "\n " in text or "\t" in text:
+        found = CHUNK.findall(text)
+        return [c[1:] if c[0] == " " and " " not in c[1:] else " " + c for c in found]
+    words = text.split(" ")
+    if words[0]:
+        words[0] = " " + words[0]
+    else:
+        del words[0]
+    return words
 
 
 class Encoder:
@@ -59,7 +75,37 @@ class Encoder:
         self.size = self._tokenizer.get_vocab_size()
         added = self._tokenizer.get_added_tokens_decoder().values()
         self._special = re.compile("|".join(re.escape(t.content) for t in added)) if added else None
-        self._chunks = ChunkEncoder(self._encode)
+        self._bytes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(self.size)], dtype=np.int64)
+        self._chunks = ChunkEncoder(self._encode_keys, most=500_000)
+
+    def _encode_keys(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks. Words that end in no white space are encoded many at once, as one text, and cut by their bytes."""
+        sizes = np.zeros(len(keys), dtype=np.int64)
+        joined = np.array([bool(k) and k[0] != " " and not k[-1].isspace() for k in keys], dtype=bool)
+        parts, places = [], []
+        words = np.flatnonzero(joined)
+        for lo in range(0, len(words), JOINED):
+            at = words[lo : lo + JOINED]
+            some = [keys[i] for i in at]
+            ids = np.array(self._tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, dtype=np.int32)
+            ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in some])
+            bytes_ = np.cumsum(self._bytes[ids])
+            cuts = np.searchsorted(bytes_, ends)
+            if cuts[-1] >= len(ids) or not np.array_equal(bytes_[cuts], ends):
+                joined[at] = False
+                continue
+            sizes[at] = np.diff(cuts, prepend=-1)
+            parts.append(ids)
+            places.append(at)
+        alone = np.flatnonzero(~joined)
+        if len(alone):
+            ids, sizes[alone] = self._encode([keys[i][1:] if keys[i][:1] == " " else " " + keys[i] for i in alone])
+            parts.append(ids)
+            places.append(alone)
+        order = np.concatenate(places)
+        starts = np.zeros(len(keys), dtype=np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return gather(np.concatenate(parts), starts, sizes), sizes
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -68,7 +114,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         whole = [bool(OTHER_SPACE.search(t) or (self._special and self._special.search(t))) for t in texts]
-        out = self._chunks.ids([[] if w else CHUNK.findall(t) for t, w in zip(texts, whole, strict=True)])
+        out = self._chunks.ids([[] if w else _keys(t) for t, w in zip(texts, whole, strict=True)])
         for i in np.flatnonzero(whole):
             out[i] = self._encode([texts[i]])[0]
         return out
