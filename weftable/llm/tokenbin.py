@@ -76,7 +76,7 @@ class Encoder:
         added = self._tokenizer.get_added_tokens_decoder().values()
         self._special = re.compile("|".join(re.escape(t.content) for t in added)) if added else None
         self._bytes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(self.size)], dtype=np.int64)
-        self._chunks = ChunkEncoder(self._encode_keys, most=500_000)
+        self._chunks = ChunkEncoder(self._encode_keys, most=300_000)
 
     def _encode_keys(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks. Words that end in no white space are encoded many at once, as one text, and cut by their bytes."""
