@@ -314,6 +314,8 @@ def _tiles(groups: DataFrame, sets: DataFrame) -> DataFrame:
 def _groups(own: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
     """``key, sid, pos`` of the sets that share a prefix shingle with another set; ``pos`` is its place in the prefix.
 
+    The first key that two linked sets share lies so early in the smaller one that all they need to share can follow;
+    groups in which no set has the key as early cannot give a link and are left out.
     Keys whose bucket proves that they are few are counted where they come together, in one shuffle; others are counted
     before they are shuffled, and joined.
     """
@@ -329,24 +331,27 @@ def _groups(own: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFra
             if first:
                 at = np.concatenate(first)
                 pos = np.arange(len(at)) - np.repeat(np.cumsum(takes) - takes, takes)
+                size = np.repeat(sizes, takes)
+                lead = (size - pos) * (100 + percent) >= 2 * percent * size
                 yield pd.DataFrame(
-                    {"key": items[at].view(np.int64), "often": count[at] > FEW, "sid": np.repeat(_names(items, starts), takes), "pos": pos}
+                    {"key": items[at].view(np.int64), "often": count[at] > FEW, "sid": np.repeat(_names(items, starts), takes), "pos": pos, "lead": lead}
                 )
 
-    postings = own.select("text").mapInPandas(prefixes, "key long, often boolean, sid long, pos int")
+    postings = own.select("text").mapInPandas(prefixes, "key long, often boolean, sid long, pos int, lead boolean")
     alike = Window.partitionBy("key")
     columns = ["key", "sid", "pos"]
     few = (
         postings.filter("not often")
-        .select(*columns, F.min("sid").over(alike).alias("least"), F.max("sid").over(alike).alias("most"))
-        .filter("least != most")
+        .select(*columns, F.min("sid").over(alike).alias("least"), F.max("sid").over(alike).alias("most"), F.max("lead").over(alike).alias("leads"))
+        .filter("least != most and leads")
         .select(*columns)
     )
     if not bool((counts > FEW).any()):
         return written(few.distinct(), "groups")
-    many = postings.filter("often").select(*columns).distinct()
-    shared = many.groupBy("key").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).filter("least != most")
-    return written(few.distinct().unionByName(many.join(shared.select("key"), "key")), "groups")
+    many = postings.filter("often").select(*columns, "lead").distinct()
+    shared = many.groupBy("key").agg(F.min("sid").alias("least"), F.max("sid").alias("most"), F.max("lead").alias("leads"))
+    shared = shared.filter("least != most and leads").select("key")
+    return written(few.distinct().unionByName(many.drop("lead").join(shared, "key")), "groups")
 
 
 def jaccard_components(
