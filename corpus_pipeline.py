@@ -18,6 +18,8 @@ from weftable.llm.pieces import encode
 from weftable.llm.queries import TOXIC_FROM, tokenizer_path
 from weftable.llm.store import table, written
 
+LONG_RATIO = 0.01
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the decision threshold; the labels are only learned from."""
@@ -26,8 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source."""
-    return drop_boilerplate(docs, host="source", text="text")
+    """Documents without the boilerplate lines of their source, long lines from a hundredth of its pages on."""
+    return drop_boilerplate(docs, host="source", text="text", long_ratio=LONG_RATIO)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,22 @@ def test_line_dedup_against_plain(spark):
     assert kept("one", "head\nbody 1\nhead\n") == "body 1\n"
 
 
+def test_lines_on_few_pages_of_a_large_host(spark):
+    import corpus_pipeline
+
+    planted = {n: f"a line that is planted on {n} pages" for n in (10, 11, 20, 50, 100)}
+    copied = "\n".join(f"line {i} of a page that has many copies" for i in range(8))
+    docs = []
+    for i in range(1000):
+        own = [f"this is the own beginning of page {i}, longer than any planted line", "Yes." if i < 30 else f"No {i}."]
+        text = copied if i >= 940 else "\n".join(own + [line for n, line in planted.items() if i < n])
+        docs.append((i, "large", text))
+    frame = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    after = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, frame, "").collect()}
+    gone = {line for n, line in planted.items() if n > 10}
+    assert after == {k: "\n".join(x for x in t.split("\n") if x not in gone) for k, _, t in docs}
+
+
 def plain_distance(a, b):
     """Least edits from ``a`` to any passage of ``b``."""
     row = [0] * (len(b) + 1)

@@ -3,6 +3,10 @@
 A line of a page is boilerplate if more than ``ratio`` of its host's pages contain it. Such lines are
 dropped from every page of the host; all other lines, blank ones included, stay in their order.
 
+With ``long_ratio``, a line of ``LONG`` characters or more is also boilerplate if it lies in more than that share of the host's
+pages, and in ``min_pages`` of them, where pages with the same longest line count as one: copies of a page share all their lines,
+and are not to lose them.
+
 Defined cases: a null text is an empty text; a null host is a host of its own; a line repeated in one
 page counts once; blank lines are never boilerplate; hosts with fewer than ``min_pages`` pages having a
 line keep it; an empty table gives an empty table. All columns of the input come through, whatever their
@@ -18,6 +22,7 @@ from .store import written
 
 RATIO = 0.1
 MIN_PAGES = 5
+LONG = 20
 
 
 def _lines(text: Column) -> Column:
@@ -29,40 +34,58 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
 
 
-def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def _longest(lines: Column) -> Column:
+    """Hash of the longest line, of equally long ones the last in order."""
+    return F.xxhash64(F.array_max(F.transform(lines, lambda x: F.struct(F.length(x).alias("n"), x.alias("line")))))
+
+
+def boilerplate_lines(
+    pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, long_ratio: float | None = None
+) -> DataFrame:
     """One row per host that has boilerplate: ``host``, ``keys`` (hash pairs of its boilerplate lines).
 
-    Each boilerplate line takes more than ``ratio`` of the host's pages, so a host has fewer than
+    Each boilerplate line takes more than ``ratio`` (or ``long_ratio``) of the host's pages, so a host has fewer than
     1/``ratio`` times the mean number of lines of its pages.
     """
     own = pages.select(F.col(host).alias("host"), _lines(F.col(text)).alias("lines"))
     totals = own.groupBy("host").agg(F.count("*").alias("pages"))
-    lines = own.select("host", F.explode(F.array_distinct("lines")).alias("line")).filter(F.trim("line") != "")
-    counts = (
-        lines.select("host", _key(F.col("line")).alias("key"))
-        .select("host", "key.a", "key.b")
-        .groupBy("host", "a", "b")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= min_pages)
-    )
+    page = F.lit(None).cast("bigint") if long_ratio is None else _longest(F.col("lines"))
+    lines = own.select("host", page.alias("page"), F.explode(F.array_distinct("lines")).alias("line")).filter(F.trim("line") != "")
+    keyed = lines.select("host", _key(F.col("line")).alias("key"), F.when(F.length("line") >= LONG, F.col("page")).alias("page"))
+    keyed = keyed.select("host", "key.a", "key.b", "page")
+    if long_ratio is None:
+        counts = keyed.groupBy("host", "a", "b").agg(F.count("*").alias("n"))
+    else:
+        of_page = keyed.groupBy("host", "a", "b", "page").agg(F.count("*").alias("n"))
+        counts = of_page.groupBy("host", "a", "b").agg(F.sum("n").alias("n"), F.count("page").alias("different"))
+    counts = counts.filter(F.col("n") >= min_pages)
+    often = F.col("n") > F.lit(ratio) * F.col("pages")
+    if long_ratio is not None:
+        often |= (F.col("different") >= min_pages) & (F.col("different") > F.lit(long_ratio) * F.col("pages"))
     total = totals.select(F.col("host").alias("of"), "pages")
     return (
         counts.join(total, F.col("host").eqNullSafe(F.col("of")))
-        .filter(F.col("n") > F.lit(ratio) * F.col("pages"))
+        .filter(often)
         .groupBy("host")
         .agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("keys"))
     )
 
 
 def drop_boilerplate(
-    pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: bool = False
+    pages: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
+    counts: bool = False,
+    long_ratio: float | None = None,
 ) -> DataFrame:
     """``pages`` without boilerplate lines; with ``counts`` also ``n_lines`` and ``n_dropped``.
 
     The boilerplate of all hosts is written first, so the join with the pages is a broadcast exactly
     when its size allows; else it is a shuffle by host, whose hot partitions Spark splits.
     """
-    found = written(boilerplate_lines(pages, host, text, ratio, min_pages), "boilerplate")
+    found = written(boilerplate_lines(pages, host, text, ratio, min_pages, long_ratio), "boilerplate")
     found = found.select(F.struct(F.col("host"), F.col("keys")).alias("__found"))
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("__row"))
     row, keys = F.col("__row"), F.coalesce(F.col("__found.keys"), F.array())
