@@ -70,6 +70,19 @@ def test_components_of_random_copies(spark, monkeypatch, n, percent, block):
     assert len(links) > 20
 
 
+@pytest.mark.parametrize("n, percent, block", [(4, 85, 1024), (4, 50, 3)])
+def test_links_within_components(spark, monkeypatch, n, percent, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    docs = copies(n * percent) + [(1000, None), (1001, "  ")]
+    sets = plain_sets(docs, n)
+    links = {(a, b) for a in sets for b in sets if a != b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    rows, pairs = jaccard.jaccard_links(spark.createDataFrame(docs, "doc_id long, text string"), n=n, percent=percent)
+    rows, pairs = {r.doc_id: r for r in rows.collect()}, [tuple(r) for r in pairs.collect()]
+    assert {k: r.n_links for k, r in rows.items()} == {k: sum(a == k for a, _ in links) for k in sets}
+    assert {tuple(sorted((rows[a].sid, rows[b].sid))) for a, b in links if sets[a] != sets[b]} == set(pairs)
+    assert len(pairs) == len(set(pairs)) > 20
+
+
 def test_frequent_keys_take_the_other_way(spark, monkeypatch):
     docs = copies(9, 80)
     df = spark.createDataFrame(docs, "doc_id long, text string")

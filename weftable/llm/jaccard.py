@@ -11,7 +11,8 @@
    sizes that can still link, in blocks. Within a tile all pairs are bounded from above by the bit counts
    of their hashed bitmaps; only those that can still link are compared exactly, as sorted arrays.
 
-Links between sets of one component are not looked for again: no component changes by them.
+For components, links between sets of one component are not looked for again: no component changes by them.
+``jaccard_links`` leaves step 3's hubs out and finds every pair of sets that link.
 
 Defined cases: A-Z count as a-z; words are runs of other than ASCII white space; with fewer than ``n`` words the
 sequence is one shingle; null and blank texts have no shingles and link with nothing; rows with equal ids
@@ -349,16 +350,43 @@ def _groups(own: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFra
     return written(few.distinct().unionByName(many.join(shared.select("key"), "key")), "groups")
 
 
-def jaccard_components(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT
-) -> DataFrame:
-    """``key, n_shingles, component_id`` for each row: documents are linked at Jaccard >= ``percent`` / 100."""
+def _candidates(
+    docs: DataFrame, key: str, text: str, n: int, percent: int
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The texts, ``id, n, sid`` of each row, the groups, their sets with how many keys each shares, and these sets' bitmaps."""
     own = docs.select(F.col(key).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     described, counts = _describe(own, n)
     described = described.withColumn("id", F.col("id").cast(docs.schema[key].dataType))
     groups = _groups(own, counts, n, percent)
     candidates = written(groups.groupBy("sid").agg(F.count("*").alias("shared")), "candidates")
-    sets = _of_sets(own, candidates, n, percent, exact=False)
+    return own, described, groups, candidates, _of_sets(own, candidates, n, percent, exact=False)
+
+
+def jaccard_links(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT
+) -> tuple[DataFrame, DataFrame]:
+    """``key, n_shingles, sid, n_links`` for each row, and the pairs ``a, b`` (a < b) of different sets that link.
+
+    A row links with the other rows of its set and with all rows of the sets its set links with. Rows name their set
+    by ``sid``, null without shingles; pairs of rows are not unfolded, as a group of equal texts has a square of them.
+    """
+    own, described, groups, _, sets = _candidates(docs, key, text, n, percent)
+    alone = groups.withColumn("component", F.col("sid"))
+    pairs = _links(own, _tile_pairs(_tiles(alone, sets), percent), sets, n, percent)
+    rows = described.filter("n > 0").groupBy("sid").agg(F.count("*").alias("rows"))
+    ends = pairs.select(F.col("a").alias("sid"), F.col("b").alias("other"))
+    ends = ends.unionByName(pairs.select(F.col("b").alias("sid"), F.col("a").alias("other")))
+    others = ends.join(rows.withColumnRenamed("sid", "other"), "other").groupBy("sid").agg(F.sum("rows").alias("linked"))
+    links = rows.join(others, "sid", "left").select("sid", (F.col("rows") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    of_row = described.withColumn("sid", F.when(F.col("n") > 0, F.col("sid"))).join(links, "sid", "left")
+    return of_row.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "sid", F.coalesce("n_links", F.lit(0)).alias("n_links")), pairs
+
+
+def jaccard_components(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT
+) -> DataFrame:
+    """``key, n_shingles, component_id`` for each row: documents are linked at Jaccard >= ``percent`` / 100."""
+    own, described, groups, candidates, sets = _candidates(docs, key, text, n, percent)
 
     # a set whose whole prefix is shared is likelier the original of copies that each lost a little
     sized = candidates.join(sets.select("sid", "n"), "sid").select("sid", "n", (F.col("shared") / F.col("n")).alias("score"))
