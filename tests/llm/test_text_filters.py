@@ -113,6 +113,20 @@ def test_recall_at_the_limit(items):
     assert met >= 0.9 * 200
 
 
+def test_recall_of_the_longest_items_on_other_edits(items):
+    words = [w for w in (np.array(hashed(t), dtype=np.uint64) for _, t in items) if len(w) >= decontaminate.LEAST]
+    tables = decontaminate.choose_tables(words, decontaminate.RECALL)
+    rng = np.random.default_rng(5)
+    found = [decontaminate._recalls(words, tables.sampled, rng)[tables.count - 1] for _ in range(4)]
+    assert np.mean(found, axis=0).min() >= decontaminate.RECALL
+
+
+def test_too_few_tables_are_an_error(items, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MOST_TABLES", 2)
+    with pytest.raises(ValueError):
+        decontaminate.build([k for k, _ in items], [t for _, t in items])
+
+
 def test_gradients_of_the_recurrent_network():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in toxicity._parameters(rng).items() if k not in ("word", "gram")}
