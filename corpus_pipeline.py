@@ -34,7 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one of smallest id."""
-    return keep_one(docs, jaccard_components(docs, n=5, percent=80))
+    return keep_one(docs, jaccard_components(docs, n=5, percent=80, by_text=True))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,6 +92,19 @@ def test_all_columns_come_through(spark):
     )
 
 
+def test_repeated_ids_are_judged_by_row(spark):
+    copied, other, third = ("some words that are said here once more", "quite another text of seven or eight words", "a third text which nobody else has written down")
+    rows = [(1, copied), (2, copied), (2, other), (3, third), (3, third), (4, copied), (4, copied), (5, None), (5, None)]
+    rows += [(6, other + " x"), (6, other + " X"), (6, other + "\tx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one = jaccard.keep_one(df, jaccard.jaccard_components(df, n=2, percent=60, by_text=True)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in one) == [(1, copied), (2, other), (3, third), (5, ""), (5, "")]
+    clean = decontaminate.drop_contaminated(df, spark.createDataFrame([(1, copied)], ITEMS)).collect()
+    assert sorted(str(tuple(r)) for r in clean) == sorted(str(r) for r in rows if r[1] != copied)
+    same = df.where("doc_id = 6")
+    assert jaccard.keep_one(same, jaccard.jaccard_components(same, n=2, by_text=True)).count() == 1
+
+
 def test_no_labels(spark):
     df = frame(spark)
     none = labels(spark, [])

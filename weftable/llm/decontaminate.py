@@ -274,14 +274,24 @@ def matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int]]:
 
 
 def find_passages(
-    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    by_text: bool = False,
 ) -> DataFrame:
-    """``key, item, distance, word, n_words`` for each row and item that match; ``word`` is where the passage begins."""
+    """``key, item, distance, word, n_words`` for each row and item that match; ``word`` is where the passage begins.
+
+    With ``by_text`` also ``text_hash``, of the row's text.
+    """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item).cast("string").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
     blocks = -(-items.count() // ITEMS_AT_ONCE)
     own = docs.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    schema = "key string, item string, distance int, word long, n_words int"
+    own = own.withColumn("text_hash", F.xxhash64("text"))
+    schema = "key string, text_hash long, item string, distance int, word long, n_words int"
     found = spark.createDataFrame([], schema)
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
@@ -291,12 +301,12 @@ def find_passages(
         def work(frames: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             known = index.value
             for frame in frames:
-                texts, keys = frame["text"].tolist(), frame["key"].tolist()
+                texts, keys, marks = (frame[c].tolist() for c in ("text", "key", "text_hash"))
                 for lo, hi in batches(texts):
                     hits = matches(known, texts[lo:hi])
                     yield pd.DataFrame(
-                        [(keys[lo + t], known.ids[i], d, w, len(known.words[i])) for t, i, d, w in hits],
-                        columns=["key", "item", "distance", "word", "n_words"],
+                        [(keys[lo + t], marks[lo + t], known.ids[i], d, w, len(known.words[i])) for t, i, d, w in hits],
+                        columns=["key", "text_hash", "item", "distance", "word", "n_words"],
                     )
 
         found = found.unionByName(own.mapInPandas(work, schema))
@@ -306,10 +316,13 @@ def find_passages(
         "distance",
         "word",
         "n_words",
+        *(["text_hash"] if by_text else []),
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs`` that match no item; rows without id stay."""
-    hit = written(find_passages(docs, benchmark, key, text).select(F.col(key).alias("__hit")).distinct(), "contaminated")
-    return docs.join(hit, F.col(f"`{key}`") == F.col("__hit"), "left_anti")
+    """Rows of ``docs`` that match no item, each judged by its own text; rows without id stay."""
+    found = find_passages(docs, benchmark, key, text, by_text=True)
+    hit = written(found.select(F.col(key).alias("__hit"), F.col("text_hash").alias("__of")).distinct(), "contaminated")
+    own = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    return docs.join(hit, (F.col(f"`{key}`") == F.col("__hit")) & (own == F.col("__of")), "left_anti")

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -114,7 +114,7 @@ def bands(percent: int) -> np.ndarray:
 
 
 def _describe(own: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
-    """``id, n, sid`` of each row, and how many shingles of the corpus fall in each bucket, from one pass.
+    """``id, text_hash, n, sid`` of each row, and how many shingles of the corpus fall in each bucket, from one pass.
 
     Each task adds its table of buckets, of fixed size, to the rows it writes.
     """
@@ -124,23 +124,23 @@ def _describe(own: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
         for f, items, starts, every in _sets(frames, n):
             bucket, often = np.unique((every % np.uint64(ORDER_BUCKETS)).astype(np.uint32), return_counts=True)
             counts[bucket] += often.astype(np.uint32)
-            yield pd.DataFrame({"id": f["id"], "n": np.diff(starts), "sid": _names(items, starts), "part": -1, "counts": None})
+            yield pd.DataFrame({"id": f["id"], "text_hash": f["text_hash"], "n": np.diff(starts), "sid": _names(items, starts), "part": -1, "counts": None})
         parts = counts.reshape(-1, ORDER_PART)
         used = np.flatnonzero(parts.any(axis=1))
         packed = [zlib.compress(p.tobytes(), 1) for p in parts[used]]
-        yield pd.DataFrame({"id": None, "n": 0, "sid": 0, "part": used, "counts": packed})
+        yield pd.DataFrame({"id": None, "text_hash": 0, "n": 0, "sid": 0, "part": used, "counts": packed})
 
     def add(parts: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(zlib.decompress(c), dtype=np.uint32).astype(np.uint64) for c in parts["counts"])
         capped = np.minimum(total, np.uint64(np.iinfo(np.uint32).max)).astype(np.uint32)
         return pd.DataFrame({"part": parts["part"].iloc[:1], "counts": [zlib.compress(capped.tobytes(), 1)]})
 
-    both = written(own.mapInPandas(describe, "id string, n long, sid long, part long, counts binary"), "named-sets")
+    both = written(own.mapInPandas(describe, "id string, text_hash long, n long, sid long, part long, counts binary"), "named-sets")
     parts = both.filter("part >= 0").select("part", "counts").groupBy("part").applyInPandas(add, "part long, counts binary").toPandas()
     out = np.zeros((ORDER_BUCKETS // ORDER_PART, ORDER_PART), dtype=np.uint32)
     for part, counts in zip(parts["part"], parts["counts"], strict=True):
         out[part] = np.frombuffer(zlib.decompress(counts), dtype=np.uint32)
-    return both.filter("part < 0").select("id", "n", "sid"), out.reshape(-1)
+    return both.filter("part < 0").select("id", "text_hash", "n", "sid"), out.reshape(-1)
 
 
 def _filter_bits(wanted: DataFrame) -> np.ndarray:
@@ -353,8 +353,9 @@ def _groups(own: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFra
 def _candidates(
     docs: DataFrame, key: str, text: str, n: int, percent: int
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
-    """The texts, ``id, n, sid`` of each row, the groups, their sets with how many keys each shares, and these sets' bitmaps."""
+    """The texts, ``id, text_hash, n, sid`` of each row, the groups, their sets with how many keys each shares, and these sets' bitmaps."""
     own = docs.select(F.col(key).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    own = own.withColumn("text_hash", F.xxhash64("text"))
     described, counts = _describe(own, n)
     described = described.withColumn("id", F.col("id").cast(docs.schema[key].dataType))
     groups = _groups(own, counts, n, percent)
@@ -383,9 +384,12 @@ def jaccard_links(
 
 
 def jaccard_components(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT, by_text: bool = False
 ) -> DataFrame:
-    """``key, n_shingles, component_id`` for each row: documents are linked at Jaccard >= ``percent`` / 100."""
+    """``key, n_shingles, component_id`` for each row: documents are linked at Jaccard >= ``percent`` / 100.
+
+    With ``by_text`` also ``text_hash`` and ``component``, a name that no other component has, null without shingles.
+    """
     own, described, groups, candidates, sets = _candidates(docs, key, text, n, percent)
 
     # a set whose whole prefix is shared is likelier the original of copies that each lost a little
@@ -406,18 +410,41 @@ def jaccard_components(
     of_set = described.filter("n > 0").groupBy("sid").agg(F.min("id").alias("first"))
     of_set = of_set.join(label, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     smallest = of_set.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = of_set.join(smallest, "component").select("sid", "component_id")
+    named = of_set.join(smallest, "component").select("sid", "component", "component_id")
     return (
         described.join(named, "sid", "left")
         .select(
             F.col("id").alias(key),
             F.col("n").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+            *([F.col("text_hash"), F.when(F.col("n") > 0, F.col("component")).alias("component")] if by_text else []),
         )
     )
 
 
-def keep_one(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` but those that are not the smallest id of their component; rows without id stay."""
-    gone = labels.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{key}`") == F.col("__gone"), "left_anti")
+def keep_one(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs`` but those that are not the smallest id of their component; rows without id stay.
+
+    Labels made with ``by_text`` decide for each row: an id with several texts stays with those that are no copies, and
+    of equal rows, or texts of the smallest id in one component, one stays. Other labels decide by id alone.
+    """
+    if "text_hash" not in labels.columns:
+        gone = labels.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone")).distinct()
+        return docs.join(gone, F.col(f"`{key}`") == F.col("__gone"), "left_anti")
+    own = labels.filter(F.col(key).isNotNull() & F.col("component").isNotNull())
+    own = written(own.select(F.col(key).alias("__id"), "component_id", F.col("text_hash").alias("__of"), "component"), "labels")
+    first = own.filter("__id = component_id")
+    several = first.groupBy("component").agg(F.min("__of").alias("least"), F.max("__of").alias("most")).filter("least != most")
+    others = first.join(several, "component").filter("__of != least").select("__id", "__of")
+    gone = written(own.filter("__id != component_id").select("__id", "__of").unionByName(others).distinct(), "gone")
+    repeated = written(first.groupBy("__id", "__of").agg(F.count("*").alias("n")).filter("n > 1").select("__id", "__of"), "repeated")
+    marked = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+
+    def same(other: DataFrame) -> Column:
+        return (F.col(f"`{key}`") == other["__id"]) & (F.col("__text_hash") == other["__of"])
+
+    left = marked.join(gone, same(gone), "left_anti")
+    if not repeated.isEmpty():
+        once = left.join(repeated, same(repeated), "left_semi").dropDuplicates([key, "__text_hash"])
+        left = left.join(repeated, same(repeated), "left_anti").unionByName(once)
+    return left.drop("__text_hash")
