@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from helpers import CLASHING, LONG, ODD, frame
 from weftable.llm import boilerplate, decontaminate, fingerprint, jaccard, pieces, pii, preference, quality, tokenbin, toxicity
+from weftable.llm.license import scan_licenses
+from weftable.llm.middle import fill_in_middle
 
 PIECES, BYTES = (public_tokenizers.path(f) for f in ("piece_bpe_32k.model", "byte_bpe_50k.json"))
 LABELS = "doc_id long, quality int, toxic int"
@@ -34,6 +36,8 @@ PER_ROW = {
     "tokenbin": lambda df: tokenbin.token_table(df, BYTES),
     "boilerplate": boilerplate.drop_boilerplate,
     "pii": pii.personal_data,
+    "license": scan_licenses,
+    "middle": fill_in_middle,
 }
 
 

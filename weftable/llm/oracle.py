@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import license
+
 LINE_DEDUP = """
 with d as (select doc_id, source, string_split(coalesce(text, ''), chr(10)) ls from documents),
 l as (
@@ -82,9 +84,123 @@ from s join r on r.n = s.doc_id group by 1, 2
 """
 
 
+SOURCE_DIVERGENCE = """
+with d as materialized (
+  select row_number() over () rid, coalesce(lang, '') lang, coalesce(source, '') source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') ts
+  from documents),
+t as (select rid, lang, source, unnest(ts) term from d),
+voc as (select lang, term, count(*) total from t group by 1, 2 having count(distinct rid) >= 10),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) n from t group by 1, 2, 3),
+v as (select lang, count(*) v, sum(total) n from voc group by 1),
+dense as (
+  select g.lang, g.source, voc.term, coalesce(c.n, 0) n, voc.total
+  from g join voc on voc.lang = g.lang left join c on c.lang = g.lang and c.source = g.source and c.term = voc.term),
+s as (select lang, source, sum(n) n from dense group by 1, 2),
+p as (
+  select dense.lang, dense.source, term, dense.n k,
+         1 + (1000000000::hugeint * (dense.n + 2)) // (s.n + 2 * v.v) p,
+         1 + (1000000000::hugeint * (total + 2)) // (v.n + 2 * v.v) q
+  from dense join s on s.lang = dense.lang and s.source = dense.source join v on v.lang = dense.lang),
+pairs as (
+  select a.lang, a.source, b.source item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0) w
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join p x on x.lang = a.lang and x.source = a.source
+  left join p y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by 1, 2, 3),
+terms as (select lang, source, term item, ((p - q) * (p - q)) // (p + q) w from p where k > 0 and p > q),
+r as (
+  select lang, source, 'pair' part, item, w, row_number() over (partition by lang, source order by w desc, item) r from pairs
+  union all
+  select lang, source, 'term', item, w, row_number() over (partition by lang, source order by w desc, item) from terms
+  qualify row_number() over (partition by lang, source order by w desc, item) <= 10)
+select lang, source, part, item, cast(w as bigint) as value, cast(r as integer) as rank from r
+"""
+
+LICENSE_SCAN = """
+with p as (
+  select pattern, base, label, string_split(words, ' ') ws, case when keys = '' then [] else string_split(keys, '|') end ks
+  from (values {patterns}) t(pattern, base, label, words, keys)),
+pu as (select pattern, base, unnest(ws) w, generate_subscripts(ws, 1) - 1 place from p),
+d as materialized (
+  select row_number() over () rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') dws
+  from documents),
+u as materialized (
+  select rid, w, pos from (select rid, unnest(dws) w, generate_subscripts(dws, 1) - 1 pos from d) where w in (select w from pu)),
+f as (select w, count(distinct rid) n from u group by 1),
+rare as (
+  select pattern, w from (
+    select x.pattern, x.w, base, row_number() over (partition by x.pattern order by coalesce(n, 0), x.w) r
+    from (select distinct pattern, base, w from pu) x left join f on f.w = x.w) y
+  where r <= case when base then 1 else 4 end),
+votes as (
+  select distinct u.rid, pu.pattern, base, u.pos - pu.place as start, u.w
+  from rare join pu on pu.pattern = rare.pattern and pu.w = rare.w join u on u.w = rare.w),
+c as (
+  select rid, pattern, start from votes group by rid, pattern, base, start
+  having count(*) >= case when base then 1 else 2 end),
+h as (
+  select c.rid, start, base, label, ws, ks,
+         list_transform(range(len(ws)), lambda j: case when start + j >= 0 then dws[start + j + 1] end) here
+  from c join p on p.pattern = c.pattern join d on d.rid = c.rid),
+m as (
+  select *, len(list_filter(range(len(ws)), lambda j: here[j + 1] = ws[j + 1])) matched,
+         ' ' || array_to_string(here, ' ') || ' ' window_text
+  from h),
+ok as (
+  select rid, start, base, label, matched, len(ws) n from m
+  where case when base then matched = len(ws) else 100 * matched >= 70 * len(ws)
+             and len(list_filter(ks, lambda k: not contains(window_text, ' ' || k || ' '))) = 0 end),
+s as (
+  select rid, count(*) filter (base) n_base, min(start) filter (base) first_word, max(start) filter (base) last_word,
+         string_agg(distinct label, ',' order by label) filter (base) base_labels,
+         string_agg(distinct label, ',' order by label) labels, max(matched / n) filter (not base) share
+  from ok group by 1)
+select doc_id, cast(len(dws) as bigint) n_words, cast(coalesce(n_base, 0) as bigint) n_base, cast(first_word as bigint) first_word,
+       cast(last_word as bigint) last_word, coalesce(base_labels, '') base_labels, coalesce(labels, '') labels,
+       cast(coalesce(share, case when n_base > 0 then 0.5e0 end, 0e0) as double) score
+from d left join s on s.rid = d.rid
+""".replace(
+    "{patterns}",
+    ", ".join(
+        f"({number}, {base}, '{label}', '{' '.join(words)}', '{'|'.join(keys)}')"
+        for number, (label, base, words, keys) in enumerate(license.patterns())
+    ),
+)
+
+FILL_IN_MIDDLE = """
+with d as (
+  select doc_id, coalesce(text, '') t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) x from documents),
+h as (
+  select doc_id, t, length(t) n, ('0x' || substr(x, 1, 8))::ubigint h1, ('0x' || substr(x, 9, 8))::ubigint h2,
+         ('0x' || substr(x, 17, 8))::ubigint h3, ('0x' || substr(x, 25, 8))::ubigint h4
+  from d),
+f as (
+  select *, cast(least(h1 % (n + 1), h2 % (n + 1)) as bigint) a, cast(greatest(h1 % (n + 1), h2 % (n + 1)) as bigint) b,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+              when h4 % 100 < 20 then 'spm' else 'psm' end form
+  from h),
+o as (
+  select *, substring(t, 1, a) p, substring(t, a + 1, b - a) m, substring(t, b + 1, n - b) s from f)
+select doc_id, cast(n as bigint) n, form, case when form <> 'plain' then a end prefix_chars,
+       case when form <> 'plain' then b - a end middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+              else '<S>' || s || '<P>' || p || '<M>' || m end) output_sha256,
+       sha256(t) restored_sha256
+from o
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_ngram_jaccard_join": JACCARD_JOIN,
         "op7_chat_formatting": CHAT_FORMATTING,
         "op9_line_dedup": LINE_DEDUP,
+        "op11_source_divergence": SOURCE_DIVERGENCE,
+        "op12_license_scan": LICENSE_SCAN,
+        "op13_fill_in_middle": FILL_IN_MIDDLE,
     }

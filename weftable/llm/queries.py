@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from . import quality, toxicity
 from .boilerplate import drop_boilerplate
 from .decontaminate import find_passages
+from .divergence import audit
 from .fingerprint import fingerprints
 from .jaccard import jaccard_components
 from .learning import held_out
+from .license import scan_licenses
+from .middle import fill_in_middle, restore
 from .oracle import oracle_sql
 from .pieces import encode
 from .pii import personal_data
@@ -87,8 +90,55 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data(table(spark, folder, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return audit(table(spark, folder, "documents"))
+
+
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_licenses(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"),
+        F.array_max("base.start").alias("last_word"),
+        "base_labels",
+        "labels",
+        "score",
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    formed = fill_in_middle(table(spark, folder, "documents"))
+    back = restore(F.col("output"), F.col("form"))
+    return formed.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_decontamination, op4_ngram_jaccard_join, op5_fingerprints, op6_token_binary, op7_chat_formatting, op8_toxicity, op9_line_dedup, op10_pii)}
+    every = (
+        op1_quality,
+        op2_sentencepiece,
+        op3_decontamination,
+        op4_ngram_jaccard_join,
+        op5_fingerprints,
+        op6_token_binary,
+        op7_chat_formatting,
+        op8_toxicity,
+        op9_line_dedup,
+        op10_pii,
+        op11_source_divergence,
+        op12_license_scan,
+        op13_fill_in_middle,
+    )
+    return {f.__name__: f for f in every}
 
 
 __all__ = ["oracle_sql", "queries", "tokenizer_path"]
