@@ -99,7 +99,7 @@ def test_matrix_route_gives_the_same(spark, example, tmp_path):
     write_matrix(tmp_path / "Z.txt")
     kept = spark.createDataFrame([("AT",), ("ROW",)], "country string")
     flows = placed_flows(read_flow_matrix(spark, str(tmp_path / "Z.txt")), kept)
-    z = matrix_cells(spread_matrix(flows, repartition_keys(crosswalk, va, COUNTRIES)))
+    z = matrix_cells(spread_matrix(flows, repartition_keys(crosswalk, va, COUNTRIES)).z)
     assert {k: v for k, v in z.items() if v} == pytest.approx(HYBRID)
     assert len(z) == 16
 

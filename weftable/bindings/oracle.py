@@ -556,6 +556,37 @@ select stressor, gwp, cast(sum(v * gwp) as double) as value from x group by 1, 2
     q["csv_roundtrip"] = """
 select uc || '_' || us use_id, rc || '_' || rt resource_id, cast(sum(dv) as double) as value
 from flows group by 1, 2
+"""
+    q["matrix_blank_lines"] = """
+, s as (select rc, rs, uc, us, sum(v) v from flows group by 1, 2, 3, 4)
+select r.rc resource_country, r.rs resource_src, k.uc use_country, k.us use_src,
+       case when r.rc < 'G' then null else cast(coalesce(v, 0) as double) end as value
+from (select distinct rc, rs from flows) r cross join (select distinct uc, us from flows) k
+left join s on s.rc = r.rc and s.rs = r.rs and s.uc = k.uc and s.us = k.us
+"""
+    q["matrix_quoted"] = """
+, s as (select rc, rs, uc, us, sum(dv) v from flows group by 1, 2, 3, 4)
+select r.rc resource_country, r.rs || ', of "' || r.rc || '"' resource_src,
+       k.uc use_country, k.us || ', of "' || k.uc || '"' use_src, cast(coalesce(v, 0) as double) as value
+from (select distinct rc, rs from flows) r cross join (select distinct uc, us from flows) k
+left join s on s.rc = r.rc and s.rs = r.rs and s.uc = k.uc and s.us = k.us
+"""
+    q["units_in_files"] = """
+with l as (
+  select case when event_type = 'view' then 'CH4 - ' else 'CO2 - ' end || user_id stressor, event_id, event_id % 3 = 0 done,
+         (20 * (event_id % 1000) * (event_id % 1000) * (event_id % 1000)) // 1000000000 part
+  from events),
+f as (select stressor, done, row_number() over (partition by stressor order by part, event_id) r from l)
+select stressor, cast(case when done or stressor like 'CO2%' then 1 else 28 end as integer) gwp from f where r = 1
+"""
+    q["asof_orders"] = """
+with o as (select o_custkey % 50 as key, o_orderdate as day, max(o_orderkey) as release from orders group by 1, 2)
+select l_orderkey, l_linenumber, o.release
+from lineitem l asof left join o on l.l_suppkey % 50 = o.key and l.l_shipdate >= o.day
+"""
+    q["replaced_sink"] = """
+select rc resource_country, rt resource_type, uc use_country, -cast(sum(dv) as double) as value
+from flows where rc <> 'ROW' group by 1, 2, 3
 """
     q["partitioned_sink"] = """
 select rc resource_country, rt resource_type, uc use_country,
@@ -575,6 +606,8 @@ _PLAIN = {
     "unpivot_wide",
     "append_union",
     "vintage_asof",
+    "units_in_files",
+    "asof_orders",
 }
 
 

@@ -16,6 +16,7 @@ from weftable.functions import recode
 from weftable.functions.aggregates import null_sum, zero_sum
 from weftable.functions.labels import split_id, unite_id
 from weftable.operators import checks, convert, lookup, reshape, spread
+from weftable.operators.asof import asof_join
 from weftable.operators.crosswalk import (
     build_crosswalk,
     code_industries,
@@ -68,8 +69,7 @@ def z_two_sided(spark: SparkSession, folder: str) -> DataFrame:
     flows = cells.select(
         "resource_country", "resource_src", "use_country", "use_src", _double()
     )
-    key = t.key(spark, folder, cells)
-    z = spread.spread_two_sided(flows, key).unionByName(spread.unspread_two_sided(flows, key))
+    z = spread.spread_whole(flows, t.key(spark, folder, cells))
     return sinks.with_ids(z, "Z").select("resource_id", "use_id", _rounded())
 
 
@@ -87,8 +87,8 @@ def key_conservation(spark: SparkSession, folder: str) -> DataFrame:
 def z_conservation(spark: SparkSession, folder: str) -> DataFrame:
     cells = t.cells(spark, folder)
     flows = cells.withColumn("value", _double())
-    z = spread.spread_two_sided(flows, t.key(spark, folder, cells))
-    checked = checks.conservation(flows, z, ["resource_country"])
+    whole = spread.spread_whole(flows, t.key(spark, folder, cells))
+    checked = checks.conserved(whole, ["resource_country"])
     return checked.select(
         F.col("resource_country").alias("country"),
         F.round("raw_total", 2).alias("raw_total"),
@@ -100,10 +100,13 @@ def global_total(spark: SparkSession, folder: str) -> DataFrame:
     """Total of the transactions before and after alignment, as whole numbers."""
     cells = t.cells(spark, folder)
     flows = cells.withColumn("value", _double())
-    z = spread.spread_two_sided(flows, t.key(spark, folder, cells))
-    before = flows.agg(F.bround(F.sum("value")).alias("total")).withColumn("side", F.lit("raw"))
-    after = z.agg(F.bround(F.sum("value")).alias("total")).withColumn("side", F.lit("aligned"))
-    return before.unionByName(after).select("side", "total")
+    whole = spread.spread_whole(flows, t.key(spark, folder, cells))
+    aligned = F.when(F.col("resource_industry") != c.UNWEIGHTED, F.col("value"))
+    sides = F.array(
+        F.struct(F.lit("raw").alias("side"), F.bround(F.sum("raw")).alias("total")),
+        F.struct(F.lit("aligned").alias("side"), F.bround(F.sum(aligned)).alias("total")),
+    )
+    return whole.agg(sides.alias("sides")).select(F.inline("sides"))
 
 
 def coverage_gaps(spark: SparkSession, folder: str) -> DataFrame:
@@ -894,6 +897,17 @@ def vintage_asof(spark: SparkSession, folder: str) -> DataFrame:
     return vintages.with_vintage(by_year, "year", releases)
 
 
+def asof_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line item with the last order of its key until it was shipped: as many releases as orders."""
+    orders = t.table(spark, folder, "orders").groupBy(
+        (F.col("o_custkey") % 50).alias("key"), F.col("o_orderdate").alias("day")
+    ).agg(F.max("o_orderkey").alias("release"))
+    items = t.table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_suppkey") % 50).alias("key"), F.col("l_shipdate").alias("day")
+    )
+    return asof_join(items, orders, ["key"], "day", ["release"]).select("l_orderkey", "l_linenumber", "release")
+
+
 # --- readers and writers -------------------------------------------------------------------------
 
 
@@ -928,6 +942,46 @@ def matrix_two_labels(spark: SparkSession, folder: str) -> DataFrame:
     return matrix.cells().unionByName(lines)
 
 
+def matrix_blank_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A matrix whose first lines of data hold no number: their cells come back without a value."""
+    sums = t.flows(spark, folder).select(*PRODUCER, "use_country", "use_src", F.col("v").alias("value"))
+    path = new_folder(spark, "matrix")
+    blank = F.col("resource_country") < "G"
+    write_wide_text(sums, PRODUCER, ["use_country", "use_src"], path, [["region", ""], ["sector", ""]], blank=blank)
+    return read_matrix(spark, path, PRODUCER, ["use_country", "use_src"]).cells()
+
+
+def matrix_quoted(spark: SparkSession, folder: str) -> DataFrame:
+    """A comma table whose labels hold commas and quotes."""
+    label = {side: F.concat(F.col(f"{side}_src"), F.lit(', of "'), F.col(f"{side}_country"), F.lit('"')) for side in ("resource", "use")}
+    quoted = {f"{side}_src": F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"')) for side, x in label.items()}
+    sums = t.flows(spark, folder).select(*PRODUCER, "use_country", "use_src", F.col("dv").alias("value")).withColumns(quoted)
+    path = new_folder(spark, "matrix")
+    write_wide_text(sums, PRODUCER, ["use_country", "use_src"], path, [["region", ""], ["sector", ""]], sep=",")
+    return read_matrix(spark, path, PRODUCER, ["use_country", "use_src"], sep=",", quote='"').cells()
+
+
+def units_in_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A unit table of as many lines as events, in twenty files of unlike size: the first line in the files counts."""
+    events = t.table(spark, folder, "events")
+    stressor = F.concat(F.when(F.col("event_type") == "view", "CH4 - ").otherwise("CO2 - "), F.col("user_id").cast("string"))
+    place = F.col("event_id") % 1000
+    part = F.call_function("div", 20 * place * place * place, F.lit(1_000_000_000))
+    unit = F.when(F.col("event_id") % 3 == 0, c.CO2_EQUIVALENT_UNIT).otherwise("kg")
+    lines = events.select(F.lpad(part.cast("string"), 2, "0").alias("part"), "event_id", stressor.alias("stressor"), unit.alias("unit"))
+    path = new_folder(spark, "units")
+    (
+        lines.repartition("part")
+        .sortWithinPartitions("part", "event_id")
+        .select("part", "stressor", "unit")
+        .write.partitionBy("part")
+        .option("header", True)
+        .option("sep", "\t")
+        .csv(path)
+    )
+    return convert.gas_factors(tables.read_units(spark, path, ordered=True))
+
+
 def nan_demand(spark: SparkSession, folder: str) -> DataFrame:
     """Final demand from a matrix whose cells for one component of the rest are not a number."""
     gap = (F.col("use_country") == c.REST_OF_WORLD) & (F.col("priority") == "5-LOW")
@@ -993,9 +1047,29 @@ def partitioned_sink(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(sums.schema).parquet(path)
 
 
+def replaced_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions published by country, and again without one country and with other values."""
+    sums = stage(
+        t.flows(spark, folder)
+        .groupBy("resource_country", "resource_type", "use_country")
+        .agg(null_sum("dv").cast("double").alias("value")),
+        "sums",
+    )
+    path = new_folder(spark, "published")
+    sinks.publish_by_country(sums, path)
+    again = sinks.read_published(spark, path, sums.schema).where(F.col("resource_country") != c.REST_OF_WORLD)
+    sinks.publish_by_country(again.withColumn("value", -F.col("value")), path)
+    return sinks.read_published(spark, path, sums.schema)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "z_two_sided": z_two_sided,
+        "matrix_blank_lines": matrix_blank_lines,
+        "matrix_quoted": matrix_quoted,
+        "units_in_files": units_in_files,
+        "asof_orders": asof_orders,
+        "replaced_sink": replaced_sink,
         "repartition_key": repartition_key,
         "key_conservation": key_conservation,
         "z_conservation": z_conservation,

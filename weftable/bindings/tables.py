@@ -80,9 +80,9 @@ SCHEMAS = {
     ),
     "lineitem": (
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-        "l_quantity double, l_extendedprice double, l_returnflag string"
+        "l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz"
     ),
-    "events": "ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
 
 

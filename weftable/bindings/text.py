@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftable.sources.staging import stage
@@ -18,13 +18,14 @@ def write_wide_text(
     marks: Sequence[Sequence[str]],
     sep: str = "\t",
     parts: int | None = None,
+    blank: Column | None = None,
 ) -> str:
     """Write cells (rows..., columns..., value) as a dense matrix of delimited text.
 
     ``marks`` gives the leading fields of each label line; label lines beyond
     the number of ``columns`` are empty. Lines are spread over ``parts`` files (as
     many as shuffle partitions) and each starts with the label lines. A line holds as many cells as the
-    matrix has columns.
+    matrix has columns; lines for which ``blank`` holds have empty cells.
     """
     rows, columns = list(rows), list(columns)
     parts = parts or int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -42,6 +43,8 @@ def write_wide_text(
         .join(totals, [*rows, *columns], "left")
     )
     text = F.coalesce(F.col("value").cast("string"), F.lit("0"))
+    if blank is not None:
+        text = F.when(blank, F.lit("")).otherwise(text)
     ordered = F.sort_array(F.collect_list(F.struct("pos", text.alias("text"))))
     part = F.pmod(F.xxhash64(*rows), F.lit(parts)).alias("part")
     data = dense.groupBy(*rows).agg(ordered.alias("line")).select(

@@ -149,6 +149,8 @@ MATRIX_DEMAND_COMPONENTS = {
     "Changes in inventories": "P5M",
     "Changes in valuables": "P5M",
 }
+#: What the label columns of a matrix are called in a label line.
+MATRIX_LABEL_NAMES = ("category", "component", "country", "extension", "industry", "region", "sector", "stressor", "unit")
 MATRIX_EMISSIONS_DIVISOR = 1000
 MATRIX_FILES = {
     "flows": "Z.txt",

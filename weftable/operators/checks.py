@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftable.classification import UNWEIGHTED
 from weftable.functions.aggregates import null_sum, zero_sum
 
 
@@ -38,6 +39,23 @@ def conservation(
     return before.join(after, list(keys), "full").withColumn("conserved", conserved).drop("_scale")
 
 
+def conserved(whole: DataFrame, keys: Sequence[str], tolerance: float = 1e-9) -> DataFrame:
+    """The same check on the result of ``spread_whole``, which carries both of its sides."""
+    aligned = F.col("resource_industry") != UNWEIGHTED
+    totals = whole.groupBy(*keys).agg(
+        null_sum("raw").cast("double").alias("raw_total"),
+        F.sum("scale").cast("double").alias("_scale"),
+        F.when(
+            F.count(F.when(aligned, 1)) == F.count(F.when(aligned, F.col("value"))), F.sum(F.when(aligned, F.col("value")))
+        )
+        .cast("double")
+        .alias("aligned_total"),
+    )
+    difference = F.abs(F.col("raw_total") - F.col("aligned_total"))
+    kept = F.coalesce(difference <= F.lit(tolerance) * F.col("_scale"), F.lit(False))
+    return totals.withColumn("conserved", kept).drop("_scale")
+
+
 def key_conservation(totals: DataFrame, key: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     """Per country: do the weights hand on all of the totals (country, src, value)?
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weftable import classification as c
 from weftable.functions.recode import warming_potential
 from weftable.operators.lookup import first_match
+from weftable.sources.tables import LINE
 
 
 def rate_of(rates: DataFrame, year: int, location: str = c.RATE_LOCATION) -> Column:
@@ -32,11 +33,9 @@ def convert_currency(df: DataFrame, rate: Column | float, columns: str = "value"
 def gas_factors(units: DataFrame) -> DataFrame:
     """(stressor, gwp): the CO2-equivalent factor of every stressor of a unit table.
 
-    Of a stressor listed under several units the first line counts.
+    Of a stressor listed under several units the first line counts: the first in
+    the files if the table was read in their order, else in the plan's.
     """
-    listed = units.select(
-        "stressor",
-        warming_potential("stressor", "unit").alias("gwp"),
-        F.monotonically_increasing_id().alias("_line"),
-    )
-    return first_match(listed, ["stressor"], "_line").select("stressor", "gwp")
+    line = F.col(LINE) if LINE in units.columns else F.monotonically_increasing_id()
+    listed = units.select("stressor", warming_potential("stressor", "unit").alias("gwp"), line.alias(LINE))
+    return first_match(listed, ["stressor"], LINE).select("stressor", "gwp")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftable.functions.aggregates import exact_sum
 from weftable.operators.crosswalk import grid
 
 
@@ -33,7 +34,7 @@ def repartition_keys(
     sector = Window.partitionBy("country", "src")
     n = F.count(F.lit(1)).over(sector)
     known = F.count("_va").over(sector)
-    total = F.sum("_va").over(sector)
+    total = exact_sum("_va", sector)
     share = F.try_divide(F.col("_va"), total)
     if equal_if_zero:
         share = F.when(total == 0, 1 / n).otherwise(share)

@@ -14,7 +14,7 @@ from weftable.operators.checks import conservation, coverage_gaps, key_conservat
 from weftable.operators.convert import gas_factors
 from weftable.operators.crosswalk import grid
 from weftable.operators.fold import fold_countries
-from weftable.operators.spread import spread_dense, spread_matrix, spread_one_sided, unspread_matrix
+from weftable.operators.spread import spread_dense, spread_matrix, spread_one_sided
 from weftable.operators.weights import repartition_keys
 from weftable.schemas import Accounts
 from weftable.sources.matrix import LabelledMatrix
@@ -46,7 +46,7 @@ def read_release(spark: SparkSession, folder: str) -> MatrixRelease:
         demand=read_demand_matrix(spark, at["demand"]),
         factors=read_factor_matrix(spark, at["factors"]),
         emissions=read_emissions_matrix(spark, at["emissions"]),
-        units=read_units(spark, at["units"]),
+        units=read_units(spark, at["units"], ordered=True),
     )
 
 
@@ -175,13 +175,14 @@ def align_weighted(
     dense_demand: bool = True,
     strict: bool = True,
 ) -> WeightedAlignment:
-    """Align one release. Every matrix is scanned once per account it feeds.
+    """Align one release. Every matrix is scanned once.
 
     Weights cover the kept countries and whatever the release folds to besides.
     The key serves all accounts and both sides of the transactions, so it is
-    staged; the aligned transactions are staged because their check reads them
-    again. The check's other side sums each line where it lies, in a pass of its
-    own. A failed check is an error, unless ``strict`` is off.
+    staged. One pass over the transactions gives the aligned cells, those without
+    weights, and the sums that each line forms of its own cells: both sides of
+    the check, and the labels that occur. A failed check is an error, unless
+    ``strict`` is off.
     """
     listed = kept.select("country").distinct()
     present = fold_countries(
@@ -192,9 +193,9 @@ def align_weighted(
     va_totals = stage(factor_totals(release.factors, countries), "factors")
 
     flows = placed_flows(release.flows, countries)
-    z = stage(spread_matrix(flows, key), "z")
+    spread = spread_matrix(flows, key)
 
-    labels = flows.rows.select(
+    labels = spread.lines.select(
         F.col("resource_country").alias("country"), F.col("resource_src").alias("src")
     ).unionByName(
         flows.columns.select(F.col("use_country").alias("country"), F.col("use_src").alias("src"))
@@ -203,7 +204,7 @@ def align_weighted(
 
     aligned = WeightedAlignment(
         accounts=Accounts(
-            z=z,
+            z=spread.z,
             va=weighted_va(va_totals, key),
             d=weighted_demand(
                 demand_totals(release.demand, countries, positive_demand_only),
@@ -215,10 +216,10 @@ def align_weighted(
                 emission_totals(release.emissions, release.units, countries), key
             ),
         ),
-        unweighted=unspread_matrix(flows, key),
+        unweighted=spread.unweighted,
         key=key,
         key_check=key_conservation(sector_va, key),
-        z_check=conservation(flows.line_totals(), z, ["resource_country"]),
+        z_check=conservation(spread.lines, spread.z, ["resource_country"]),
         gaps=coverage_gaps(labels, key),
     )
     return aligned.require_sound() if strict else aligned

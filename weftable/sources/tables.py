@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,12 +29,33 @@ def read_text_columns(spark: SparkSession, path: str, sep: str = ",", encoding:
     )
 
 
+#: Column with the place of a row in the files it was read from.
+LINE = "_line"
+
+
+def in_file_order() -> Column:
+    """Place of a row in the files of a scan: file, block, place within the block.
+
+    A task may read blocks of several files, in the order of their sizes, so the
+    number that a task gives its rows orders them within a block only.
+    """
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+
+
 def read_typed(
-    spark: SparkSession, path: str, schema: str, sep: str = ",", encoding: str = "UTF-8"
+    spark: SparkSession, path: str, schema: str, sep: str = ",", encoding: str = "UTF-8", line: str | None = None
 ) -> DataFrame:
-    """The columns of ``schema``, taken by name; unreadable numbers become null."""
+    """The columns of ``schema``, taken by name; unreadable numbers become null.
+
+    With ``line``, a column of that name orders the rows as the files have them.
+    """
     text = read_text_columns(spark, path, sep, encoding)
     return text.select(
+        *([in_file_order().alias(line)] if line else []),
         *[
             F.col(field.name)
             if isinstance(field.dataType, T.StringType)
@@ -56,8 +77,8 @@ def read_wide_emissions(spark: SparkSession, path: str) -> DataFrame:
     return read_typed(spark, path, schemas.WIDE_EMISSIONS)
 
 
-def read_units(spark: SparkSession, path: str) -> DataFrame:
-    return read_typed(spark, path, schemas.UNITS, sep="\t")
+def read_units(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    return read_typed(spark, path, schemas.UNITS, sep="\t", line=LINE if ordered else None)
 
 
 def read_rates(spark: SparkSession, path: str) -> DataFrame:
