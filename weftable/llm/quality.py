@@ -6,6 +6,9 @@ the part of it that positives among them account for; where that difference fall
 The prior is estimated first, on texts left out of training: the least ratio, over all thresholds, of the shares of
 unlabelled and of positive texts above a threshold, bounded by the sampling error of both.
 
+Logits are shifted so that the score from which a text counts as good is the cut of least estimated error on the left-out texts:
+positives below it, and unlabelled texts above it beyond the positives that the prior puts there. No text labelled as bad is used.
+
 Inputs of a text: shares of pairs of byte classes, repetition of words and lines, lengths. Nothing else is read.
 
 The samples are bounded (``POSITIVES`` and ``UNLABELLED`` documents of up to ``LONGEST`` characters, chosen by hash, outside
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import batches, separators, span_hashes, word_spans
-from .learning import Adam, chosen, held_out, sigmoid, texts_of
+from .learning import Adam, chosen, held_out, sigmoid
 
 POSITIVES, UNLABELLED, LONGEST = 4000, 8000, 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY, MEMBERS = 16, 25, 256, 0.01, 1e-3, 5
@@ -107,12 +110,13 @@ class Committee:
 
     members: list[Model]
     prior: float
+    shift: float = 0.0
+
+    def logits(self, x: np.ndarray) -> np.ndarray:
+        return np.mean([m.logits(x) for m in self.members], axis=0) + self.shift
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        if not self.members:
-            return np.full(len(texts), 0.5)
-        x = features(texts)
-        return sigmoid(np.mean([m.logits(x) for m in self.members], axis=0))
+        return sigmoid(self.logits(features(texts))) if self.members else np.full(len(texts), 0.5)
 
 
 def _loss_gradient(model: Model, x: np.ndarray, outer: np.ndarray, hidden: np.ndarray) -> dict[str, np.ndarray]:
@@ -166,28 +170,67 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float =
     return float(np.clip(share_u[best] / share_p[best], 0.05, 0.99))
 
 
-def fit(positive: list[str], unlabelled: list[str], seed: int = 1) -> Committee:
-    xp, xu = features(positive), features(unlabelled)
-    half_p, half_u = max(1, len(xp) * 3 // 4), max(1, len(xu) * 3 // 4)
-    first = minimise(xp[:half_p], xu[:half_u], 0.5, seed)
-    left_p, left_u = xp[half_p:], xu[half_u:]
-    prior = estimate_prior(first.logits(left_p), first.logits(left_u)) if len(left_p) and len(left_u) else 0.5
-    return Committee([minimise(xp, xu, prior, seed + k) for k in range(MEMBERS)], prior)
+def estimate_cut(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
+    """Logit of least estimated share of errors, from logits of left-out positives and unlabelled texts.
+
+    The share of errors at a cut is the prior times the positives below it, plus the negatives above it, which are the
+    unlabelled texts above it less the prior times the positives above it. The middle of the best run of cuts is taken.
+    """
+    cuts = np.unique(np.concatenate((positive, unlabelled)))
+    below = np.searchsorted(np.sort(positive), cuts, side="left") / len(positive)
+    above = 1 - np.searchsorted(np.sort(unlabelled), cuts, side="left") / len(unlabelled)
+    errors = prior * below + np.maximum(above - prior * (1 - below), 0.0)
+    best = np.flatnonzero(errors <= errors.min() + 1e-12)
+    last = best[0]
+    while last + 1 < len(cuts) and errors[last + 1] <= errors.min() + 1e-12:
+        last += 1
+    low = cuts[best[0] - 1] if best[0] else cuts[0] - 1.0
+    return float((low + cuts[last]) / 2)
+
+
+def fit(positive: np.ndarray, unlabelled: np.ndarray, threshold: float = 0.7, seed: int = 1) -> Committee:
+    """Networks trained on three quarters of both samples; prior, and the cut that scores ``threshold``, from the rest."""
+    half_p, half_u = max(1, len(positive) * 3 // 4), max(1, len(unlabelled) * 3 // 4)
+    first = minimise(positive[:half_p], unlabelled[:half_u], 0.5, seed)
+    left_p, left_u = positive[half_p:], unlabelled[half_u:]
+    if not (len(left_p) and len(left_u)):
+        return Committee([minimise(positive, unlabelled, 0.5, seed + k) for k in range(MEMBERS)], 0.5)
+    prior = estimate_prior(first.logits(left_p), first.logits(left_u))
+    members = Committee([minimise(positive[:half_p], unlabelled[:half_u], prior, seed + k) for k in range(MEMBERS)], prior)
+    cut = estimate_cut(members.logits(left_p), members.logits(left_u), prior)
+    members.shift = float(np.log(threshold / (1 - threshold)) - cut)
+    return members
+
+
+def _sample(docs: DataFrame, ids: DataFrame, key: str, text: str) -> np.ndarray:
+    """Inputs of the texts of a bounded set of ids, computed where the texts lie; in an order that a seed fixes."""
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for lo, hi in batches(texts := frame["text"].tolist()):
+                yield pd.DataFrame({"key": frame["key"].iloc[lo:hi], "x": list(features(texts[lo:hi]).astype(np.float32))})
+
+    own = docs.select(F.col(key).alias("own"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    own = own.filter(F.length("text").between(1, LONGEST)).join(F.broadcast(ids.select(F.col(key).alias("id"))), F.col("own") == F.col("id"))
+    rows = own.select(F.col("own").cast("string").alias("key"), "text").mapInPandas(work, "key string, x array<float>").collect()
+    rows.sort(key=lambda r: (r["key"], r["x"]))
+    x = np.array([r["x"] for r in rows], dtype=np.float64).reshape(-1, FEATURES)
+    return x[np.random.default_rng(5).permutation(len(x))]
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text") -> Committee:
-    """Model from bounded samples of the rows outside the held-out fold."""
+def train(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", threshold: float = 0.7
+) -> Committee:
+    """Model from bounded samples of the rows outside the held-out fold; ``threshold`` is the score from which a text is good."""
     outside = F.col(key).isNotNull() & ~held_out(F.col(key))
     trusted = labels.filter(outside & (F.col(label) == 1)).select(F.col(key)).distinct()
     web = docs.filter(outside).select(F.col(key)).distinct()
-    texts = [
-        [r[1] for r in texts_of(docs, chosen(ids, key, most, 3), key, text, LONGEST)]
-        for ids, most in ((trusted, POSITIVES), (web, UNLABELLED))
-    ]
-    if not (texts[0] and texts[1]):
+    positive, unlabelled = (
+        _sample(docs, chosen(ids, key, most, 3), key, text) for ids, most in ((trusted, POSITIVES), (web, UNLABELLED))
+    )
+    if not (len(positive) and len(unlabelled)):
         return Committee([], 0.5)
-    shuffled = [[t[i] for i in np.random.default_rng(5).permutation(len(t))] for t in texts]
-    return fit(*shuffled)
+    return fit(positive, unlabelled, threshold)
 
 
 def score(docs: DataFrame, model: Committee, key: str = "doc_id", text: str = "text") -> DataFrame:

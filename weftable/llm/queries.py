@@ -46,7 +46,7 @@ def _with_decision(scores: DataFrame, threshold: float) -> DataFrame:
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    model = quality.train(docs, table(spark, folder, "labels"))
+    model = quality.train(docs, table(spark, folder, "labels"), threshold=GOOD_FROM)
     return _with_decision(quality.score(docs, model), GOOD_FROM)
 
 
