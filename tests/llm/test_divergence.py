@@ -88,30 +88,39 @@ def test_against_plain(spark):
 
 
 def test_small_bounds(monkeypatch):
-    """Sums flushed at every step, long texts counted as found, terms split over frames: the same sums."""
+    """Sums flushed at every step, long texts counted as found, terms split over batches: the same sums."""
     import pandas as pd
+    import pyarrow as pa
+
+    def batches(frame, size):
+        return iter([pa.RecordBatch.from_pandas(frame.iloc[i : i + size], preserve_index=False) for i in range(0, len(frame), size)])
+
+    def table(parts):
+        return pa.Table.from_batches(list(parts)).to_pandas()
 
     rows = [(lang or "", source or "", text or "") for _, text, lang, source in documents()]
-    frames = [pd.DataFrame(rows[i : i + 50], columns=["lang", "source", "text"]) for i in range(0, len(rows), 50)]
+    frame = pd.DataFrame(rows, columns=["lang", "source", "text"])
 
     def sums():
-        every = pd.concat(divergence._group_counts(iter(frames)))
-        return every.groupby(["lang", "source", "term"]).sum().sort_index()
+        return table(divergence._group_counts(batches(frame, 50))).groupby(["lang", "source", "term"]).sum().sort_index()
 
     whole = sums()
-    monkeypatch.setattr(divergence, "ENTRIES", 8)
-    monkeypatch.setattr(divergence, "LONG_TEXT", 16)
-    assert sums().equals(whole)
     random = np.random.default_rng(1)
-    block = pd.DataFrame([("en", f"t{t}", g, p, 3 + g) for t in range(20) for g, p in enumerate(random.integers(5, 99, 12))], columns=["lang", "term", "gid", "p", "p0"])
+    block = pd.DataFrame([(t, g, p, 3 + g) for t in range(20) for g, p in enumerate(random.integers(5, 99, 12))], columns=["tid", "gid", "p", "p0"])
 
     def pairs(size):
-        cut = [block.iloc[i : i + size].reset_index(drop=True) for i in range(0, len(block), size)]
-        return pd.concat(divergence._shared_pairs(iter(cut))).groupby(["a", "b"])["more"].sum()
+        return table(divergence._shared_pairs(batches(block, size))).groupby(["a", "b"])["more"].sum().sort_index()
 
-    few = pairs(7)
-    monkeypatch.setattr(divergence, "ENTRIES", 1 << 18)
-    assert few.equals(pairs(1000)) and len(few) == 66
+    many = pairs(1000)
+    monkeypatch.setattr(divergence, "ENTRIES", 8)
+    monkeypatch.setattr(divergence, "BATCH", 16)
+    monkeypatch.setattr(divergence, "ROWS", 3)
+    assert sums().equals(whole)
+    assert pairs(7).equals(many) and len(many) == 66
+    f = divergence._f
+    a, b = (block[block.gid == g].set_index("tid") for g in (2, 9))
+    by_hand = (f(a.p, b.p) - f(a.p, b.p0) - f(a.p0, b.p) + f(a.p0, b.p0)).sum()
+    assert many[2, 9] == by_hand
 
 
 def test_vocabulary_and_vectors_of_a_count_vectorizer(spark):
@@ -133,4 +142,7 @@ def test_empty_and_exact(spark):
 
 @pytest.mark.parametrize("text", ["", "A B-c a1b ÉtÉ \x80x\x7fy", "x" * 50, "\U0001f600\U0001f600 z"])
 def test_counts(text):
-    assert {t.decode(): n for t, n in divergence.counts_of(text).items()} == Counter(terms(text))
+    words = divergence._Vocabulary()
+    at, code, n = divergence.document_codes([b"other a", text.encode(), b""], words)
+    names = [t.decode() for t in words]
+    assert {names[c]: int(k) for i, c, k in zip(at, code, n) if i == 1} == Counter(terms(text))

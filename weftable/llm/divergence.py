@@ -21,11 +21,11 @@ table gives no rows. Other columns of the table, whatever their names, are not r
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,49 +37,98 @@ UNIT = 1_000_000_000
 #: ASCII letters and all bytes of characters beyond ASCII, after ``bytes.lower``, which changes A-Z only.
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 
-LONG_TEXT = 1 << 20
-ENTRIES = 1 << 18
-
-
-def counts_of(text: str) -> Counter:
-    """The sparse vector of a text: how often each term occurs. The terms of a long text are counted as they are found."""
-    data = text.encode("utf-8", "surrogatepass").lower()
-    if len(data) < LONG_TEXT:
-        return Counter(TERM.findall(data))
-    return Counter(m.group() for m in TERM.finditer(data))
-
-
-def _group_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of the vectors of each group in a task, with the number of documents of each term; written out as they grow."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    entries = 0
-
-    def out() -> Iterator[pd.DataFrame]:
-        for (lang, source), (total, documents) in held.items():
-            if not total:
-                continue
-            terms = list(total)
-            yield pd.DataFrame(
-                {
-                    "lang": [lang] * len(terms),
-                    "source": [source] * len(terms),
-                    "term": [t.decode("utf-8", "surrogatepass") for t in terms],
-                    "n": [total[t] for t in terms],
-                    "documents": [documents[t] for t in terms],
-                }
-            )
-
-    for frame in frames:
-        for lang, source, text in zip(frame["lang"], frame["source"], frame["text"]):
-            total, documents = held.setdefault((lang, source), (Counter(), Counter()))
-            entries -= len(total)
-            vector = counts_of(text)
-            total.update(vector)
-            documents.update(vector.keys())
-            entries += len(total)
-            if entries >= ENTRIES:
+BATCH = 1 << 20  # bytes of text counted at once
+ENTRIES = 1 << 21  # entries of group sums that a task holds, four for each term that it numbers
+ROWS = 1 << 16  # rows of a batch that a task gives out
+_CODE = (1 << 32) - 1
+
+
+class _Vocabulary(dict):
+    """Numbers the terms of a task as they come."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = n = len(self)
+        return n
+
+
+def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, and the sums of each of the values over them."""
+    if not len(keys):
+        return keys, *values
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], *(np.add.reduceat(v[order], first) for v in values)
+
+
+def document_codes(texts: list[bytes], vocabulary: _Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sparse vectors of some texts as (text, term number, count), by text and number."""
+    codes, sizes = [], []
+    found: list[list[bytes]] = []
+
+    def number() -> None:
+        codes.append(np.fromiter(map(vocabulary.__getitem__, chain.from_iterable(found)), dtype=np.int64))
+        found.clear()
+
+    for text in texts:
+        if len(text) < BATCH:
+            found.append(TERM.findall(text.lower()))
+            sizes.append(len(found[-1]))
+        else:  # the terms of a long text are numbered as they are found
+            number()
+            codes.append(np.fromiter((vocabulary[m.group()] for m in TERM.finditer(text.lower())), dtype=np.int64))
+            sizes.append(len(codes[-1]))
+    number()
+    code = np.concatenate(codes)
+    at = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
+    keys, counts = _summed(at << 32 | code, np.ones(len(code), dtype=np.int64))
+    return keys >> 32, keys & _CODE, counts
+
+
+def _pieces(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``BATCH`` bytes; a longer text is a range by itself."""
+    start = used = 0
+    for i, text in enumerate(texts):
+        if used and used + len(text) > BATCH:
+            yield start, i
+            start, used = i, 0
+        used += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _group_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the vectors of each group in a task, with the number of documents of each term; given out as they grow."""
+    vocabulary, groups = _Vocabulary(), {}
+    none = np.zeros(0, dtype=np.int64)
+    parts = [(none, none, none)]
+
+    def merged() -> tuple[np.ndarray, ...]:
+        parts[:] = [_summed(*(np.concatenate(x) for x in zip(*parts)))]
+        return parts[0]
+
+    def out() -> Iterator[pa.RecordBatch]:
+        keys, n, documents = merged()
+        terms = pa.array(vocabulary, pa.binary()).cast(pa.string())
+        langs, sources = (pa.array([g[i] for g in groups], pa.string()) for i in range(2))
+        for lo in range(0, len(keys), ROWS):
+            group, code = pa.array(keys[lo : lo + ROWS] >> 32), pa.array(keys[lo : lo + ROWS] & _CODE)
+            columns = [langs.take(group), sources.take(group), terms.take(code), pa.array(n[lo : lo + ROWS]), pa.array(documents[lo : lo + ROWS])]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "documents"])
+
+    for batch in batches:
+        named = [groups.setdefault(g, len(groups)) for g in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())]
+        of = np.array(named, dtype=np.int64)
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for lo, hi in _pieces(texts):
+            text, code, n = document_codes(texts[lo:hi], vocabulary)
+            parts.append(_summed(of[lo:hi][text] << 32 | code, n, np.ones(len(n), dtype=np.int64)))
+            if sum(len(p[0]) for p in parts) > 2 * ENTRIES:
+                merged()
+            if len(parts[0][0]) > ENTRIES or 4 * len(vocabulary) > ENTRIES:
                 yield from out()
-                held, entries = {}, 0
+                vocabulary.clear()
+                parts[:] = [(none, none, none)]
     yield from out()
 
 
@@ -90,7 +139,7 @@ def _read(docs: DataFrame, lang: str, source: str, text: str, *more: Column) ->
 
 def group_sums(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """``lang, source, term, n, documents``: occurrences and documents of every term of every group."""
-    counted = _read(docs, lang, source, text).mapInPandas(_group_counts, "lang string, source string, term string, n long, documents long")
+    counted = _read(docs, lang, source, text).mapInArrow(_group_counts, "lang string, source string, term string, n long, documents long")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
 
 
@@ -103,17 +152,19 @@ def vocabulary(sums: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame
 def document_vectors(docs: DataFrame, kept: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
     """``key, lang, term, n``: the entries of each document's sparse vector over the vocabulary ``kept``."""
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for name, of, body in zip(frame["key"], frame["lang"], frame["text"]):
-                vector = counts_of(body)
-                terms = [t.decode("utf-8", "surrogatepass") for t in vector]
-                if terms:
-                    n = len(terms)
-                    yield pd.DataFrame({"key": [name] * n, "lang": [of] * n, "term": terms, "n": list(vector.values())})
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for lo, hi in _pieces(texts):
+                words = _Vocabulary()
+                at, code, n = document_codes(texts[lo:hi], words)
+                terms = pa.array(words, pa.binary()).cast(pa.string())
+                rows = pa.array(at + lo)
+                columns = [batch.column("key").take(rows), batch.column("lang").take(rows), terms.take(pa.array(code)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "lang", "term", "n"])
 
     own = _read(docs, lang, lang, text, F.col(f"`{key}`").cast("string").alias("key")).select("key", "lang", "text")
-    entries = own.mapInPandas(work, "key string, lang string, term string, n long")
+    entries = own.mapInArrow(work, "key string, lang string, term string, n long")
     found = entries.join(kept.select("lang", "term"), ["lang", "term"])
     return found.select(F.col("key").cast(docs.schema[key].dataType).alias(key), "lang", "term", "n")
 
@@ -133,64 +184,54 @@ def _f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
-class _PairSums:
-    """Sums by pair of groups; of bounded size, as full ones are given out and begun anew."""
-
-    def __init__(self) -> None:
-        self.keys: list[np.ndarray] = []
-        self.values: list[np.ndarray] = []
-        self.held = 0
-
-    def add(self, keys: np.ndarray, values: np.ndarray) -> Iterator[pd.DataFrame]:
-        self.keys.append(keys)
-        self.values.append(values)
-        self.held += len(keys)
-        if self.held > 4 * ENTRIES:
-            self._merge()
-            if self.held > 2 * ENTRIES:
-                yield from self.out()
-
-    def _merge(self) -> None:
-        pairs, place = np.unique(np.concatenate(self.keys), axis=0, return_inverse=True)
-        sums = np.zeros(len(pairs), dtype=np.int64)
-        np.add.at(sums, place.ravel(), np.concatenate(self.values))
-        self.keys, self.values, self.held = [pairs], [sums], len(pairs)
-
-    def out(self) -> Iterator[pd.DataFrame]:
-        if self.keys:
-            self._merge()
-            yield pd.DataFrame({"a": self.keys[0][:, 0], "b": self.keys[0][:, 1], "more": self.values[0]})
-            self.keys, self.values, self.held = [], [], 0
-
-
-def _shared_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Partial sums over the terms of a task, for each two groups that share them; rows come sorted by language, term, group."""
-    sums = _PairSums()
-
-    def add(block: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        """Pairs of rows of a term, all those ``step`` rows apart at once."""
-        g, p, p0 = (block[c].to_numpy() for c in ("gid", "p", "p0"))
-        starts = (block["lang"] != block["lang"].shift()) | (block["term"] != block["term"].shift())
-        term = np.cumsum(starts.to_numpy())
-        for step in range(1, len(block)):
-            i = np.flatnonzero(term[:-step] == term[step:])
-            if not len(i):
-                break
-            j = i + step
-            more = _f(p[i], p[j]) - _f(p[i], p0[j]) - _f(p0[i], p[j]) + _f(p0[i], p0[j])
-            yield from sums.add(np.stack([g[i], g[j]], axis=1), more)
-
-    rest = None
-    for frame in frames:
-        block = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-        if not len(block):
-            continue
-        open_ = ((block["lang"] == block["lang"].iloc[-1]) & (block["term"] == block["term"].iloc[-1])).to_numpy()
-        rest = block[open_].reset_index(drop=True)  # more rows of the last term may follow
-        yield from add(block[~open_].reset_index(drop=True))
-    if rest is not None:
-        yield from add(rest)
-    yield from sums.out()
+def _block_pairs(term: np.ndarray, gid: np.ndarray, p: np.ndarray, p0: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sums over the shared terms of a block by pair of groups, (a, b, more); rows come by term and group.
+
+    All pairs of rows of a term that lie ``step`` rows apart are formed at once.
+    """
+    names, group = np.unique(gid, return_inverse=True)
+    keys, values = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for step in range(1, len(term)):
+        i = np.flatnonzero(term[:-step] == term[step:])
+        if not len(i):
+            break
+        j = i + step
+        more = _f(p[i], p[j]) - _f(p[i], p0[j]) - _f(p0[i], p[j]) + _f(p0[i], p0[j])
+        key, more = _summed(group[i] * len(names) + group[j], more)
+        keys.append(key)
+        values.append(more)
+    key, more = _summed(np.concatenate(keys), np.concatenate(values))
+    return names[key // len(names)], names[key % len(names)], more
+
+
+def _shared_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial sums over the terms of a task, for each two groups that share them; rows come sorted by term and group."""
+    rest = [np.zeros(0, dtype=np.int64)] * 4
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def out() -> Iterator[pa.RecordBatch]:
+        if held:
+            a, b, more = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.lexsort((b, a))
+            a, b, more = a[order], b[order], more[order]
+            first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+            yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(np.add.reduceat(more, first))], ["a", "b", "more"])
+
+    def add(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        pairs = _block_pairs(*rows)
+        if len(pairs[0]):
+            held.append(pairs)
+        if sum(len(x[0]) for x in held) > ENTRIES:
+            yield from out()
+
+    for batch in batches:
+        rows = [np.concatenate((r, batch.column(c).to_numpy(zero_copy_only=False))) for r, c in zip(rest, ("tid", "gid", "p", "p0"))]
+        whole = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0  # more rows of the last term may follow
+        rest = [r[whole:] for r in rows]
+        yield from add([r[:whole] for r in rows])
+    yield from add(rest)
+    yield from out()
 
 
 def _groups(docs: DataFrame, kept: DataFrame, words: DataFrame, lang: str, source: str, text: str) -> DataFrame:
@@ -224,8 +265,8 @@ def _pair_values(kept: DataFrame, groups: DataFrame) -> DataFrame:
             (F.col("terms") * (difference(F.col("p"), F.col("b0")) - both)).alias("more"),
         )
     )
-    rows = kept.select("lang", "term", "gid", "p", "p0").repartition("lang", "term").sortWithinPartitions("lang", "term", "gid")
-    shared = rows.mapInPandas(_shared_pairs, "a long, b long, more long")
+    rows = kept.select("tid", "gid", "p", "p0").repartition("tid").sortWithinPartitions("tid", "gid")
+    shared = rows.mapInArrow(_shared_pairs, "a long, b long, more long")
     parts = absent.unionByName(one_sided).unionByName(shared)
     return parts.groupBy("a", "b").agg(F.sum("more").alias("value"))
 
@@ -246,14 +287,16 @@ def audit(
     """``lang, source, part, item, value, rank``: of every group its difference to each other source of the language
     (``pair``) and the ``top`` terms that it has more often than its language (``term``)."""
     sums = written(group_sums(docs, lang, source, text), "group-sums")
-    words = written(vocabulary(sums, min_documents), "vocabulary")
-    counts = sums.join(words, ["lang", "term"]).select("lang", "source", "term", "n", F.col("total").alias("everywhere"))
+    numbered = vocabulary(sums, min_documents).withColumn("tid", F.monotonically_increasing_id())
+    words = written(numbered, "vocabulary")
+    counts = sums.join(words, ["lang", "term"]).select("lang", "source", "term", "tid", "n", F.col("total").alias("everywhere"))
     groups = _groups(docs, counts, words, lang, source, text)
     kept = written(
         counts.join(groups, ["lang", "source"]).select(
             "lang",
             "source",
             "term",
+            "tid",
             "gid",
             "p0",
             scaled(F.col("n"), F.col("total"), F.col("size")).alias("p"),
