@@ -4,13 +4,13 @@ Format: a folder with three tables, written and committed by Spark on any storag
 
 * ``dictionary``: one row, the zstandard dictionary trained on serialized id arrays, and its hash.
 * ``blocks``: ``shard`` and ``block`` number; ``payload``, the documents' compressed frames one after another; the
-  offset index as parallel arrays ``ids, offsets, sizes, counts``; ``before``, the ids in the shard ahead of the block;
+  offset index as parallel arrays ``ids, offsets, sizes, starts, counts``; ``starts`` are the token ids in the shard ahead of a document;
   ``width``, the bytes of one little-endian id; ``dictionary``, the dictionary's hash.
 * Documents ascend by id within and across shards. Every document is a frame by itself, so that one is read by
   its block, offset and size, without touching others.
 
-Defined cases: a null text is empty, and an empty text is the end id alone; null ids come first, equal ids by text; with too
-few samples to train on there is no dictionary, and its hash is that of nothing; an empty table gives no blocks.
+Defined cases: a null text is empty, and an empty text is the end id alone; null ids come first, equal ids by the hash of
+their text; with too few or too small different texts to train on there is no dictionary, and its hash is that of nothing; an empty table gives no blocks.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .hashing import batches
@@ -39,12 +39,14 @@ DICTIONARY_BYTES = 1 << 16
 SAMPLE_DOCS = 1000
 SAMPLE_CHARS = 20_000
 FEWEST_SAMPLES = 50
+LEAST_DICTIONARY = 1 << 11
+RANGE_BYTES = 1 << 25
 
 #: A boundary between another character and a space, tab or line break is one between tokens of a byte-level
 #: tokenizer, whatever surrounds it; texts with other white space are encoded whole.
 CHUNK = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
 OTHER_SPACE = re.compile(r"[^\S \n\t]")
-JOINED = 4096
+JOINED, TOGETHER = 1 << 15, 64  # words encoded at once, and in one text
 
 
 def _keys(text: str) -> list[str]:
@@ -79,7 +81,7 @@ class Encoder:
         self._chunks = ChunkEncoder(self._encode_keys, most=300_000)
 
     def _encode_keys(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of chunks. Words that end in no white space are encoded many at once, as one text, and cut by their bytes."""
+        """Ids of chunks. Words that end in no white space are encoded many at once, as few texts, and cut by their bytes."""
         sizes = np.zeros(len(keys), dtype=np.int64)
         joined = np.array([bool(k) and k[0] != " " and not k[-1].isspace() for k in keys], dtype=bool)
         parts, places = [], []
@@ -87,8 +89,8 @@ class Encoder:
         for lo in range(0, len(words), JOINED):
             at = words[lo : lo + JOINED]
             some = [keys[i] for i in at]
-            ids = np.array(self._tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, dtype=np.int32)
-            ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in some])
+            ids, _ = self._encode([" " + " ".join(some[a : a + TOGETHER]) for a in range(0, len(some), TOGETHER)])
+            ends = np.cumsum([(len(w) if w.isascii() else len(w.encode("utf-8", "surrogatepass"))) + 1 for w in some])
             bytes_ = np.cumsum(self._bytes[ids])
             cuts = np.searchsorted(bytes_, ends)
             if cuts[-1] >= len(ids) or not np.array_equal(bytes_[cuts], ends):
@@ -141,22 +143,30 @@ def _width(path: str) -> int:
     return 2 if _encoder(path).size <= 1 << 16 else 4
 
 
-def train_dictionary(docs: DataFrame, text: str, path: str) -> bytes:
-    """A dictionary from a bounded sample: ``SAMPLE_DOCS`` documents of up to ``SAMPLE_CHARS`` characters, chosen by hash."""
+def train_dictionary(docs: DataFrame, text: str, path: str) -> tuple[bytes, int]:
+    """A dictionary from a bounded sample, and the bytes of all texts.
+
+    The sample are the ``SAMPLE_DOCS`` different texts of up to ``SAMPLE_CHARS`` characters with the smallest hashes.
+    """
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             yield pd.DataFrame({"data": [d for _, d in _serialized(f["text"].tolist(), path)]})
 
-    own = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).filter(F.length("text").between(1, SAMPLE_CHARS))
-    few = own.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS)
-    samples = [bytes(r["data"]) for r in few.mapInPandas(work, "data binary").collect()]
-    if len(samples) < FEWEST_SAMPLES:
-        return b""
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    seen = Observation()
+    own = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).select("text", F.xxhash64("text").alias("hash"))
+    if own.isEmpty():  # there is nothing to observe in a plan without rows
+        return b"", 0
+    short = F.length("text").between(1, SAMPLE_CHARS)
+    observed = own.observe(seen, F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("bytes"))
+    few = [r["hash"] for r in observed.filter(short).select("hash").distinct().orderBy("hash").limit(SAMPLE_DOCS).collect()]
+    total = int(seen.get["bytes"])
+    if len(few) < FEWEST_SAMPLES:
+        return b"", total
+    chosen = own.filter(short & F.col("hash").isin(few)).groupBy("hash").agg(F.min("text").alias("text"))
+    samples = sorted(bytes(r["data"]) for r in chosen.select("text").mapInPandas(work, "data binary").collect())
+    size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
+    return (zstandard.train_dictionary(size, samples).as_bytes() if size >= LEAST_DICTIONARY else b""), total
 
 
 def _zdict(data: bytes) -> zstandard.ZstdCompressionDict | None:
@@ -164,9 +174,9 @@ def _zdict(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def write(docs: DataFrame, folder: str, path: str, key: str = "doc_id", text: str = "text") -> None:
-    """Writes the format. Texts are shuffled once, by ranges of ids; a shard is one range."""
+    """Writes the format. Texts are shuffled once, by ranges of ids of some ``RANGE_BYTES``; a shard is one range."""
     spark = docs.sparkSession
-    dictionary = train_dictionary(docs, text, path)
+    dictionary, total = train_dictionary(docs, text, path)
     mark = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(mark, bytearray(dictionary))], "hash string, data binary").coalesce(1).write.parquet(
         f"{folder}/dictionary"
@@ -184,8 +194,9 @@ def write(docs: DataFrame, folder: str, path: str, key: str = "doc_id", text: st
         def block() -> pd.DataFrame:
             sizes = [len(f) for f in frames_out]
             row = {
-                "shard": shard, "block": number, "before": before, "width": width, "dictionary": mark, "ids": list(ids),
-                "offsets": np.cumsum([0, *sizes[:-1]]), "sizes": sizes, "counts": list(counts), "payload": b"".join(frames_out),
+                "shard": shard, "block": number, "width": width, "dictionary": mark, "ids": list(ids),
+                "offsets": np.cumsum([0, *sizes[:-1]]), "sizes": sizes, "starts": before + np.cumsum([0, *counts[:-1]]),
+                "counts": list(counts), "payload": b"".join(frames_out),
             }
             return pd.DataFrame([row])
 
@@ -206,12 +217,13 @@ def write(docs: DataFrame, folder: str, path: str, key: str = "doc_id", text: st
             yield block()
 
     schema = (
-        "shard int, block int, before long, width int, dictionary string, ids array<string>, "
-        "offsets array<long>, sizes array<long>, counts array<long>, payload binary"
+        "shard int, block int, width int, dictionary string, ids array<string>, "
+        "offsets array<long>, sizes array<long>, starts array<long>, counts array<long>, payload binary"
     )
     own = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = own.repartitionByRange(ranges, "key").sortWithinPartitions("key", "text")
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+    order = ["key", F.xxhash64("text")]
+    ordered = own.repartitionByRange(ranges, *order).sortWithinPartitions(*order, "text")
     ordered = ordered.select(F.col("key").cast("string").alias("key"), "text")
     ordered.mapInPandas(work, schema).write.parquet(f"{folder}/blocks")
 
@@ -233,21 +245,16 @@ def frames(spark: SparkSession, folder: str) -> DataFrame:
         total += n
     base = spark.createDataFrame(bases, "shard int, base long")
     docs = F.transform(
-        F.arrays_zip("ids", "offsets", "sizes", "counts"),
+        F.arrays_zip("ids", "offsets", "sizes", "starts", "counts"),
         lambda d: F.struct(
-            d["ids"].alias("key"), d["counts"].alias("n"), F.substring("payload", (d["offsets"] + 1).cast("int"), d["sizes"].cast("int")).alias("frame")
+            d["ids"].alias("key"),
+            d["starts"].alias("start"),
+            d["counts"].alias("n"),
+            F.substring("payload", (d["offsets"] + 1).cast("int"), d["sizes"].cast("int")).alias("frame"),
         ),
     )
-    cut = blocks.select("shard", "block", "before", "width", "dictionary", docs.alias("docs"))
-    rows = cut.join(base, "shard").select(
-        (F.col("base") + F.col("before")).alias("base"),
-        "width",
-        "dictionary",
-        F.expr("slice(aggregate(docs, array(0L), (a, d) -> concat(a, array(element_at(a, -1) + d.n))), 1, size(docs))").alias("starts"),
-        "docs",
-    )
-    one = rows.select("base", "width", "dictionary", F.explode(F.arrays_zip("starts", "docs")).alias("d"))
-    return one.select("d.docs.key", (F.col("base") + F.col("d.starts")).alias("start"), "d.docs.n", "width", "dictionary", "d.docs.frame")
+    one = blocks.join(base, "shard").select("base", "width", "dictionary", F.explode(docs).alias("d"))
+    return one.select("d.key", (F.col("base") + F.col("d.start")).alias("start"), "d.n", "width", "dictionary", "d.frame")
 
 
 def _ids(spark: SparkSession, folder: str):
