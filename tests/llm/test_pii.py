@@ -88,3 +88,65 @@ def test_contexts_find_unseen_identifiers(spark):
     by = {r.doc_id: r for r in rows}
     assert by[12].spans == "email:16:23" and by[12].n_email == 0 and by[12].n_added == 1
     assert all(r.n_added == 0 for r in rows if r.doc_id != 12)
+
+
+def rows_of(spark, texts):
+    rows = pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return {r.doc_id: r for r in rows}
+
+
+def added(text, kind, value):
+    at = text.index(value)
+    return f"{kind}:{at}:{at + len(value)}"
+
+
+HEX = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(30)]
+NOISE = [f"chapter {i} has the number 4711{i:04} in it, and {HEX[i % 7].upper()} too" for i in range(40)]
+
+
+def test_secrets_after_a_known_context(spark):
+    """Keys in the documented form teach the context; what stands there in another form is found, and nothing else."""
+    seeds = [f"some words token = \"{h}\" and more words" for h in HEX]
+    unseen = ["a line with token = \"AB12-CD34-EF56-7890\" in it", "TOKEN = \"" + HEX[3].upper() + "\"!! OF", "token = 'zz9876543210zz'."]
+    texts = seeds + unseen + NOISE + ["a hash " + HEX[4].upper() + " alone", f"commit {HEX[5]} alone"]
+    by = rows_of(spark, texts)
+    for i, value in enumerate(("AB12-CD34-EF56-7890", HEX[3].upper(), "zz9876543210zz")):
+        assert by[len(seeds) + i].spans == added(unseen[i], "secret", value) and by[len(seeds) + i].n_added == 1
+    assert all(by[i].spans == added(seeds[i], "secret", HEX[i]) for i in range(len(seeds)))
+    assert sum(by[i].n_added for i in range(len(seeds) + len(unseen), len(texts))) == 0
+
+
+def test_labels_and_cards(spark):
+    def card(i):
+        digits = f"411111{i:09}"
+        return next(digits + c for c in "0123456789" if luhn(digits + c))
+
+    seeds = [f"pay card:{card(i)} now please" for i in range(20)]
+    wrong = card(77)[:-1] + str((int(card(77)[-1]) + 1) % 10)
+    texts = [*seeds, f"pay card:{wrong} now please", f"no context {wrong} at all", *NOISE]
+    by = rows_of(spark, texts)
+    assert by[20].spans == added(texts[20], "card", wrong) and (by[20].n_card, by[20].n_added) == (0, 1)
+    assert sum(r.n_added for r in by.values()) == 1
+
+
+def test_no_pattern_lends_to_itself(spark):
+    """A pattern that is right in half of its values stays out, however many rounds and twins it has."""
+    seeds = [f"write to user{i}@host{i}.example.org. today" for i in range(12)]
+    other = [f"write to number{i}12345 today" for i in range(13)]
+    spans = pii.scan(spark.createDataFrame(list(enumerate(seeds + other)), "k long, text string"), "k", "text")
+    for rounds in (1, 3, 9):
+        assert pii.score_patterns(spans, rounds=rounds).where("pattern like 'l:%'").collect() == []
+    assert all(r.n_added == 0 for r in rows_of(spark, seeds + other).values())
+
+
+def test_tokens_over_base_spans_are_no_other_values(spark):
+    seeds = [f"write to user{i}@host{i}.example.org. today" for i in range(12)]
+    spans = pii.scan(spark.createDataFrame(list(enumerate(seeds)), "k long, text string"), "k", "text")
+    assert all(r.tokens == [] for r in spans.collect())
+    found = {r.pattern: r.conf for r in pii.score_patterns(spans).collect()}
+    assert found["l:to"] == found["l:write to"] == found["r:today"] == 1.0
+
+
+def test_many_matches(spark):
+    texts = ["1.2.3.4 " * 3000, "x " * 300 + "+1 (679) 555-1339 " * 700]
+    check(spark, texts)
