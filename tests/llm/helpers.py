@@ -10,7 +10,7 @@ ODD = [
     (9, "é😀▁ 梦\x00  ok"), (10, "A b C d"), (11, "a B c D"),
 ]
 #: Columns named like those the operators use inside.
-CLASHING = ("key", "id", "sid", "n", "line", "host", "words", "sketch", "row", "bucket", "score", "label", "__row", "__keys")
+CLASHING = ("key", "id", "sid", "n", "line", "host", "words", "sketch", "row", "bucket", "score", "label", "__row", "__keys", "__text_hash", "hash", "__gone")
 
 
 def frame(spark, rows=ODD, extra=True):

@@ -58,9 +58,10 @@ def copies(seed, count=160):
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("n, percent, block", [(4, 85, 1024), (5, 80, 2), (4, 50, 3)])
-def test_components_of_random_copies(spark, monkeypatch, n, percent, block):
+@pytest.mark.parametrize("n, percent, block, small", [(4, 85, 1024, 32), (5, 80, 2, 0), (4, 50, 3, 0), (4, 50, 3, 3)])
+def test_components_of_random_copies(spark, monkeypatch, n, percent, block, small):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "SMALL", small)
     docs = copies(n * percent)
     sets = plain_sets(docs, n)
     links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
@@ -70,9 +71,10 @@ def test_components_of_random_copies(spark, monkeypatch, n, percent, block):
     assert len(links) > 20
 
 
-@pytest.mark.parametrize("n, percent, block", [(4, 85, 1024), (4, 50, 3)])
-def test_links_within_components(spark, monkeypatch, n, percent, block):
+@pytest.mark.parametrize("n, percent, block, small", [(4, 85, 1024, 32), (4, 50, 3, 0)])
+def test_links_within_components(spark, monkeypatch, n, percent, block, small):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "SMALL", small)
     docs = copies(n * percent) + [(1000, None), (1001, "  ")]
     sets = plain_sets(docs, n)
     links = {(a, b) for a in sets for b in sets if a != b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}

@@ -8,8 +8,10 @@
    shingle are candidates; a shingle that only one set has is dropped at once.
 3. Each candidate is first compared with one hub, the set with most shared shingles in its groups, and linked
    sets are merged. What is left of the groups, sets of different components, is cut into tiles: bands of
-   sizes that can still link, in blocks. Within a tile all pairs are bounded from above by the bit counts
-   of their hashed bitmaps; only those that can still link are compared exactly, as sorted arrays.
+   sizes that can still link, in blocks. Pairs of a tile are bounded by sizes and places, and from above by the bit counts
+   of their hashed bitmaps; only those that can still link are compared exactly, as sorted arrays. Rows of a large tile
+   carry their bitmaps; tiles of few sets, most of which repeat the same pairs, give their pairs, and each different pair
+   meets its bitmaps once.
 
 For components, links between sets of one component are not looked for again: no component changes by them.
 ``jaccard_links`` leaves step 3's hubs out and finds every pair of sets that link.
@@ -40,6 +42,7 @@ ORDER_BUCKETS, ORDER_PART = 1 << 22, 1 << 16
 FEW = 100_000
 MOST_FILTER_BITS = 1 << 27
 BLOCK = 1024
+SMALL = 32  # sets of a tile whose pairs meet their bitmaps afterwards
 PAIRS_AT_ONCE, WORDS_AT_ONCE = 1 << 16, 1 << 18
 
 
@@ -230,20 +233,21 @@ def _links(own: DataFrame, pairs: DataFrame, sets: DataFrame, n: int, percent: i
 
 
 def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs that can link within each tile, by bit counts.
+    """Pairs that can link within each tile, by sizes, places and, if the rows have them, bitmaps.
 
     Rows of a tile come together. Several tiles are compared at once: every row with the first, second, ...
     row after it, as long as some of these pairs lie within a tile.
     """
     keys = ["key", "tile", "one", "two"]
+    mapped = "map" in tiles.columns
 
     def compare_tiles(f: pd.DataFrame, group: np.ndarray) -> Iterator[pd.DataFrame]:
         sid, comp, band, block, tile, n, pos = (f[c].to_numpy() for c in ("sid", "component", "band", "block", "tile", "n", "pos"))
         mixed = (f["one"] != f["two"]).to_numpy()
-        maps = f["map"].tolist()
+        maps = f["map"].tolist() if mapped else []
         words = np.array([len(m) // 8 for m in maps])
         stacks = {w: np.stack([np.frombuffer(maps[i], dtype=np.uint64) for i in np.flatnonzero(words == w)]) for w in np.unique(words)}
-        place = np.zeros(len(f), dtype=np.int64)
+        place = np.zeros(len(words), dtype=np.int64)
         for w in stacks:
             place[words == w] = np.arange((words == w).sum())
         found, held = [], 0
@@ -267,8 +271,11 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
             yield from fits(np.concatenate(found), sid, n, words, stacks, place)
 
     def fits(pairs: np.ndarray, sid, n, words, stacks, place) -> Iterator[pd.DataFrame]:
-        names = np.sort(sid[pairs], axis=1)
-        pairs = pairs[np.unique(names, axis=0, return_index=True)[1]]
+        names, once = np.unique(np.sort(sid[pairs], axis=1), axis=0, return_index=True)
+        if not mapped:
+            yield pd.DataFrame({"a": names[:, 0], "b": names[:, 1]})
+            return
+        pairs = pairs[once]
         kind = words[pairs[:, 0]] * (1 << 32) + words[pairs[:, 1]]
         for k in np.unique(kind):
             some = pairs[kind == k]
@@ -293,23 +300,35 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
             yield from compare_tiles(rest, np.zeros(len(rest)))
 
     dealt = tiles.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInPandas(compare, "a long, b long").distinct()
+    return dealt.mapInPandas(compare, "a long, b long")
 
 
-def _tiles(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows of each group by tile and block; a tile has a band and the next one, a block about ``BLOCK`` sets."""
+def _tiles(groups: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of each group by tile, of small tiles and, with their bitmaps, of large ones by block.
+
+    A tile has a band and the next one, a block about ``BLOCK`` sets.
+    """
     banded = groups.join(sets.select("sid", "n", "band"), "sid")
     tiled = banded.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     stats = tiled.groupBy("key", "tile").agg(
         F.count("*").alias("rows"), F.min("component").alias("c1"), F.max("component").alias("c2"), F.max((F.col("band") == F.col("tile")).cast("int")).alias("own")
     )
-    live = stats.filter("c1 != c2 and own = 1").select("key", "tile", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-    dealt = tiled.join(live, ["key", "tile"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return spread.select(
+    live = stats.filter("c1 != c2 and own = 1").select("key", "tile", "rows")
+    dealt = written(tiled.join(live, ["key", "tile"]).select("key", "tile", "rows", "sid", "component", "band", "pos", "n"), "tiles")
+    small = dealt.filter(F.col("rows") <= SMALL).withColumns({c: F.lit(0) for c in ("one", "two", "block")})
+    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
+    large = dealt.filter(F.col("rows") > SMALL).withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int"))
+    spread = large.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return small.drop("rows"), spread.select(
         "key", "tile", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-        "block", "sid", "component", "band", "pos",
-    ).join(sets.select("sid", "n", "map"), "sid")
+        "block", "sid", "component", "band", "pos", "n",
+    ).join(sets.select("sid", "map"), "sid")
+
+
+def _open_pairs(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Different pairs of sets of a group that may link."""
+    small, large = _tiles(groups, sets)
+    return _tile_pairs(small, percent).unionByName(_tile_pairs(large, percent)).distinct()
 
 
 def _groups(own: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -373,7 +392,7 @@ def jaccard_links(
     """
     own, described, groups, _, sets = _candidates(docs, key, text, n, percent)
     alone = groups.withColumn("component", F.col("sid"))
-    pairs = _links(own, _tile_pairs(_tiles(alone, sets), percent), sets, n, percent)
+    pairs = _links(own, _open_pairs(alone, sets, percent), sets, n, percent)
     rows = described.filter("n > 0").groupBy("sid").agg(F.count("*").alias("rows"))
     ends = pairs.select(F.col("a").alias("sid"), F.col("b").alias("other"))
     ends = ends.unionByName(pairs.select(F.col("b").alias("sid"), F.col("a").alias("other")))
@@ -404,7 +423,7 @@ def jaccard_components(
     labelled = groups.join(merged, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     rest = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2")
     open_groups = written(labelled.join(rest.select("key"), "key", "left_semi"), "open-groups")
-    more = _links(own, _tile_pairs(_tiles(open_groups, sets), percent), sets, n, percent)
+    more = _links(own, _open_pairs(open_groups, sets, percent), sets, n, percent)
     label = written(components(links.unionByName(more), "a", "b"), "components").withColumnRenamed("node", "sid")
 
     of_set = described.filter("n > 0").groupBy("sid").agg(F.min("id").alias("first"))
@@ -428,23 +447,23 @@ def keep_one(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     Labels made with ``by_text`` decide for each row: an id with several texts stays with those that are no copies, and
     of equal rows, or texts of the smallest id in one component, one stays. Other labels decide by id alone.
     """
+    body = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("key"), body.alias("hash")
+    )
     if "text_hash" not in labels.columns:
-        gone = labels.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone")).distinct()
-        return docs.join(gone, F.col(f"`{key}`") == F.col("__gone"), "left_anti")
-    own = labels.filter(F.col(key).isNotNull() & F.col("component").isNotNull())
-    own = written(own.select(F.col(key).alias("__id"), "component_id", F.col("text_hash").alias("__of"), "component"), "labels")
-    first = own.filter("__id = component_id")
-    several = first.groupBy("component").agg(F.min("__of").alias("least"), F.max("__of").alias("most")).filter("least != most")
-    others = first.join(several, "component").filter("__of != least").select("__id", "__of")
-    gone = written(own.filter("__id != component_id").select("__id", "__of").unionByName(others).distinct(), "gone")
-    repeated = written(first.groupBy("__id", "__of").agg(F.count("*").alias("n")).filter("n > 1").select("__id", "__of"), "repeated")
-    marked = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-
-    def same(other: DataFrame) -> Column:
-        return (F.col(f"`{key}`") == other["__id"]) & (F.col("__text_hash") == other["__of"])
-
-    left = marked.join(gone, same(gone), "left_anti")
-    if not repeated.isEmpty():
-        once = left.join(repeated, same(repeated), "left_semi").dropDuplicates([key, "__text_hash"])
-        left = left.join(repeated, same(repeated), "left_anti").unionByName(once)
-    return left.drop("__text_hash")
+        gone = labels.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("key")).distinct()
+        left = rows.join(gone, "key", "left_anti")
+    else:
+        own = labels.filter(F.col(key).isNotNull() & F.col("component").isNotNull())
+        own = written(own.select(F.col(key).alias("key"), "component_id", F.col("text_hash").alias("hash"), "component"), "labels")
+        first = own.filter("key = component_id")
+        several = first.groupBy("component").agg(F.min("hash").alias("least"), F.max("hash").alias("most")).filter("least != most")
+        others = first.join(several, "component").filter("hash != least").select("key", "hash")
+        gone = written(own.filter("key != component_id").select("key", "hash").unionByName(others).distinct(), "gone")
+        repeated = written(first.groupBy("key", "hash").agg(F.count("*").alias("n")).filter("n > 1").select("key", "hash"), "repeated")
+        left = rows.join(gone, ["key", "hash"], "left_anti")
+        if not repeated.isEmpty():
+            once = left.join(repeated, ["key", "hash"], "left_semi").dropDuplicates(["key", "hash"])
+            left = left.join(repeated, ["key", "hash"], "left_anti").unionByName(once.select(*left.columns))
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
