@@ -46,6 +46,7 @@ RANGE_BYTES = 1 << 25
 #: tokenizer, whatever surrounds it; texts with other white space are encoded whole.
 CHUNK = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
 OTHER_SPACE = re.compile(r"[^\S \n\t]")
+ASCII_SPACE = "\r\v\f\x1c\x1d\x1e\x1f"
 JOINED, TOGETHER = 1 << 15, 64  # words encoded at once, and in one text
 
 
@@ -75,10 +76,9 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self.size = self._tokenizer.get_vocab_size()
-        added = self._tokenizer.get_added_tokens_decoder().values()
-        self._special = re.compile("|".join(re.escape(t.content) for t in added)) if added else None
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._bytes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(self.size)], dtype=np.int64)
-        self._chunks = ChunkEncoder(self._encode_keys, most=300_000)
+        self._chunks = ChunkEncoder(self._encode_keys, most=120_000)
 
     def _encode_keys(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks. Words that end in no white space are encoded many at once, as few texts, and cut by their bytes."""
@@ -114,8 +114,13 @@ class Encoder:
         sizes = np.array([len(i) for i in ids], dtype=np.int64)
         return np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum())), sizes
 
+    def _whole(self, text: str) -> bool:
+        """Whether a text has white space or marks around which words do not stand for themselves."""
+        space = any(c in text for c in ASCII_SPACE) if text.isascii() else OTHER_SPACE.search(text)
+        return bool(space) or any(mark in text for mark in self._special)
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        whole = [bool(OTHER_SPACE.search(t) or (self._special and self._special.search(t))) for t in texts]
+        whole = [self._whole(t) for t in texts]
         out = self._chunks.ids([[] if w else _keys(t) for t, w in zip(texts, whole, strict=True)])
         for i in np.flatnonzero(whole):
             out[i] = self._encode([texts[i]])[0]
