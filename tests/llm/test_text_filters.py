@@ -13,17 +13,33 @@ from weftable.llm.hashing import separators, word_hashes
 SF = "/root/testdata/sf0.01"
 
 
-def test_line_dedup_against_plain(spark):
+@pytest.mark.parametrize("long_ratio", [0.01, None])
+def test_line_dedup_against_plain(spark, long_ratio):
     docs = [(r.doc_id, r.source, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    docs += [(-1, None, "a\nb\na"), (-2, None, None), (-3, "src1", "")] + [(-10 - i, "one", f"head\nbody {i}\nhead\n") for i in range(6)]
-    pages, hits = Counter(s for _, s, _ in docs), defaultdict(Counter)
+    docs += [(-1, None, "a\nb\na"), (-2, None, None), (-3, "src1", "")] + [(-10 - i, "one", f"head\nbody {i}\nhead\n\t\r\n \v\f") for i in range(6)]
+    docs += [(-50 - i, "two", f"page {i}\nthe same line of a long page\nshort") for i in range(60)]
+    pages, hits, longest = Counter(s for _, s, _ in docs), defaultdict(Counter), defaultdict(set)
     for _, s, t in docs:
-        hits[s].update({x for x in (t or "").split("\n") if x.strip(" ")})
+        lines = (t or "").split("\n")
+        hits[s].update({x for x in lines if x.strip(" \t\r\f\v")})
+        for x in lines:
+            longest[s, x].add(max((len(y), y) for y in lines))
+
+    def often(source, line):
+        if long_ratio is not None and len(line) >= 20 and 5 <= (n := len(longest[source, line])) and n > long_ratio * pages[source]:
+            return bool(line.strip(" \t\r\f\v"))
+        return hits[source][line] >= 5 and hits[source][line] > 0.1 * pages[source]
+
     def kept(source, text):
-        return "\n".join(x for x in (text or "").split("\n") if not (hits[source][x] >= 5 and hits[source][x] > 0.1 * pages[source]))
-    found = boilerplate.drop_boilerplate(spark.createDataFrame(docs, "doc_id long, source string, text string"))
+        return "\n".join(x for x in (text or "").split("\n") if not often(source, x))
+
+    frame = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    found = boilerplate.drop_boilerplate(frame, long_ratio=long_ratio)
     assert {r.doc_id: r.text for r in found.collect()} == {k: kept(s, t) for k, s, t in docs}
     assert kept("one", "head\nbody 1\nhead\n") == "body 1\n"
+    counted = boilerplate.drop_boilerplate(frame.selectExpr("*", "7 n_lines", "'x' n_dropped"), counts=True, long_ratio=long_ratio)
+    assert counted.columns == ["doc_id", "source", "text", "n_lines", "n_dropped"]
+    assert {(r.doc_id, r.n_lines - r.n_dropped) for r in counted.where("doc_id < -9 and doc_id > -20").collect()} == {(-10 - i, 3) for i in range(6)}
 
 
 def test_lines_on_few_pages_of_a_large_host(spark):

@@ -1,16 +1,14 @@
 """Line dedup by site-relative frequency.
 
-A line of a page is boilerplate if more than ``ratio`` of its host's pages contain it. Such lines are
-dropped from every page of the host; all other lines, blank ones included, stay in their order.
-
-With ``long_ratio``, a line of ``LONG`` characters or more is also boilerplate if it lies in more than that share of the host's
-pages, and in ``min_pages`` of them, where pages with the same longest line count as one: copies of a page share all their lines,
-and are not to lose them.
+A line of a page is boilerplate if more than ``ratio`` of its host's pages contain it. A line of ``LONG`` characters or more, which
+chance hardly repeats, is also boilerplate if it lies in more than ``long_ratio`` of the host's pages, where pages with the same longest
+line count as one: copies of a page share all their lines, and are not to lose them. Either way it must lie in ``min_pages`` pages.
+Such lines are dropped from every page of the host; all other lines, blank ones included, stay in their order.
 
 Defined cases: a null text is an empty text; a null host is a host of its own; a line repeated in one
-page counts once; blank lines are never boilerplate; hosts with fewer than ``min_pages`` pages having a
-line keep it; an empty table gives an empty table. All columns of the input come through, whatever their
-names, ``text`` with the kept lines only.
+page counts once; lines of nothing but spaces, tabs, carriage returns, form feeds and vertical tabs are blank and never
+boilerplate; hosts with fewer than ``min_pages`` pages having a line keep it; an empty table gives an empty table. All columns of the
+input come through, whatever their names, ``text`` with the kept lines only; counts take the place of input columns of their names.
 """
 
 from __future__ import annotations
@@ -21,8 +19,11 @@ from pyspark.sql import functions as F
 from .store import written
 
 RATIO = 0.1
+LONG_RATIO = 0.01
 MIN_PAGES = 5
 LONG = 20
+BLANK = " \t\r\f\v"
+COUNTS = ("n_lines", "n_dropped")
 
 
 def _lines(text: Column) -> Column:
@@ -40,24 +41,30 @@ def _longest(lines: Column) -> Column:
 
 
 def boilerplate_lines(
-    pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, long_ratio: float | None = None
+    pages: DataFrame,
+    host: str,
+    text: str,
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
+    long_ratio: float | None = LONG_RATIO,
 ) -> DataFrame:
     """One row per host that has boilerplate: ``host``, ``keys`` (hash pairs of its boilerplate lines).
 
     Each boilerplate line takes more than ``ratio`` (or ``long_ratio``) of the host's pages, so a host has fewer than
-    1/``ratio`` times the mean number of lines of its pages.
+    1/``ratio`` times the mean number of lines of its pages. Lines are hashed within their page; only hashes are unfolded.
     """
-    own = pages.select(F.col(host).alias("host"), _lines(F.col(text)).alias("lines"))
+    own = pages.select(F.col(f"`{host}`").alias("host"), _lines(F.col(f"`{text}`")).alias("lines"))
     totals = own.groupBy("host").agg(F.count("*").alias("pages"))
+    texts = F.filter(F.array_distinct("lines"), lambda x: F.trim(x, F.lit(BLANK)) != "")
+    keys = F.transform(texts, lambda x: F.struct(_key(x).alias("key"), (F.length(x) >= LONG).alias("long")))
     page = F.lit(None).cast("bigint") if long_ratio is None else _longest(F.col("lines"))
-    lines = own.select("host", page.alias("page"), F.explode(F.array_distinct("lines")).alias("line")).filter(F.trim("line") != "")
-    keyed = lines.select("host", _key(F.col("line")).alias("key"), F.when(F.length("line") >= LONG, F.col("page")).alias("page"))
-    keyed = keyed.select("host", "key.a", "key.b", "page")
+    of_page = own.select("host", page.alias("page"), keys.alias("keys")).select("host", "page", F.explode("keys").alias("line"))
+    keyed = of_page.select("host", "line.key.a", "line.key.b", F.when(F.col("line.long"), F.col("page")).alias("page"))
     if long_ratio is None:
         counts = keyed.groupBy("host", "a", "b").agg(F.count("*").alias("n"))
     else:
-        of_page = keyed.groupBy("host", "a", "b", "page").agg(F.count("*").alias("n"))
-        counts = of_page.groupBy("host", "a", "b").agg(F.sum("n").alias("n"), F.count("page").alias("different"))
+        per_page = keyed.groupBy("host", "a", "b", "page").agg(F.count("*").alias("n"))
+        counts = per_page.groupBy("host", "a", "b").agg(F.sum("n").alias("n"), F.count("page").alias("different"))
     counts = counts.filter(F.col("n") >= min_pages)
     often = F.col("n") > F.lit(ratio) * F.col("pages")
     if long_ratio is not None:
@@ -78,7 +85,7 @@ def drop_boilerplate(
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
     counts: bool = False,
-    long_ratio: float | None = None,
+    long_ratio: float | None = LONG_RATIO,
 ) -> DataFrame:
     """``pages`` without boilerplate lines; with ``counts`` also ``n_lines`` and ``n_dropped``.
 
@@ -88,22 +95,20 @@ def drop_boilerplate(
     found = written(boilerplate_lines(pages, host, text, ratio, min_pages, long_ratio), "boilerplate")
     found = found.select(F.struct(F.col("host"), F.col("keys")).alias("__found"))
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("__row"))
-    row, keys = F.col("__row"), F.coalesce(F.col("__found.keys"), F.array())
+    row = F.col("__row")
     joined = rows.join(found, row[host].eqNullSafe(F.col("__found.host")), "left").select(
         "__row", F.col("__found.keys").alias("__keys"), _lines(row[text]).alias("__lines")
     )
-    keys = F.col("__keys")
-    kept = joined.select(
-        "__row",
-        "__lines",
-        F.when(keys.isNull(), F.col("__lines"))
-        .otherwise(F.filter("__lines", lambda x: ~F.array_contains(keys, _key(x))))
-        .alias("__kept"),
-    )
-    columns = [F.array_join("__kept", "\n").alias(c) if c == text else row[c].alias(c) for c in pages.columns]
+    # the first hashes of a page's lines meet those of the host as sets; most pages have none of them
+    here = F.array_intersect(F.transform("__lines", lambda x: F.xxhash64(x)), F.transform("__keys", lambda k: k["a"]))
+    near = F.when(F.col("__keys").isNotNull(), F.filter("__keys", lambda k: F.array_contains("__here", k["a"])))
+    met = joined.select("__row", "__lines", "__keys", F.when(F.col("__keys").isNotNull(), here).alias("__here"))
+    met = met.select("__row", "__lines", F.when(F.size("__here") > 0, near).alias("__near"))
+    left = F.filter("__lines", lambda x: ~F.array_contains("__near", _key(x)))
+    kept = met.select("__row", "__lines", F.when(F.col("__near").isNull(), F.col("__lines")).otherwise(left).alias("__kept"))
+    names = [c for c in pages.columns if not (counts and c in COUNTS)]
+    columns = [F.array_join("__kept", "\n").alias(c) if c == text else row[c].alias(c) for c in names]
     if counts:
-        columns += [
-            F.size("__lines").cast("long").alias("n_lines"),
-            (F.size("__lines") - F.size("__kept")).cast("long").alias("n_dropped"),
-        ]
+        sizes = (F.size("__lines"), F.size("__lines") - F.size("__kept"))
+        columns += [n.cast("long").alias(c) for n, c in zip(sizes, COUNTS)]
     return kept.select(*columns)

@@ -5,15 +5,22 @@ from __future__ import annotations
 from . import license
 
 LINE_DEDUP = """
-with d as (select doc_id, source, string_split(coalesce(text, ''), chr(10)) ls from documents),
+with d as materialized (
+  select row_number() over () rid, doc_id, source, string_split(coalesce(text, ''), chr(10)) ls from documents),
+p as (
+  select rid, source, list_aggregate(list_transform(ls, lambda x: {'n': length(x), 'line': x}), 'max') page,
+         unnest(list_distinct(ls)) line
+  from d),
 l as (
-  select source, line, count(*) n from (select source, unnest(list_distinct(ls)) line from d) x
-  where trim(line) <> '' group by 1, 2),
+  select source, line, count(*) n, case when length(line) >= 20 then count(distinct page) end different from p
+  where trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '' group by 1, 2),
 t as (select source, count(*) pages from d group by 1),
-b as (select source, list(line) bl from l join t using (source) where n >= 5 and n > 0.1e0 * pages group by 1),
+b as (
+  select l.source, list(line) bl from l join t on t.source is not distinct from l.source
+  where n >= 5 and (n > 0.1e0 * pages or (different >= 5 and different > 0.01e0 * pages)) group by 1),
 k as (
   select doc_id, d.source, ls, case when bl is null then ls else list_filter(ls, lambda x: not list_contains(bl, x)) end kept
-  from d left join b on b.source = d.source)
+  from d left join b on b.source is not distinct from d.source)
 select doc_id, source, array_to_string(kept, chr(10)) as text, cast(len(ls) as bigint) n_lines,
        cast(len(ls) - len(kept) as bigint) n_dropped
 from k
