@@ -2,6 +2,11 @@
 
 The first four keep or change documents and return the columns of ``documents``; the last gives the kept
 documents' token ids.
+
+Defined cases: a null or empty text is scored, has no lines to drop, is no copy, holds no passage and has no tokens, so it
+stays unless its score rejects it; texts are read whole, however long; of equal rows one stays; rows without an id stay, as no
+row can be named after them; columns beyond those of ``documents`` come through the first four stages, whatever their names; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -18,8 +23,6 @@ from weftable.llm.pieces import encode
 from weftable.llm.queries import TOXIC_FROM, tokenizer_path
 from weftable.llm.store import table, written
 
-LONG_RATIO = 0.01
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the decision threshold; the labels are only learned from."""
@@ -28,8 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source, long lines from a hundredth of its pages on."""
-    return drop_boilerplate(docs, host="source", text="text", long_ratio=LONG_RATIO)
+    """Documents without the boilerplate lines of their source."""
+    return drop_boilerplate(docs, host="source", text="text")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
