@@ -27,14 +27,21 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError(f"set {_SETTING} to a folder shared by all executors")
-    return _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="weftable-"))
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="weftable-")
+    return _own[app]
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """Path of a folder that does not exist yet, below the shared folder."""
+def new_folder(spark: SparkSession, name: str, outer: int = 0) -> str:
+    """Path of a folder that does not exist yet, below the shared folder.
+
+    It belongs to the innermost ``staged_tables``, or to the one ``outer`` levels
+    around it; a folder made outside of all of them stays.
+    """
     root = f"{shared_folder(spark).rstrip('/')}/weftable/{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(root)
+    if len(_scopes) > outer:
+        _scopes[-1 - outer].append(root)
     return f"{root}/{name}"
 
 
@@ -53,8 +60,8 @@ def staged_tables(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` once and continue from the written table.
+def stage(df: DataFrame, name: str, partition_by: Sequence[str] = (), outer: int = 0) -> DataFrame:
+    """Write ``df`` once and continue from the written table, which belongs to an owner as in ``new_folder``.
 
     The table survives lost executors and is read by any number of later jobs
     without recomputing. Catalyst plans joins against it by the bytes of its
@@ -63,6 +70,6 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     threshold must be judged by their size in memory.
     """
     spark = df.sparkSession
-    path = new_folder(spark, name)
+    path = new_folder(spark, name, outer)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
