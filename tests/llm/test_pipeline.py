@@ -76,3 +76,23 @@ def test_tokens_are_those_of_the_kept_texts(kept):
 def test_run_gives_the_last_stage(spark, kept):
     found = {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, SF).collect()}
     assert found == {k: r.n_tokens for k, r in kept["sentencepiece"][1].items()}
+
+
+def test_only_the_last_result_stays(spark, tmp_path, monkeypatch):
+    """Tables that stages write, and the results of all but the last, are deleted with the run."""
+    import os
+
+    from weftable.llm.store import written
+
+    made = []
+
+    def stage(_, docs, __):
+        inner = written(docs, "inner")
+        made.append(inner.inputFiles()[0].removeprefix("file://"))
+        return inner.selectExpr("doc_id + 1 doc_id")
+
+    spark.range(3).toDF("doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", stage), ("b", stage), ("c", stage)])
+    last = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(r.doc_id for r in last.collect()) == [3, 4, 5]
+    assert len(made) == 3 and not any(os.path.exists(p) for p in made)

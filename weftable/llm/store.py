@@ -2,34 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-SETTING = "spark.checkpoint.dir"
-
+from weftable.sources.staging import new_folder, stage, staged_tables
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; an unset one is replaced on a local master only."""
-    folder = spark.conf.get(SETTING, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set(SETTING, folder)
-    return folder.rstrip("/")
+__all__ = ["new_path", "staged_tables", "table", "written"]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}/{name}"
+    return new_folder(spark, f"llm-{name}")
+
 
+def written(df: DataFrame, name: str, outer: int = 0) -> DataFrame:
+    """``df`` written once and read back: later jobs neither recompute it nor depend on executors that ran it.
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once and read back: later jobs neither recompute it nor depend on executors that ran it."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    ``with staged_tables(spark):`` deletes what was written within it, or ``outer`` levels further in.
+    """
+    return stage(df, f"llm-{name}", outer=outer)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
