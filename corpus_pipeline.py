@@ -21,7 +21,7 @@ from weftable.llm.decontaminate import drop_contaminated
 from weftable.llm.jaccard import jaccard_components, keep_one
 from weftable.llm.pieces import encode
 from weftable.llm.queries import TOXIC_FROM, tokenizer_path
-from weftable.llm.store import table, written
+from weftable.llm.store import staged_tables, table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +63,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages one after another. Only the last result stays: the others go with the end of the run, and
+    what a stage writes on its way goes with the end of the stage."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+    last = STAGES[-1][0]
+    with staged_tables(spark):
+        for name, stage in STAGES:
+            with staged_tables(spark):
+                docs = written(stage(spark, docs, sf_dir), name, outer=2 if name == last else 1)
     return docs
