@@ -178,3 +178,29 @@ def test_dictionary_is_used_and_checked(spark, written):
     shards = spark.read.parquet(f"{folder}/blocks").select("shard", "block", "ids").collect()
     ids = [int(i) for s in sorted(shards, key=lambda s: (s.shard, s.block)) for i in s.ids]
     assert ids == sorted(ids)
+
+
+def test_long_words_like_short_ones(monkeypatch):
+    model = pieces.Pieces(PIECES)
+    random = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyz  ,.éß梦😀01")
+    words = ["".join(random.choice(letters, size=n)).replace(" ", "e") for n in (2, 17, 40, 90, 256)] + ["a" * 200, "\x01" * 50]
+    plain = [model._viterbi([w], len(w))[0].tolist() for w in words]
+    assert [model._viterbi_long(w).tolist() for w in words] == plain
+    monkeypatch.setattr(pieces, "PLACES", 7)
+    assert [model._viterbi_long(w).tolist() for w in words] == plain
+    monkeypatch.setattr(pieces, "LONG", 30)
+    flat, counts = model.encode_words(words)
+    cuts = np.cumsum(counts)
+    assert [flat[b - c : b].tolist() for b, c in zip(cuts, counts)] == plain
+
+
+def test_a_text_without_spaces(spark):
+    import time
+
+    text = ("thequickbrownfoxjumpsoverthelazydog梦x9" * 30_000)[: 1 << 20]
+    model = pieces.Pieces(PIECES)
+    started = time.process_time()
+    ids = model._viterbi_long("▁" + text)
+    assert time.process_time() - started < 60
+    assert model.decode([ids])[0] == text

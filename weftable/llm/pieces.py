@@ -3,7 +3,8 @@
 A text is cut before each run of white space marks and around line breaks, which no piece crosses. Distinct words of equal length
 advance together: hashes of all their substrings that end at a place probe the sorted keys of the pieces,
 the best of them is a maximum over an array, and its start is the backpointer. A character that no
-piece covers becomes its UTF-8 bytes. Hashes have 64 bits and differ between all pieces; ``exact`` in the result
+piece covers becomes its UTF-8 bytes. A word of more than ``LONG`` characters, such as a text without spaces, goes alone: all its substrings
+that are pieces are found first, a block of places at once, and one walk over them keeps the best. Hashes have 64 bits and differ between all pieces; ``exact`` in the result
 would show a text that a chance equality has changed.
 
 The best segmentation is the one of largest total score, ties to the longer last piece, in the 32-bit arithmetic
@@ -34,6 +35,7 @@ BREAK = "\n"
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}{BREAK}]*|{BREAK}|[^{SPACE}{BREAK}]+")
 UNKNOWN_PENALTY = 10.0
 CELLS = 1 << 17
+LONG, PLACES = 256, 1 << 15
 
 _BASE = 0xD6E8FEB86659FD93
 _LIKELY_BITS = 20
@@ -101,6 +103,12 @@ class Pieces:
         places: list[np.ndarray] = []
         for n in np.unique(lengths[lengths > 0]):
             at = np.flatnonzero(lengths == n)
+            if n > LONG:
+                for i in at:
+                    parts.append(self._viterbi_long(words[i]))
+                    counts[i] = len(parts[-1])
+                    places.append(np.array([i]))
+                continue
             step = max(1, CELLS // int(n))
             for lo in range(0, len(at), step):
                 part = at[lo : lo + step]
@@ -141,6 +149,54 @@ class Pieces:
                 best[end, found], back[end, found], piece[end, found] = score[better], start, self.ids[at]
         return self._trace(words, n, back, piece)
 
+    def _found(self, sums: np.ndarray, inverse: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, ...]:
+        """The pieces that end at the places from ``lo`` to ``hi`` of a word: end, start and row of each, by end, longer ones first."""
+        ends, starts, rows = [], [], []
+        for size in range(min(self.longest, hi - 1), 0, -1):
+            end = np.arange(max(lo, size), hi)
+            start = end - size
+            h = (sums[end] - sums[start]) * inverse[start] + np.uint64(size * _BASE & (1 << 64) - 1)
+            some = np.flatnonzero(self.likely[h >> _LIKELY_SHIFT])
+            at = np.minimum(np.searchsorted(self.keys, h[some]), len(self.keys) - 1)
+            hit = self.keys[at] == h[some]
+            ends.append(end[some[hit]])
+            starts.append(start[some[hit]])
+            rows.append(at[hit])
+        end, start, row = (np.concatenate(x) for x in (ends, starts, rows))
+        order = np.lexsort((start, end))
+        return end[order], start[order], row[order]
+
+    def _viterbi_long(self, word: str) -> np.ndarray:
+        """Ids of one long word; the same sums and ties as for short ones."""
+        n = len(word)
+        sums, inverse = _prefix_sums(_points([word], n))[:, 0], powers(_INVERSE, n + 1)
+        least = np.float32(-np.inf)
+        best, back, piece = [np.float32(0)], np.zeros(n + 1, dtype=np.int64), np.full(n + 1, -1, dtype=np.int64)
+        for lo in range(1, n + 1, PLACES):
+            hi = min(lo + PLACES, n + 1)
+            end, start, row = self._found(sums, inverse, lo, hi)
+            cuts = np.searchsorted(end, np.arange(lo, hi + 1)).tolist()
+            starts, scores, ids = start.tolist(), list(self.scores[row]), self.ids[row].tolist()
+            for place in range(lo, hi):
+                top, first, which, alone = least, place - 1, -1, True
+                for i in range(cuts[place - lo], cuts[place - lo + 1]):
+                    value = best[starts[i]] + scores[i]
+                    alone = alone and starts[i] != place - 1
+                    if value > top:
+                        top, first, which = value, starts[i], ids[i]
+                if alone and best[place - 1] + self.unknown > top:
+                    top, first, which = best[place - 1] + self.unknown, place - 1, -1
+                best.append(top)
+                back[place], piece[place] = first, which
+        out: list[int] = []
+        place = n
+        while place:
+            first = int(back[place])
+            raw = word[first:place].encode("utf-8", "surrogatepass") if piece[place] < 0 else b""
+            out += [int(self.byte[b]) for b in reversed(raw)] if raw else [int(piece[place])]
+            place = first
+        return np.array(out[::-1], dtype=np.int32)
+
     def _trace(self, words: list[str], n: int, back: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Follows all backpointers at once, from the last character to the first."""
         out = np.full((len(words), n), -1, dtype=np.int32)
