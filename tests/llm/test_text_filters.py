@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from weftable.llm import boilerplate, decontaminate, learning, quality, toxicity
 from weftable.llm.hashing import separators, word_hashes
@@ -137,10 +139,77 @@ def test_recall_of_the_longest_items_on_other_edits(items):
     assert np.mean(found, axis=0).min() >= decontaminate.RECALL
 
 
-def test_too_few_tables_are_an_error(items, monkeypatch):
+def edited_words(words, edits, rng, mark):
+    words = list(words)
+    for _ in range(edits):
+        place, kind = int(rng.integers(len(words))), int(rng.integers(3))
+        words[place : place + (kind != 1)] = [f"new{mark}"] * (kind != 2)
+    return words
+
+
+def test_without_enough_tables_all_windows_are_compared(items, monkeypatch):
+    """Where no number of tables reaches the recall, nothing edited within the limit is lost."""
     monkeypatch.setattr(decontaminate, "MOST_TABLES", 2)
-    with pytest.raises(ValueError):
-        decontaminate.build([k for k, _ in items], [t for _, t in items])
+    few = items[:40]
+    index = decontaminate.build([k for k, _ in few], [t for _, t in few])
+    assert index.tables.count == 0 and len(index.keys) == 0
+    rng = np.random.default_rng(3)
+    for i, (key, text) in enumerate(few):
+        n = len(hashed(text))
+        words = edited_words(text.split(), decontaminate.allowed(n), rng, i)
+        within = plain_distance(hashed(text), hashed(" ".join(words))) <= decontaminate.allowed(n)
+        met = {index.ids[m[1]] for m in decontaminate.matches(index, ["before it " + " ".join(words) + " and after"])}
+        assert not within or n < decontaminate.LEAST or key in met
+
+
+def test_long_items(monkeypatch):
+    """Items of up to 1000 words, also of few different words, are built and found in seconds; by their segments, whole and edited."""
+    import time
+
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(vocabulary, size=n)) for n in (60, 61, 100, 200, 400, 1000)] + [" ".join(["again", "and"] * 200)]
+    started = time.process_time()
+    index = decontaminate.build(list(range(len(texts))), texts)
+    assert max(len(w) for w in index.words) == 1000 and time.process_time() - started < 60
+    for i, text in enumerate(texts[1:], 1):
+        n = len(text.split())
+        around = " ".join(rng.choice(vocabulary, size=30))
+        assert decontaminate.matches(index, [f"{around} {text} {around}"]) [0][:3] == (0, i, 0)
+        less = edited_words(text.split(), n * 15 // 100, rng, i)
+        assert i in {m[1] for m in decontaminate.matches(index, [f"{around} {' '.join(less)} {around}"])}
+        half = [w if k % 2 else f"x{k}" for k, w in enumerate(text.split())]  # every second word is another one
+        assert i not in {m[1] for m in decontaminate.matches(index, [" ".join(half)])}
+    assert time.process_time() - started < 120
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=14), st.lists(st.lists(st.integers(0, 3), max_size=40), min_size=1, max_size=4))
+def test_distances_of_all_starts(item, texts):
+    item, words = np.array(item, dtype=np.uint64), np.array([w for t in texts for w in t], dtype=np.uint64)
+    at = np.cumsum([0] + [len(t) for t in texts])
+    starts = np.arange(len(words))
+    ends = np.repeat(at[1:], np.diff(at))
+    if not len(words):
+        return
+    found = decontaminate.distances(item, words, starts[::-1], ends[::-1])[::-1]
+    limit = len(item) + decontaminate.allowed(len(item))
+    for p, e, d in zip(starts, ends, found):
+        row = list(range(e - p + 1))  # of the item's first words to the passages of each length
+        for i, x in enumerate(item, 1):
+            old, row = row, [i]
+            for j, y in enumerate(words[p:e], 1):
+                row.append(min(old[j] + 1, row[j - 1] + 1, old[j - 1] + (x != y)))
+        exact = min(row)
+        assert d == exact or (exact > decontaminate.allowed(len(item)) and d > decontaminate.allowed(len(item))), limit
+
+
+def test_segments_of_an_item_cover_it():
+    for n in (4, 59, 60, 61, 119, 120, 121, 1000):
+        cuts = decontaminate.cut_points(n)
+        sizes = np.diff(cuts)
+        assert cuts[0] == 0 and cuts[-1] == n and sizes.max() <= decontaminate.SEGMENT and sizes.max() - sizes.min() <= 1
+        assert sum(decontaminate.allowed(int(x)) + 1 for x in sizes) > decontaminate.allowed(n)
 
 
 def test_gradients_of_the_recurrent_network():

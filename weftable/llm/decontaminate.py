@@ -3,19 +3,21 @@
 Symbols are words (runs of letters, digits and other than ASCII characters, A-Z as a-z), so a changed, added or lost word is one
 edit; punctuation and white space do not count. A passage matches an item of ``n`` words at up to ``n * EDITS // 100`` edits.
 
-1. A passage that matches shares a run of consecutive words with its item, at the least as long as edits can leave. Only
-   windows placed around such runs are looked at; none that can match is left out.
-2. CGK embedding: a window of an item's size is walked with random bits that depend on step and word, which repeats a word or
+1. An item is cut into nearly equal segments of at most ``SEGMENT`` words: of a passage at up to the limit of edits, one segment
+   at least has no more than its own share of them. A segment that matches shares a run of consecutive words with the passage, at
+   the least as long as edits can leave. Only windows placed around such runs are looked at; none that can match is left out.
+2. CGK embedding: a window of a segment's size is walked with random bits that depend on step and word, which repeats a word or
    moves to the next; few edits become few differing steps. Windows are hashed by the words at a few sampled steps, in
-   tables that are added, with new walks, until the recall measured on items edited at the limit reaches ``RECALL``, for short and
-   long items alike and on a second set of edits too; if it cannot, that is an error.
-3. Windows that share a bucket with an item are verified by exact edit distance, with all starts around them.
+   tables that are added, with new walks, until the recall measured on segments edited at the limit reaches ``RECALL``, for short and
+   long ones alike and on a second set of edits too; if it cannot, every window is taken to share a bucket with the segments
+   of its runs, which loses nothing.
+3. Around windows that share a bucket with a segment, its item is verified by exact edit distance, with all starts there are.
 
 The items are read in blocks of bounded size, each a pass over all documents.
 
 Defined cases: null and empty texts match nothing; items of fewer than ``LEAST`` words name no passage and match nothing, those
 of fewer than ten words match only as they are; equal items match each by its own id; a text matches an item once, at its
-least distance, the first place; equal rows match each; rows without id are reported without id; empty tables give no rows.
+least distance, the first place; an item as long as a book is found by its segments; equal rows match each; rows without id are reported without id; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from .store import written
 
 EDITS = 20
 LEAST = 4
+SEGMENT = 60
 RUN = 4
 RECALL = 0.99
 SAMPLED = (5, 4, 3, 2)
@@ -41,7 +44,7 @@ TABLES_PER_WALK, MOST_TABLES = 4, 96
 TRIALS, LENGTHS = 1600, 4
 ITEMS_AT_ONCE = 20_000
 WINDOWS_AT_ONCE = 1 << 13
-VERIFIED_AT_ONCE = 1 << 12
+CELLS_AT_ONCE = 1 << 18
 STEPS_AT_ONCE = 1 << 22
 BLOOM_BITS = 22
 
@@ -58,7 +61,7 @@ def run_length(n: int) -> int:
 
 @dataclass
 class Tables:
-    """How windows are hashed: walks, and the sampled steps of each table by window size."""
+    """How windows are hashed: walks, and the sampled steps of each table by window size; without tables all are compared."""
 
     sampled: int
     count: int
@@ -99,12 +102,23 @@ def _steps(sampled: int, n: int, table: int) -> np.ndarray:
 
 @dataclass
 class Index:
+    """Items by id and words; their segments by item and first word; runs of segments, and the segments in buckets or by runs."""
+
     ids: list
     words: list[np.ndarray]
+    owner: np.ndarray
+    offset: np.ndarray
+    slack: np.ndarray
     runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     tables: Tables
     keys: np.ndarray
-    items: np.ndarray
+    segments: np.ndarray
+
+
+def cut_points(n: int) -> list[int]:
+    """First words of the segments of an item of ``n`` words, and ``n``."""
+    parts = -(-n // SEGMENT)
+    return [i * n // parts for i in range(parts + 1)]
 
 
 def edited(words: np.ndarray, edits: int, random: np.random.Generator) -> np.ndarray:
@@ -160,33 +174,37 @@ def choose_tables(words: list[np.ndarray], target: float, seed: int = 1) -> Tabl
         recall = (recall - 2 * np.sqrt(recall * (1 - recall) / (TRIALS // LENGTHS))).min(axis=1)
         if recall[-1] >= target:
             return Tables(sampled, int(np.argmax(recall >= target)) + 1)
-    raise ValueError(f"{MOST_TABLES} tables of {SAMPLED[-1]} steps surely find {recall[-1]:.3f} of the items edited at the limit, too few for {target}")
+    return Tables(0, 0)
 
 
 def build(ids: list, texts: list[str], target: float = RECALL) -> Index:
     hashes, at = word_hashes(texts, separators("other"))
     kept = [(k, hashes[at[i] : at[i + 1]]) for i, k in enumerate(ids) if at[i + 1] - at[i] >= LEAST]
-    words = [w for _, w in kept]
-    runs: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-    for w in words:
+    cut = [(i, a, w[a:b]) for i, (_, w) in enumerate(kept) for c in [cut_points(len(w))] for a, b in zip(c[:-1], c[1:])]
+    words = [w for _, _, w in cut]
+    tables = choose_tables(words, target)
+    runs: dict[int, list[tuple[np.ndarray, ...]]] = {}
+    for segment, w in enumerate(words):
         q = run_length(len(w))
         h = shingles(w, q)
-        runs.setdefault(q, []).append((h, np.arange(len(h)), np.full(len(h), len(w))))
+        # which segment a run is of matters only where all of them are compared
+        runs.setdefault(q, []).append((h, np.arange(len(h)), np.full(len(h), len(w)), np.full(len(h), 0 if tables.count else segment)))
     table = {}
     for q, parts in runs.items():
-        rows = np.unique(np.stack([np.concatenate([p[k].astype(np.uint64) for p in parts]) for k in range(3)], axis=1), axis=0)
+        rows = np.unique(np.stack([np.concatenate([p[k].astype(np.uint64) for p in parts]) for k in range(4)], axis=1), axis=0)
         bloom = np.zeros(1 << BLOOM_BITS, dtype=bool)
         bloom[rows[:, 0] >> np.uint64(64 - BLOOM_BITS)] = True
-        table[q] = (rows[:, 0].copy(), rows[:, 1].astype(np.int64), rows[:, 2].astype(np.int64), bloom)
-    tables = choose_tables(words, target)
-    key, item = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    if words:
+        table[q] = (rows[:, 0].copy(), *(rows[:, k].astype(np.int64) for k in (1, 2, 3)), bloom)
+    key, segment = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    if words and tables.count:
         ends = np.cumsum([len(w) for w in words])
         sizes = np.diff(ends, prepend=0)
         key = tables.keys(np.concatenate(words), ends - sizes, sizes, ends).reshape(-1)
-        item = np.tile(np.arange(len(words)), tables.count)
+        segment = np.tile(np.arange(len(words)), tables.count)
     order = np.argsort(key, kind="stable")
-    return Index([k for k, _ in kept], words, table, tables, key[order], item[order])
+    owner, offset = (np.array([c[k] for c in cut], dtype=np.int64) for k in (0, 1))
+    slack = np.array([allowed(len(kept[i][1])) + (allowed(len(w)) if len(w) < len(kept[i][1]) else 0) for i, _, w in cut], dtype=np.int64)
+    return Index([k for k, _ in kept], [w for _, w in kept], owner, offset, slack, table, tables, key[order], segment[order])
 
 
 def _expand(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,10 +214,10 @@ def _expand(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, lo[owner] + np.arange(int(counts.sum())) - (np.cumsum(counts) - counts)[owner]
 
 
-def _windows(index: Index, words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, size and text of the windows in which an item can lie."""
+def _windows(index: Index, words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, size and text of the windows in which a segment can lie, and the segment where there are no tables."""
     found = []
-    for q, (hashes, offsets, sizes, bloom) in index.runs.items():
+    for q, (hashes, offsets, sizes, segments, bloom) in index.runs.items():
         if len(words) < q:
             continue
         h = shingles(words, q)
@@ -216,27 +234,51 @@ def _windows(index: Index, words: np.ndarray, at: np.ndarray) -> tuple[np.ndarra
         first = np.maximum(middle - slack, at[text[owner]])
         last = np.minimum(middle + slack, at[text[owner] + 1] - 1)
         owner2, start = _expand(first, np.maximum(last + 1, first))
-        found.append(np.stack((start, n[owner2], text[owner][owner2]), axis=1))
-    rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
-    return rows[:, 0], rows[:, 1], rows[:, 2]
+        found.append(np.stack((start, n[owner2], text[owner][owner2], segments[row][owner2]), axis=1))
+    rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 4), np.int64)
+    return rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3]
 
 
 def distances(item: np.ndarray, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Least edit distance of the item to a passage that begins at each start, whatever its length."""
+    """Least edit distance of the item to a passage that begins at each start, whatever its length; exact up to the limit.
+
+    Starts near each other share a region of their text. Read backwards, with any beginning, one table over a region
+    gives the distances of all its starts; regions of like size are worked on together.
+    """
     n = len(item)
     wide = n + allowed(n)
-    place = starts[:, None] + np.arange(wide)[None, :]
-    inside = place < ends[:, None]
-    text = np.where(inside, words[np.minimum(place, len(words) - 1)], np.uint64(0))
-    steps = np.arange(wide + 1)
-    row = np.broadcast_to(steps, (len(starts), wide + 1)).copy()
-    row[:, 1:][~inside] = 4 * wide
-    for i in range(n):
-        other = np.minimum(row[:, 1:] + 1, row[:, :-1] + ((text != item[i]) | ~inside))
-        other = np.concatenate((row[:, :1] + 1, other), axis=1)
-        row = np.minimum.accumulate(other - steps, axis=1) + steps
-        row[:, 1:][~inside] = 4 * wide
-    return row.min(axis=1)
+    order = np.argsort(starts, kind="stable")
+    place, end = starts[order], ends[order]
+    new = np.ones(len(place), dtype=bool)
+    new[1:] = (end[1:] != end[:-1]) | (np.diff(place) > wide)
+    region = np.cumsum(new) - 1
+    first = place[new]
+    last = place[np.append(np.flatnonzero(new)[1:] - 1, len(place) - 1)]
+    behind = np.minimum(last + wide, end[new])
+    sizes = behind - first
+    best = np.zeros(len(place), dtype=np.int64)
+    by_size = np.argsort(sizes, kind="stable")
+    at = 0
+    while at < len(by_size):
+        some = by_size[at : at + max(1, CELLS_AT_ONCE // int(sizes[by_size[min(at + 63, len(by_size) - 1)]]))][:64]
+        at += len(some)
+        size = int(sizes[some].max())
+        back = behind[some][:, None] - 1 - np.arange(size)[None, :]
+        inside = back >= first[some][:, None]
+        text = words[np.maximum(back, 0)]
+        steps = np.arange(size + 1, dtype=np.int32)
+        row = np.zeros((len(some), size + 1), dtype=np.int32)
+        for i, word in enumerate(item[::-1]):
+            other = np.minimum(row[:, 1:] + 1, row[:, :-1] + ((text != word) | ~inside))
+            other = np.concatenate((np.full((len(some), 1), i + 1, dtype=np.int32), other), axis=1)
+            row = np.minimum.accumulate(other - steps, axis=1) + steps
+        number = np.full(len(sizes), -1)
+        number[some] = np.arange(len(some))
+        mine = np.flatnonzero(number[region] >= 0)
+        best[mine] = row[number[region[mine]], behind[region[mine]] - place[mine]]
+    out = np.empty(len(place), dtype=np.int64)
+    out[order] = best
+    return out
 
 
 def _around(starts: np.ndarray, text: np.ndarray, at: np.ndarray, slack: int) -> np.ndarray:
@@ -250,26 +292,30 @@ def _around(starts: np.ndarray, text: np.ndarray, at: np.ndarray, slack: int) ->
 def matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int]]:
     """Text, item, distance and first word of the best match of each text and item."""
     words, at = word_hashes(texts, separators("other"))
-    start, size, text = _windows(index, words, at)
+    start, size, text, segment = _windows(index, words, at)
     best: dict[tuple[int, int], tuple[int, int]] = {}
     for lo in range(0, len(start), WINDOWS_AT_ONCE):
         part = slice(lo, lo + WINDOWS_AT_ONCE)
         first, n, of = start[part], size[part], text[part]
-        pairs = []
-        for table in index.tables.keys(words, first, n, at[of + 1]):
+        pairs = [] if index.tables.count else [np.stack((segment[part], np.arange(len(first))), axis=1)]
+        for table in index.tables.keys(words, first, n, at[of + 1]) if index.tables.count else ():
             owner, row = _expand(np.searchsorted(index.keys, table, side="left"), np.searchsorted(index.keys, table, side="right"))
-            pairs.append(np.stack((index.items[row], owner), axis=1))
+            pairs.append(np.stack((index.segments[row], owner), axis=1))
         met = np.unique(np.concatenate(pairs), axis=0)
         cuts = np.append(np.flatnonzero(np.diff(met[:, 0], prepend=-1)), len(met))
+        around: dict[int, list[np.ndarray]] = {}
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            item, window = int(met[a, 0]), met[a:b, 1]
-            near = _around(first[window], of[window], at, allowed(len(index.words[item])))
-            for lo2 in range(0, len(near), VERIFIED_AT_ONCE):
-                place, where = near[lo2 : lo2 + VERIFIED_AT_ONCE].T
-                d = distances(index.words[item], words, place, at[where + 1])
-                good = np.flatnonzero(d <= allowed(len(index.words[item])))
-                for x, t, p in zip(d[good].tolist(), where[good].tolist(), (place - at[where])[good].tolist(), strict=True):
-                    best[t, item] = min(best.get((t, item), (x, p)), (x, p))
+            found, window = int(met[a, 0]), met[a:b, 1]
+            near = _around(first[window] - index.offset[found], of[window], at, int(index.slack[found]))
+            around.setdefault(int(index.owner[found]), []).append(near)
+        for item, parts in around.items():
+            place, where = (np.unique(np.concatenate(parts), axis=0) if len(parts) > 1 else parts[0]).T
+            if not len(place):
+                continue
+            d = distances(index.words[item], words, place, at[where + 1])
+            good = np.flatnonzero(d <= allowed(len(index.words[item])))
+            for x, t, p in zip(d[good].tolist(), where[good].tolist(), (place - at[where])[good].tolist(), strict=True):
+                best[t, item] = min(best.get((t, item), (x, p)), (x, p))
     return [(t, i, *v) for (t, i), v in sorted(best.items())]
 
 
