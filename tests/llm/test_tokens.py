@@ -204,3 +204,26 @@ def test_a_text_without_spaces(spark):
     ids = model._viterbi_long("▁" + text)
     assert time.process_time() - started < 60
     assert model.decode([ids])[0] == text
+
+
+TRICKY = [
+    "Hello, world. Next\nline,\nand more.\n", "a, b. c", ", x", ". x", "x , y", "x.. y", "x., y", "9. 8, 7.\n6", "_, a_. b", "it's, don't. he'll\n's", "\nfirst",
+    "x\n", "\n", "a\n\nb", "a \nb", "a\n b", "été, mañana. Straße\nüber,\nßx.\n", "日本, 語。 x", "a\u0301, b", "\x02, a", "x\x05 y", "(a), b", '"a." b', "a,b. c,", "word\n'tis, x", "。, a",
+    "², ½. x", "a.\n.b", "<|endoftext|>, a", "x,\n,y", "end.", "end, ", " . ", "a\r\nb, c",
+]
+
+
+def test_signs_after_words(monkeypatch):
+    encoder = tokenbin._encoder(BYTES)
+    whole = [e.ids for e in encoder._tokenizer.encode_batch(TRICKY, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder(TRICKY)] == whole
+    assert encoder._direct
+    monkeypatch.setattr(encoder, "_direct", False)
+    assert [x.tolist() for x in tokenbin.Encoder(BYTES)(TRICKY)] == whole
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("ab,. \n'é2_-ß", max_size=30), min_size=1, max_size=5))
+def test_random_signs(texts):
+    encoder = tokenbin._encoder(BYTES)
+    assert [x.tolist() for x in encoder(texts)] == [e.ids for e in encoder._tokenizer.encode_batch(texts, add_special_tokens=False)]

@@ -41,30 +41,44 @@ SAMPLE_CHARS = 20_000
 FEWEST_SAMPLES = 50
 LEAST_DICTIONARY = 1 << 11
 RANGE_BYTES = 1 << 25
+MOST_BROADCAST = 1_000_000
 
 #: A boundary between another character and a space, tab or line break is one between tokens of a byte-level
 #: tokenizer, whatever surrounds it; texts with other white space are encoded whole.
 CHUNK = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
-OTHER_SPACE = re.compile(r"[^\S \n\t]")
-ASCII_SPACE = "\r\v\f\x1c\x1d\x1e\x1f"
+OTHER_SPACE = re.compile(r"[^\S \n\t]|[\x02-\x05]")
+ASCII_OTHERS = "\r\v\f\x1c\x1d\x1e\x1f\x02\x03\x04\x05"
+#: Commas, stops and line breaks after a letter or digit are tokens of their own; after anything else they may not be.
+SIGNS = {"\x02": ",", "\x03": ".", "\x04": "\n"}
+BARE = "\x05"
+UNSURE = re.compile(r"[,.](?<=[\W_][,.])[ \n]")
 JOINED, TOGETHER = 1 << 15, 64  # words encoded at once, and in one text
 
 
 def _keys(text: str) -> list[str]:
-    """Chunks of a text: ``word`` stands for the word after a space, `` chunk`` for a chunk as it is."""
+    """Chunks of a text: ``word`` stands for the word after a space, `` chunk`` and ``\\x05chunk`` for a chunk as it is, a sign for itself."""
     if not text:
         return []
-    if "  " in text or "\n " in text or "\t" in text:
+    if "  " in text or "\n " in text or "\t" in text or " \n" in text or "\n\n" in text or UNSURE.search(text):
         found = CHUNK.findall(text)
         return [c[1:] if c[0] == " " and " " not in c[1:] else " " + c for c in found]
-    words = text.split(" ")
+    words = text.replace("\n", f" \x04 {BARE}").replace(", ", " \x02 ").replace(". ", " \x03 ").split(" ")
     if words[0]:
         words[0] = " " + words[0]
     else:
         del words[0]
+    if words and words[-1] == BARE:
+        words.pop()
     return words
 
 
+def _spelt(key: str) -> str:
+    """The characters that a key stands for."""
+    if key in SIGNS:
+        return SIGNS[key]
+    return key[1:] if key[:1] in (" ", BARE) else " " + key
+
+
 class Encoder:
     """A byte-level tokenizer that encodes each distinct chunk once."""
 
@@ -78,13 +92,23 @@ class Encoder:
         self.size = self._tokenizer.get_vocab_size()
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._bytes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(self.size)], dtype=np.int64)
-        self._chunks = ChunkEncoder(self._encode_keys, most=120_000)
+        probes = ["the", "Straße", "été", "mañana", "tokenizers", "Ωμέγα", "日本語", "zzqxv", "ЖУК"]
+        whole, sizes = self._encode([" " + w for w in probes])
+        found, cut = self._letters(probes)
+        self._direct = np.array_equal(whole, found) and np.array_equal(sizes, cut)
+        self._chunks = ChunkEncoder(self._encode_keys, most=200_000)
 
     def _encode_keys(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of chunks. Words that end in no white space are encoded many at once, as few texts, and cut by their bytes."""
+        """Ids of chunks: words of letters by the model, others that end in no white space many at once, as few texts, cut by their bytes."""
         sizes = np.zeros(len(keys), dtype=np.int64)
-        joined = np.array([bool(k) and k[0] != " " and not k[-1].isspace() for k in keys], dtype=bool)
+        letters = np.array([k.isalpha() or (k[:1] == BARE and k[1:].isalpha()) for k in keys], dtype=bool) & self._direct
+        joined = np.array([k[:1] > " " and not k[-1].isspace() for k in keys], dtype=bool) & ~letters
         parts, places = [], []
+        if letters.any():
+            at = np.flatnonzero(letters)
+            ids, sizes[at] = self._letters([keys[i] for i in at])
+            parts.append(ids)
+            places.append(at)
         words = np.flatnonzero(joined)
         for lo in range(0, len(words), JOINED):
             at = words[lo : lo + JOINED]
@@ -99,9 +123,9 @@ class Encoder:
             sizes[at] = np.diff(cuts, prepend=-1)
             parts.append(ids)
             places.append(at)
-        alone = np.flatnonzero(~joined)
+        alone = np.flatnonzero(~joined & ~letters)
         if len(alone):
-            ids, sizes[alone] = self._encode([keys[i][1:] if keys[i][:1] == " " else " " + keys[i] for i in alone])
+            ids, sizes[alone] = self._encode([_spelt(keys[i]) for i in alone])
             parts.append(ids)
             places.append(alone)
         order = np.concatenate(places)
@@ -116,7 +140,7 @@ class Encoder:
 
     def _whole(self, text: str) -> bool:
         """Whether a text has white space or marks around which words do not stand for themselves."""
-        space = any(c in text for c in ASCII_SPACE) if text.isascii() else OTHER_SPACE.search(text)
+        space = any(c in text for c in ASCII_OTHERS) if text.isascii() else OTHER_SPACE.search(text)
         return bool(space) or any(mark in text for mark in self._special)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
@@ -127,6 +151,30 @@ class Encoder:
         return out
 
 
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, after a space or bare: they are never cut before the merges, so they go to the model directly."""
+        tokenize, ids, sizes = self._tokenizer.model.tokenize, [], []
+        for w in words:
+            tokens = tokenize("Ġ" + w if w[0] != BARE and w.isascii() else _byte_text(_spelt(w)))
+            sizes.append(len(tokens))
+            ids += [t.id for t in tokens]
+        return np.array(ids, dtype=np.int32), np.array(sizes, dtype=np.int64)
+
+
+def _alphabet() -> dict[int, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: visible ones of Latin-1 for themselves, others from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_HIDDEN = _alphabet()
+
+
+def _byte_text(text: str) -> str:
+    return text.encode("utf-8", "surrogatepass").decode("latin-1").translate(_HIDDEN)
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -249,6 +297,8 @@ def frames(spark: SparkSession, folder: str) -> DataFrame:
         bases.append((shard, total))
         total += n
     base = spark.createDataFrame(bases, "shard int, base long")
+    if len(bases) <= MOST_BROADCAST:  # some 12 MB; the blocks, with all of the payload, are not shuffled for it
+        base = F.broadcast(base)
     docs = F.transform(
         F.arrays_zip("ids", "offsets", "sizes", "starts", "counts"),
         lambda d: F.struct(
