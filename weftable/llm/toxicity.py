@@ -34,6 +34,7 @@ STATE, EMBED, ATTEND = 8, 8, 8
 COUNT_BITS, EMBED_BITS = 18, 15
 SMOOTH = 1.0
 EPOCHS, BATCH, RATE = 9, 128, 0.01
+STEPS = 160  # of the optimizer at the least, in more epochs if the sample is small
 #: Share of word and gram embeddings set to zero in each step of training, so that none is relied on alone.
 DROPPED = 0.9
 AT_ONCE = 2048
@@ -298,8 +299,9 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 1) -> Mo
     strength = np.where(labels[text_of] == 1, np.maximum(word_odds[1], gram_odds[1])[w.sequence], np.maximum(word_odds[0], gram_odds[0])[w.sequence])
     strongest = np.array([strength[a : a + n].max() for a, n in zip(first, size, strict=True)])
     optimizer = Adam(p, RATE)
-    for epoch in range(EPOCHS):
-        if epoch % 3 == 0:
+    epochs = max(EPOCHS, -(-STEPS // max(1, len(texts) * 5 // (4 * BATCH))))
+    for epoch in range(epochs):
+        if epoch % max(1, epochs // 3) == 0:
             picked = tops(strongest if epoch == 0 else all_logits())
         order = random.permutation(np.concatenate((picked, random.choice(np.flatnonzero(label_of == 0), len(picked) // 4))))
         for lo in range(0, len(order), BATCH):
