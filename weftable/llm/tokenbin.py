@@ -46,7 +46,7 @@ MOST_BROADCAST = 1_000_000
 #: A boundary between another character and a space, tab or line break is one between tokens of a byte-level
 #: tokenizer, whatever surrounds it; texts with other white space are encoded whole.
 CHUNK = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
-OTHER_SPACE = re.compile(r"[^\S \n\t]|[\x02-\x05]")
+OTHER_SPACE = re.compile("[\x02-\x05\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 ASCII_OTHERS = "\r\v\f\x1c\x1d\x1e\x1f\x02\x03\x04\x05"
 #: Commas, stops and line breaks after a letter or digit are tokens of their own; after anything else they may not be.
 SIGNS = {"\x02": ",", "\x03": ".", "\x04": "\n"}
@@ -96,13 +96,13 @@ class Encoder:
         whole, sizes = self._encode([" " + w for w in probes])
         found, cut = self._letters(probes)
         self._direct = np.array_equal(whole, found) and np.array_equal(sizes, cut)
-        self._chunks = ChunkEncoder(self._encode_keys, most=200_000)
+        self._chunks = ChunkEncoder(self._encode_keys, most=240_000)
 
     def _encode_keys(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks: words of letters by the model, others that end in no white space many at once, as few texts, cut by their bytes."""
         sizes = np.zeros(len(keys), dtype=np.int64)
-        letters = np.array([k.isalpha() or (k[:1] == BARE and k[1:].isalpha()) for k in keys], dtype=bool) & self._direct
-        joined = np.array([k[:1] > " " and not k[-1].isspace() for k in keys], dtype=bool) & ~letters
+        kinds = np.array([self._kind(k) for k in keys], dtype=np.int8)
+        letters, joined = kinds == 2, kinds == 1
         parts, places = [], []
         if letters.any():
             at = np.flatnonzero(letters)
@@ -123,7 +123,7 @@ class Encoder:
             sizes[at] = np.diff(cuts, prepend=-1)
             parts.append(ids)
             places.append(at)
-        alone = np.flatnonzero(~joined & ~letters)
+        alone = np.flatnonzero(~(joined | letters))
         if len(alone):
             ids, sizes[alone] = self._encode([_spelt(keys[i]) for i in alone])
             parts.append(ids)
@@ -151,6 +151,12 @@ class Encoder:
         return out
 
 
+    def _kind(self, key: str) -> int:
+        """2 for words of letters, 1 for other words after a space that end in no white space, else 0."""
+        if self._direct and (key.isalpha() or (key[:1] == BARE and key[1:].isalpha())):
+            return 2
+        return int(key[:1] > " " and not key[-1].isspace())
+
     def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters, after a space or bare: they are never cut before the merges, so they go to the model directly."""
         tokenize, ids, sizes = self._tokenizer.model.tokenize, [], []
