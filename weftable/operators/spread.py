@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftable import classification as c
-from weftable.functions.aggregates import exact_null_sum, exact_sum, null_sum, zero_sum
+from weftable.functions.aggregates import exact_null_sum, null_sum, zero_sum
 from weftable.operators.numbering import dense_numbers
 from weftable.operators.weights import usable
 from weftable.sources.matrix import CELL, LINE_SIZE, LINE_SUM, LabelledMatrix
@@ -53,7 +53,7 @@ def _sum_of_first(value: Column) -> Column:
     """Sum, null as soon as a value is, over the first row of each cell; zero if there is none in the group."""
     first = F.col("_first")
     n, known = F.count(F.when(first, 1)), F.count(F.when(first, value))
-    return F.when(n == 0, F.lit(0.0)).when(n == known, exact_sum(F.when(first, value)))
+    return F.when(n == 0, F.lit(0.0)).when(n == known, F.sum(F.when(first, value)))
 
 
 def spread_whole(cells: DataFrame, key: DataFrame) -> DataFrame:
