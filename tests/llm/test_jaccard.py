@@ -4,13 +4,16 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from weftable.llm import jaccard
 from weftable.llm.components import components
 from weftable.llm.hashing import separators, word_hashes
+from weftable.llm.store import BATCH_BYTES, bounded_batches, written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -135,3 +138,30 @@ def test_components_of_a_random_graph(spark):
     nodes = {x for a, b in links if a != b for x in (a, b)}
     assert {r.node: r.component for r in found} == smallest(nodes, [x for x in links if x[0] != x[1]])
     assert len(found) == len(nodes)
+
+
+def test_wide_rows_reach_python_in_bounded_batches(spark):
+    """Batches of whole texts are bounded by bytes, not by rows alone, and the session keeps its own settings."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(frames):
+        for f in frames:
+            yield pd.DataFrame({"rows": [len(f)], "bytes": [int(f["text"].str.len().sum())]})
+
+    docs = spark.range(0, 3000, 1, 1).select(F.concat(F.col("id").cast("string"), F.lit(" word" * 1000)).alias("text"))
+    before = spark.conf.get(setting, None)
+    found = written(docs.mapInPandas(sizes, "rows long, bytes long"), "sizes").collect()
+    assert sum(r["rows"] for r in found) == 3000
+    assert max(r["bytes"] for r in found) <= 1.5 * BATCH_BYTES
+    assert spark.conf.get(setting, None) == before
+
+
+def test_a_bound_of_the_session_stays(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(setting, "1m")
+    try:
+        with bounded_batches(spark):
+            assert spark.conf.get(setting) == "1m"
+        assert spark.conf.get(setting) == "1m"
+    finally:
+        spark.conf.unset(setting)
