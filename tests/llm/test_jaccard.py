@@ -165,3 +165,24 @@ def test_a_bound_of_the_session_stays(spark):
         assert spark.conf.get(setting) == "1m"
     finally:
         spark.conf.unset(setting)
+
+
+def test_kept_rows_are_not_shuffled(spark):
+    """Only rows that may be copies meet the labels: texts of the others stay where they are, whatever their number."""
+    docs = spark.range(0, 400, 1, 4).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    rows, names = docs.select(F.col("doc_id").alias("key"), "text"), docs.filter("doc_id % 10 = 0").select(F.col("doc_id").alias("key"))
+    left, marked = jaccard._marked(rows, names, ["key"])
+    left, marked = {r["key"] for r in left.collect()}, {r["key"] for r in marked.collect()}
+    assert not left & marked and left | marked == set(range(400))
+    assert marked >= set(range(0, 400, 10)) and len(left) >= 300
+
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 10 == 1, F.col("doc_id") - 1).otherwise(F.col("doc_id")).alias("component_id"))
+    kept = jaccard.keep_one(docs, labels)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [i for i in range(400) if i % 10 != 1]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = jaccard.keep_one(docs, labels)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    union = plan.index("Union")
+    assert "LeftAnti" in plan[union:] and "Join" not in plan[:union]

@@ -157,6 +157,12 @@ def _filter_bits(wanted: DataFrame) -> np.ndarray:
     return out
 
 
+def _among(names: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether each name's bit is set."""
+    place = names.view(np.uint64) & np.uint64(len(bits) * 64 - 1)
+    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+
+
 def _of_sets(own: DataFrame, wanted: DataFrame, n: int, percent: int, exact: bool) -> DataFrame:
     """``sid, items`` or ``sid, n, band, map`` of the wanted sets, one row each, from a pass over the texts."""
     bits = own.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
@@ -165,9 +171,7 @@ def _of_sets(own: DataFrame, wanted: DataFrame, n: int, percent: int, exact: boo
     def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, items, starts, _ in _sets(frames, n):
             names = _names(items, starts)
-            place = names.view(np.uint64) & np.uint64(len(bits.value) * 64 - 1)
-            marked = (bits.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
-            rows = np.flatnonzero((marked > 0) & (np.diff(starts) > 0))
+            rows = np.flatnonzero(_among(names, bits.value) & (np.diff(starts) > 0))
             if not len(rows):  # no column of arrays comes from no rows
                 continue
             sets = [items[starts[i] : starts[i + 1]] for i in rows]
@@ -441,6 +445,18 @@ def jaccard_components(
     )
 
 
+def _marked(rows: DataFrame, names: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that are surely none of ``names``, and the others, few more than those that are: these alone need a join."""
+    name = F.xxhash64(*columns)
+    bits = rows.sparkSession.sparkContext.broadcast(_filter_bits(names.select(name.alias("sid"))))
+
+    @F.pandas_udf("boolean")
+    def may(hashes: pd.Series) -> pd.Series:
+        return pd.Series(_among(hashes.to_numpy(dtype=np.int64), bits.value))
+
+    return rows.filter(~may(name)), rows.filter(may(name))
+
+
 def keep_one(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` but those that are not the smallest id of their component; rows without id stay.
 
@@ -453,7 +469,9 @@ def keep_one(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     )
     if "text_hash" not in labels.columns:
         gone = labels.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("key")).distinct()
-        left = rows.join(gone, "key", "left_anti")
+        gone = written(gone, "gone")
+        left, marked = _marked(rows, gone, ["key"])
+        left = left.unionByName(marked.join(gone, "key", "left_anti"))
     else:
         own = labels.filter(F.col(key).isNotNull() & F.col("component").isNotNull())
         own = written(own.select(F.col(key).alias("key"), "component_id", F.col("text_hash").alias("hash"), "component"), "labels")
@@ -462,8 +480,10 @@ def keep_one(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         others = first.join(several, "component").filter("hash != least").select("key", "hash")
         gone = written(own.filter("key != component_id").select("key", "hash").unionByName(others).distinct(), "gone")
         repeated = written(first.groupBy("key", "hash").agg(F.count("*").alias("n")).filter("n > 1").select("key", "hash"), "repeated")
-        left = rows.join(gone, ["key", "hash"], "left_anti")
+        left, marked = _marked(rows, gone.unionByName(repeated), ["key", "hash"])
+        marked = marked.join(gone, ["key", "hash"], "left_anti")
         if not repeated.isEmpty():
-            once = left.join(repeated, ["key", "hash"], "left_semi").dropDuplicates(["key", "hash"])
-            left = left.join(repeated, ["key", "hash"], "left_anti").unionByName(once.select(*left.columns))
+            once = marked.join(repeated, ["key", "hash"], "left_semi").dropDuplicates(["key", "hash"])
+            marked = marked.join(repeated, ["key", "hash"], "left_anti").unionByName(once.select(*marked.columns))
+        left = left.unionByName(marked.select(*left.columns))
     return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
