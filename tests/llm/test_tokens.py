@@ -1,5 +1,6 @@
 """SentencePiece segmentation and the token files against the libraries and plain Python."""
 
+import itertools
 import math
 import random
 import struct
@@ -227,3 +228,25 @@ def test_signs_after_words(monkeypatch):
 def test_random_signs(texts):
     encoder = tokenbin._encoder(BYTES)
     assert [x.tolist() for x in encoder(texts)] == [e.ids for e in encoder._tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_met_again_are_not_encoded_again(monkeypatch):
+    """A corpus has several hundred thousand words: the store keeps those, and their ids are the library's."""
+    encoder = tokenbin.Encoder(BYTES)
+    asked = []
+    encode = encoder._chunks._encode
+    monkeypatch.setattr(encoder._chunks, "_encode", lambda keys: (asked.append(len(keys)), encode(keys))[1])
+    words = ["".join(c) + "é" * (i % 3 == 0) for i, c in enumerate(itertools.islice(itertools.product("abcdefgh", repeat=7), 300_000))]
+    texts = [" ".join(words[lo : lo + 10_000]) for lo in range(0, len(words), 10_000)]
+    first = [encoder([t])[0] for t in texts]
+    again = [encoder([t])[0] for t in texts]
+    assert sum(asked) <= len(words) + len(texts)
+    assert all(np.array_equal(a, b) for a, b in zip(first, again, strict=True))
+    tokenizer = Tokenizer.from_file(BYTES)
+    for i in (0, 29):
+        assert tokenizer.encode(texts[i], add_special_tokens=False).ids == first[i].tolist()
+
+
+def test_bytes_of_many_words_at_once():
+    words = ["a", " Straße", "日本語", " ", "\x7f", "ÿ", "", "\U0001f600"]
+    assert tokenbin._byte_texts(words) == ["a", "ĠStraÃŁe", "æĹ¥æľ¬èªŀ", "Ġ", "ġ", "Ã¿", "", "ðŁĺĢ"]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .hashing import batches
 from .interning import ChunkEncoder, gather
-from .store import new_path
+from .store import bounded_batches, new_path
 
 END = 0
 LEVEL = 3
@@ -53,6 +53,7 @@ SIGNS = {"\x02": ",", "\x03": ".", "\x04": "\n"}
 BARE = "\x05"
 UNSURE = re.compile(r"[,.](?<=[\W_][,.])[ \n]")
 JOINED, TOGETHER = 1 << 15, 64  # words encoded at once, and in one text
+STORED = 480_000  # chunks, some 85 MB
 
 
 def _keys(text: str) -> list[str]:
@@ -96,7 +97,7 @@ class Encoder:
         whole, sizes = self._encode([" " + w for w in probes])
         found, cut = self._letters(probes)
         self._direct = np.array_equal(whole, found) and np.array_equal(sizes, cut)
-        self._chunks = ChunkEncoder(self._encode_keys, most=240_000)
+        self._chunks = ChunkEncoder(self._encode_keys, most=STORED)
 
     def _encode_keys(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks: words of letters by the model, others that end in no white space many at once, as few texts, cut by their bytes."""
@@ -159,12 +160,9 @@ class Encoder:
 
     def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters, after a space or bare: they are never cut before the merges, so they go to the model directly."""
-        tokenize, ids, sizes = self._tokenizer.model.tokenize, [], []
-        for w in words:
-            tokens = tokenize("Ġ" + w if w[0] != BARE and w.isascii() else _byte_text(_spelt(w)))
-            sizes.append(len(tokens))
-            ids += [t.id for t in tokens]
-        return np.array(ids, dtype=np.int32), np.array(sizes, dtype=np.int64)
+        tokens = list(map(self._tokenizer.model.tokenize, _byte_texts([w[1:] if w[0] == BARE else " " + w for w in words])))
+        sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        return np.fromiter((t.id for found in tokens for t in found), dtype=np.int32, count=int(sizes.sum())), sizes
 
 
 def _alphabet() -> dict[int, int]:
@@ -174,11 +172,14 @@ def _alphabet() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(hidden)}
 
 
-_HIDDEN = _alphabet()
+_BYTES = np.array([_alphabet().get(b, b) for b in range(256)], dtype="<u2")
+_BYTES[0x0A] = 0x0A
 
 
-def _byte_text(text: str) -> str:
-    return text.encode("utf-8", "surrogatepass").decode("latin-1").translate(_HIDDEN)
+def _byte_texts(texts: list[str]) -> list[str]:
+    """Texts without line breaks in the characters that stand for their bytes, all at once."""
+    data = np.frombuffer("\n".join(texts).encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    return _BYTES[data].tobytes().decode("utf-16-le").split("\n")
 
 
 _encoders: dict[str, Encoder] = {}
@@ -284,7 +285,8 @@ def write(docs: DataFrame, folder: str, path: str, key: str = "doc_id", text: st
     order = ["key", F.xxhash64("text")]
     ordered = own.repartitionByRange(ranges, *order).sortWithinPartitions(*order, "text")
     ordered = ordered.select(F.col("key").cast("string").alias("key"), "text")
-    ordered.mapInPandas(work, schema).write.parquet(f"{folder}/blocks")
+    with bounded_batches(spark):
+        ordered.mapInPandas(work, schema).write.parquet(f"{folder}/blocks")
 
 
 def _dictionary(spark: SparkSession, folder: str) -> tuple[str, bytes]:
