@@ -250,3 +250,46 @@ def test_words_met_again_are_not_encoded_again(monkeypatch):
 def test_bytes_of_many_words_at_once():
     words = ["a", " Straße", "日本語", " ", "\x7f", "ÿ", "", "\U0001f600"]
     assert tokenbin._byte_texts(words) == ["a", "ĠStraÃŁe", "æĹ¥æľ¬èªŀ", "Ġ", "ġ", "Ã¿", "", "ðŁĺĢ"]
+
+
+def test_words_are_looked_up_once_for_many_texts(monkeypatch):
+    """The store is asked for the different chunks of some texts, and a sign after a word makes no other chunk of it."""
+    encoder = tokenbin.Encoder(BYTES)
+    asked = []
+    numbers = encoder._chunks._numbers
+    monkeypatch.setattr(encoder._chunks, "_numbers", lambda chunks, n: (asked.append(sorted(chunks)), numbers(chunks, n))[1])
+    texts = ["Grün, grün. grün; (grün) grün!\nGrün-grün it's", "Grün " * 1000 + "grün"]
+    whole = [e.ids for e in encoder._tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder(texts)] == whole
+    words = ["Grün", " Grün", " grün", " (grün", " it", "'s", "-grün", *",.;)!", "\n"]
+    assert asked == [sorted(w.encode() for w in words)]
+
+
+def test_signs_after_every_letter_of_two_bytes():
+    encoder = tokenbin._encoder(BYTES)
+    assert encoder._signs
+    texts = [f"a{c}.x {c}, {c}{c}'s\n{c}\n({c})-{c}1" for c in map(chr, range(1, 0x800))]
+    assert [x.tolist() for x in encoder(texts)] == [e.ids for e in encoder._tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_tokenizer_that_joins_signs_to_words(tmp_path):
+    """Where the probe says that signs are no tokens apart, only white space cuts."""
+    from tokenizers import Regex, models, pre_tokenizers, trainers
+
+    tokenizer = Tokenizer(models.BPE())
+    words = pre_tokenizers.Split(Regex(r" ?[^ \n\t]+|[ \n\t]+(?=[ \n\t])|[ \n\t]+"), "isolated")
+    tokenizer.pre_tokenizer = pre_tokenizers.Sequence([words, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    trainer = trainers.BpeTrainer(vocab_size=400, initial_alphabet=pre_tokenizers.ByteLevel.alphabet(), show_progress=False)
+    tokenizer.train_from_iterator(["Hello, world. can't. e.g. i.e. (it's) won't, x,y"] * 20, trainer)
+    tokenizer.save(str(tmp_path / "joined.json"))
+    encoder = tokenbin.Encoder(str(tmp_path / "joined.json"))
+    texts = ["e.g. the i.e. of (it's) x,y", "can't. won't, 3.14", ""]
+    assert not encoder._signs
+    assert [x.tolist() for x in encoder(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_reading_takes_blocks_as_they_are(spark, written, capsys):
+    """One row per block goes to Python, not one per document, for each of which the whole payload would be taken up again."""
+    tokenbin.read(spark, written[0]).explain()
+    plan = capsys.readouterr().out
+    assert "MapInArrow" in plan and "Generate" not in plan

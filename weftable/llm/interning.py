@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Hashable, Iterable, Sequence
 from itertools import chain
 
 import numpy as np
@@ -44,12 +44,21 @@ class ChunkEncoder:
 
     def ids(self, documents: list[list[str]]) -> list[np.ndarray]:
         """The ids of each document's chunks, one after another."""
-        kept = len(self._codes)
         counts = np.array([len(d) for d in documents], dtype=np.int64)
-        codes = np.fromiter(map(self._codes.__getitem__, chain.from_iterable(documents)), dtype=np.int64, count=int(counts.sum()))
+        return self._runs(self._numbers(chain.from_iterable(documents), int(counts.sum())), counts)
+
+    def ids_of(self, chunks: Sequence[Hashable], places: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+        """The same for documents of ``counts`` chunks each, given by their ``places`` among different ``chunks``."""
+        return self._runs(self._numbers(chunks, len(chunks)), counts, places)
+
+    def _numbers(self, chunks: Iterable[Hashable], n: int) -> np.ndarray:
+        return np.fromiter(map(self._codes.__getitem__, chunks), dtype=np.int64, count=n)
+
+    def _runs(self, codes: np.ndarray, counts: np.ndarray, places: np.ndarray | None = None) -> list[np.ndarray]:
         new = self._codes.pending
         starts, all_sizes, flat = self._starts, self._sizes, self._flat
         if new:
+            kept = len(self._codes) - len(new)
             ids, sizes = self._encode(new)
             starts = np.concatenate((starts, len(flat) + np.cumsum(sizes) - sizes))
             all_sizes = np.concatenate((all_sizes, sizes))
@@ -62,6 +71,8 @@ class ChunkEncoder:
                 end = kept + min(room, len(new))
                 last = int(starts[end - 1] + all_sizes[end - 1])
                 self._starts, self._sizes, self._flat = starts[:end].copy(), all_sizes[:end].copy(), flat[:last].copy()
+        if places is not None:
+            codes = codes[places]
         sizes = all_sizes[codes]
         cuts = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
         out = gather(flat, starts[codes], sizes)

@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -43,41 +44,45 @@ LEAST_DICTIONARY = 1 << 11
 RANGE_BYTES = 1 << 25
 MOST_BROADCAST = 1_000_000
 
-#: A boundary between another character and a space, tab or line break is one between tokens of a byte-level
-#: tokenizer, whatever surrounds it; texts with other white space are encoded whole.
-CHUNK = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
-OTHER_SPACE = re.compile("[\x02-\x05\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-ASCII_OTHERS = "\r\v\f\x1c\x1d\x1e\x1f\x02\x03\x04\x05"
-#: Commas, stops and line breaks after a letter or digit are tokens of their own; after anything else they may not be.
-SIGNS = {"\x02": ",", "\x03": ".", "\x04": "\n"}
-BARE = "\x05"
-UNSURE = re.compile(r"[,.](?<=[\W_][,.])[ \n]")
+#: In texts with other white space than spaces, tabs and line breaks words do not stand for themselves: they are encoded whole.
+OTHER_SPACE = re.compile("[\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+ASCII_OTHERS = "\r\v\f\x1c\x1d\x1e\x1f"
 JOINED, TOGETHER = 1 << 15, 64  # words encoded at once, and in one text
-STORED = 480_000  # chunks, some 85 MB
+STORED = 320_000  # chunks, some 60 MB
+CUT_CHARS = 1 << 21  # characters of texts that are cut at once
 
+_WHITE, _SIGN, _WORD = (np.zeros(256, dtype=bool) for _ in range(3))
+_WHITE[[0x09, 0x0A, 0x20]] = True
+_SIGN[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_WORD_OF_TWO = np.array([chr(c).isalnum() for c in range(0x800)])  # letters and digits of two bytes
 
-def _keys(text: str) -> list[str]:
-    """Chunks of a text: ``word`` stands for the word after a space, `` chunk`` and ``\\x05chunk`` for a chunk as it is, a sign for itself."""
-    if not text:
-        return []
-    if "  " in text or "\n " in text or "\t" in text or " \n" in text or "\n\n" in text or UNSURE.search(text):
-        found = CHUNK.findall(text)
-        return [c[1:] if c[0] == " " and " " not in c[1:] else " " + c for c in found]
-    words = text.replace("\n", f" \x04 {BARE}").replace(", ", " \x02 ").replace(". ", " \x03 ").split(" ")
-    if words[0]:
-        words[0] = " " + words[0]
-    else:
-        del words[0]
-    if words and words[-1] == BARE:
-        words.pop()
-    return words
+PROBE = "Hello, world. it's été.\n(x) a_b 3.14 c++ d.*** l'homme, «Ωμέγα»: ЖУК!?\n\n e-f \tg\n\"h\" i@j.k#1,000 't\n's 're."
 
 
-def _spelt(key: str) -> str:
-    """The characters that a key stands for."""
-    if key in SIGNS:
-        return SIGNS[key]
-    return key[1:] if key[:1] in (" ", BARE) else " " + key
+def _cuts(data: bytes, starts: np.ndarray, signs: bool) -> np.ndarray:
+    """Where chunks begin in texts that lie one after another from ``starts`` on, as UTF-8.
+
+    A boundary between another character and a space, tab or line break is one between tokens of a byte-level
+    tokenizer, whatever surrounds it. With ``signs``, so are those between a letter or digit and an ASCII sign after it, and
+    those after a single line break within other characters.
+    """
+    d = np.frombuffer(data, dtype=np.uint8)
+    white = _WHITE[d]
+    begins = np.zeros(len(d) + 1, dtype=bool)
+    np.logical_and(white[1:], ~white[:-1], out=begins[1:-1])
+    if signs:
+        at = np.flatnonzero(_SIGN[d])
+        at = at[at > 1]
+        last, lead = d[at - 1], d[at - 2]
+        two = (last >= 0x80) & (lead >= 0xC2) & (lead < 0xE0)
+        two &= _WORD_OF_TWO[(lead & 0x1F).astype(np.int64) << 6 | (last & 0x3F)]
+        begins[at[_WORD[last] | two]] = True
+        at = np.flatnonzero(d[:-1] == 0x0A)
+        begins[at[~white[at - 1] & ~white[at + 1]] + 1] = True
+    begins[starts] = True
+    begins[len(d)] = False
+    return np.flatnonzero(begins)
 
 
 class Encoder:
@@ -93,29 +98,33 @@ class Encoder:
         self.size = self._tokenizer.get_vocab_size()
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._bytes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(self.size)], dtype=np.int64)
-        probes = ["the", "Straße", "été", "mañana", "tokenizers", "Ωμέγα", "日本語", "zzqxv", "ЖУК"]
-        whole, sizes = self._encode([" " + w for w in probes])
-        found, cut = self._letters(probes)
-        self._direct = np.array_equal(whole, found) and np.array_equal(sizes, cut)
-        self._chunks = ChunkEncoder(self._encode_keys, most=STORED)
-
-    def _encode_keys(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of chunks: words of letters by the model, others that end in no white space many at once, as few texts, cut by their bytes."""
-        sizes = np.zeros(len(keys), dtype=np.int64)
-        kinds = np.array([self._kind(k) for k in keys], dtype=np.int8)
+        probes = [" the", " Straße", " été", " mañana", " tokenizers", " Ωμέγα", " 日本語", " zzqxv", " ЖУК"]
+        self._direct = all(map(np.array_equal, self._encode(probes), self._letters(probes)))
+        probe = PROBE.encode()
+        at = _cuts(probe, np.zeros(1, dtype=np.int64), True).tolist()
+        pieces = [probe[a:b].decode() for a, b in zip(at, [*at[1:], len(probe)], strict=True)]
+        self._signs = np.array_equal(self._encode([PROBE])[0], self._encode(pieces)[0])
+        self._chunks = ChunkEncoder(self._encode_chunks, most=STORED)
+
+    def _encode_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks: words of letters by the model, other words after a space many at once, as few texts, cut by their bytes."""
+        texts = [c.decode("utf-8", "surrogatepass") for c in chunks]
+        sizes = np.zeros(len(texts), dtype=np.int64)
+        kinds = np.fromiter(map(self._kind, texts), dtype=np.int8, count=len(texts))
         letters, joined = kinds == 2, kinds == 1
         parts, places = [], []
-        if letters.any():
-            at = np.flatnonzero(letters)
-            ids, sizes[at] = self._letters([keys[i] for i in at])
+        words = np.flatnonzero(letters)
+        for lo in range(0, len(words), JOINED):
+            at = words[lo : lo + JOINED]
+            ids, sizes[at] = self._letters([texts[i] for i in at])
             parts.append(ids)
             places.append(at)
         words = np.flatnonzero(joined)
         for lo in range(0, len(words), JOINED):
             at = words[lo : lo + JOINED]
-            some = [keys[i] for i in at]
-            ids, _ = self._encode([" " + " ".join(some[a : a + TOGETHER]) for a in range(0, len(some), TOGETHER)])
-            ends = np.cumsum([(len(w) if w.isascii() else len(w.encode("utf-8", "surrogatepass"))) + 1 for w in some])
+            some = [texts[i] for i in at]
+            ids, _ = self._encode(["".join(some[a : a + TOGETHER]) for a in range(0, len(some), TOGETHER)])
+            ends = np.cumsum([len(chunks[i]) for i in at])
             bytes_ = np.cumsum(self._bytes[ids])
             cuts = np.searchsorted(bytes_, ends)
             if cuts[-1] >= len(ids) or not np.array_equal(bytes_[cuts], ends):
@@ -126,11 +135,11 @@ class Encoder:
             places.append(at)
         alone = np.flatnonzero(~(joined | letters))
         if len(alone):
-            ids, sizes[alone] = self._encode([_spelt(keys[i]) for i in alone])
+            ids, sizes[alone] = self._encode([texts[i] for i in alone])
             parts.append(ids)
             places.append(alone)
         order = np.concatenate(places)
-        starts = np.zeros(len(keys), dtype=np.int64)
+        starts = np.zeros(len(texts), dtype=np.int64)
         starts[order] = np.cumsum(sizes[order]) - sizes[order]
         return gather(np.concatenate(parts), starts, sizes), sizes
 
@@ -146,23 +155,33 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         whole = [self._whole(t) for t in texts]
-        out = self._chunks.ids([[] if w else _keys(t) for t, w in zip(texts, whole, strict=True)])
+        parts = [b"" if w else t.encode("utf-8", "surrogatepass") for t, w in zip(texts, whole, strict=True)]
+        data = b"".join(parts)
+        ends = np.cumsum([0, *map(len, parts)])
+        at = _cuts(data, ends, self._signs)
+        counts = np.diff(np.searchsorted(at, ends))
+        found = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data)])
+        found = found.dictionary_encode()
+        out = self._chunks.ids_of(found.dictionary.to_numpy(zero_copy_only=False), found.indices.to_numpy(), counts)
         for i in np.flatnonzero(whole):
             out[i] = self._encode([texts[i]])[0]
         return out
 
-
-    def _kind(self, key: str) -> int:
-        """2 for words of letters, 1 for other words after a space that end in no white space, else 0."""
-        if self._direct and (key.isalpha() or (key[:1] == BARE and key[1:].isalpha())):
+    def _kind(self, chunk: str) -> int:
+        """2 for words of letters, bare or after a space, 1 for other words after a space, else 0."""
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if self._direct and word.isalpha():
             return 2
-        return int(key[:1] > " " and not key[-1].isspace())
+        return int(word[:1] > " " and word is not chunk and not word[-1].isspace())
 
     def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters, after a space or bare: they are never cut before the merges, so they go to the model directly."""
-        tokens = list(map(self._tokenizer.model.tokenize, _byte_texts([w[1:] if w[0] == BARE else " " + w for w in words])))
-        sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
-        return np.fromiter((t.id for found in tokens for t in found), dtype=np.int32, count=int(sizes.sum())), sizes
+        tokenize, ids, sizes = self._tokenizer.model.tokenize, [], []
+        for word in _byte_texts(words):
+            found = [t.id for t in tokenize(word)]
+            sizes.append(len(found))
+            ids += found
+        return np.array(ids, dtype=np.int32), np.array(sizes, dtype=np.int64)
 
 
 def _alphabet() -> dict[int, int]:
@@ -263,7 +282,7 @@ def write(docs: DataFrame, folder: str, path: str, key: str = "doc_id", text: st
         held = 0
         for frame in frames:
             texts, keys = frame["text"].tolist(), frame["key"].tolist()
-            for lo, hi in batches(texts):
+            for lo, hi in batches(texts, CUT_CHARS):
                 for k, (n, data) in zip(keys[lo:hi], _serialized(texts[lo:hi], path), strict=True):
                     ids.append(k)
                     counts.append(n)
@@ -296,8 +315,8 @@ def _dictionary(spark: SparkSession, folder: str) -> tuple[str, bytes]:
     return row["hash"], bytes(row["data"])
 
 
-def frames(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per document: ``key, start, n, width, dictionary, frame``; a block's frames are cut out where it lies."""
+def _placed(spark: SparkSession, folder: str) -> DataFrame:
+    """The blocks, with ``base``, the ids in the shards ahead."""
     blocks = spark.read.parquet(f"{folder}/blocks")
     totals = blocks.groupBy("shard").agg(F.sum(F.expr("aggregate(counts, 0L, (a, x) -> a + x)")).alias("n")).collect()
     bases, total = [], 0
@@ -307,17 +326,7 @@ def frames(spark: SparkSession, folder: str) -> DataFrame:
     base = spark.createDataFrame(bases, "shard int, base long")
     if len(bases) <= MOST_BROADCAST:  # some 12 MB; the blocks, with all of the payload, are not shuffled for it
         base = F.broadcast(base)
-    docs = F.transform(
-        F.arrays_zip("ids", "offsets", "sizes", "starts", "counts"),
-        lambda d: F.struct(
-            d["ids"].alias("key"),
-            d["starts"].alias("start"),
-            d["counts"].alias("n"),
-            F.substring("payload", (d["offsets"] + 1).cast("int"), d["sizes"].cast("int")).alias("frame"),
-        ),
-    )
-    one = blocks.join(base, "shard").select("base", "width", "dictionary", F.explode(docs).alias("d"))
-    return one.select("d.key", (F.col("base") + F.col("d.start")).alias("start"), "d.n", "width", "dictionary", "d.frame")
+    return blocks.join(base, "shard")
 
 
 def _ids(spark: SparkSession, folder: str):
@@ -328,7 +337,7 @@ def _ids(spark: SparkSession, folder: str):
         zdict = _zdict(data)
         reader = zstandard.ZstdDecompressor(**({"dict_data": zdict} if zdict else {}))
 
-        def ids(frame: bytes, width: int, named: str) -> np.ndarray:
+        def ids(frame: bytes | memoryview, width: int, named: str) -> np.ndarray:
             if named != mark:
                 raise ValueError("a block names another dictionary")
             return np.frombuffer(reader.decompress(frame), dtype="<u2" if width == 2 else "<u4").astype("<u4")
@@ -339,22 +348,28 @@ def _ids(spark: SparkSession, folder: str):
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """``key, start, n_tokens, ids_crc32`` of each document, from the files."""
+    """``key, start, n_tokens, ids_crc32`` of each document, from the files; a block's frames are cut out where it lies."""
     make = _ids(spark, folder)
 
-    def work(batches_in: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = make()
-        for f in batches_in:
-            n, crc = [], []
-            for frame, width, named, count in zip(f["frame"], f["width"], f["dictionary"], f["n"], strict=True):
-                x = ids(frame, width, named)
-                if len(x) != count:
-                    raise ValueError("the index and the ids differ in number")
-                n.append(len(x))
-                crc.append(zlib.crc32(x.tobytes()))
-            yield pd.DataFrame({"key": f["key"], "start": f["start"], "n_tokens": n, "ids_crc32": crc})
-
-    return frames(spark, folder).mapInPandas(work, "key string, start long, n_tokens long, ids_crc32 long")
+        for batch in batches_in:
+            for row in range(batch.num_rows):
+                block = {name: batch.column(name)[row] for name in batch.schema.names}
+                payload = memoryview(block["payload"].as_buffer())
+                width, named = block["width"].as_py(), block["dictionary"].as_py()
+                offsets, sizes, starts, counts = (block[c].values.to_numpy() for c in ("offsets", "sizes", "starts", "counts"))
+                crc = []
+                for at, size, count in zip(offsets.tolist(), sizes.tolist(), counts.tolist(), strict=True):
+                    x = ids(payload[at : at + size], width, named)
+                    if len(x) != count:
+                        raise ValueError("the index and the ids differ in number")
+                    crc.append(zlib.crc32(x))
+                columns = [block["ids"].values, pa.array(starts + block["base"].as_py()), pa.array(counts), pa.array(crc, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "start", "n_tokens", "ids_crc32"])
+
+    blocks = _placed(spark, folder).select("ids", "offsets", "sizes", "starts", "counts", "width", "dictionary", "base", "payload")
+    return blocks.mapInArrow(work, "key string, start long, n_tokens long, ids_crc32 long")
 
 
 def read_documents(spark: SparkSession, folder: str, keys: list) -> dict[str, list[int]]:
