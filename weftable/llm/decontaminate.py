@@ -30,9 +30,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .hashing import batches, mix, randoms, separators, shingles, word_hashes
 from .store import written
+from .workers import tasks_of
 
 EDITS = 20
 LEAST = 4
@@ -338,12 +340,14 @@ def find_passages(
     own = docs.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     own = own.withColumn("text_hash", F.xxhash64("text"))
     schema = "key string, text_hash long, item string, distance int, word long, n_words int"
-    found = spark.createDataFrame([], schema)
+    # no rows without a Python task: rows from the driver, even none, would start workers of another kind on every executor
+    found = own.filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)])
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
         rows.sort(key=lambda r: (str(r["id"]), r["text"]))
         index = spark.sparkContext.broadcast(build([r["id"] for r in rows], [r["text"] for r in rows]))
 
+        @tasks_of("decontaminate")
         def work(frames: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             known = index.value
             for frame in frames:

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .hashing import batches, mix, separators, shingles, word_hashes
 from .store import written
+from .workers import tasks_of
 
 N = 4
 PERCENT = 85
@@ -122,6 +123,7 @@ def _describe(own: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
     Each task adds its table of buckets, of fixed size, to the rows it writes.
     """
 
+    @tasks_of("jaccard")
     def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(ORDER_BUCKETS, dtype=np.uint32)
         for f, items, starts, every in _sets(frames, n):
@@ -168,6 +170,7 @@ def _of_sets(own: DataFrame, wanted: DataFrame, n: int, percent: int, exact: boo
     bits = own.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
     firsts = bands(percent)
 
+    @tasks_of("jaccard")
     def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, items, starts, _ in _sets(frames, n):
             names = _names(items, starts)
@@ -191,6 +194,7 @@ def _of_sets(own: DataFrame, wanted: DataFrame, n: int, percent: int, exact: boo
 def _exact(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that link, by exact intersection of sorted arrays."""
 
+    @tasks_of("jaccard")
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             keep = []
@@ -209,6 +213,7 @@ def _exact(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
 def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that can link by their bitmaps."""
 
+    @tasks_of("jaccard")
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             sizes = f["ma"].str.len().to_numpy() * (1 << 32) + f["mb"].str.len().to_numpy()
@@ -291,6 +296,7 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
                     x, y = sid[a[can]], sid[b[can]]
                     yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
+    @tasks_of("jaccard")
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for f in frames:
@@ -343,6 +349,7 @@ def _groups(own: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFra
     """
     shared_counts = own.sparkSession.sparkContext.broadcast(counts)
 
+    @tasks_of("jaccard")
     def prefixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         order = shared_counts.value
         for _, items, starts, _ in _sets(frames, n):
@@ -451,8 +458,10 @@ def _marked(rows: DataFrame, names: DataFrame, columns: list[str]) -> tuple[Data
     bits = rows.sparkSession.sparkContext.broadcast(_filter_bits(names.select(name.alias("sid"))))
 
     @F.pandas_udf("boolean")
-    def may(hashes: pd.Series) -> pd.Series:
-        return pd.Series(_among(hashes.to_numpy(dtype=np.int64), bits.value))
+    @tasks_of("jaccard")
+    def may(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for hashes in parts:
+            yield pd.Series(_among(hashes.to_numpy(dtype=np.int64), bits.value))
 
     return rows.filter(~may(name)), rows.filter(may(name))
 

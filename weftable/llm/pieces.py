@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .hashing import batches, mix, powers
 from .interning import ChunkEncoder, gather
+from .workers import kept, tasks_of
 
 SPACE = "▁"
 BREAK = "\n"
@@ -251,20 +252,19 @@ def chunks(text: str) -> list[str]:
     return CHUNK.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-_loaded: dict[tuple[str, str], tuple[Pieces, ChunkEncoder]] = {}
-
-
 def _tools(path: str, scores: str) -> tuple[Pieces, ChunkEncoder]:
     """One model and one bounded store of words per Python worker."""
-    if (path, scores) not in _loaded:
+    loaded = kept("pieces")
+    if (path, scores) not in loaded:
         pieces = Pieces(path, scores)
-        _loaded[path, scores] = pieces, ChunkEncoder(pieces.encode_words)
-    return _loaded[path, scores]
+        loaded[path, scores] = pieces, ChunkEncoder(pieces.encode_words)
+    return loaded[path, scores]
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", scores: str = "zipf") -> DataFrame:
     """``key, n_tokens, ids, exact`` for each row; ``exact`` tells whether the ids decode to the text."""
 
+    @tasks_of("pieces")
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces, encoder = _tools(path, scores)
         for frame in frames:
@@ -284,6 +284,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids", scores: str = "zipf") -> DataFrame:
     """``key, text`` from the ids; null ids give an empty text."""
 
+    @tasks_of("pieces")
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces, _ = _tools(path, scores)
         for frame in frames:

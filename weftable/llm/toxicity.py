@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .hashing import batches, mix, separators, span_hashes, word_spans
 from .learning import Adam, calibrated, chosen, held_out, sigmoid, texts_of
+from .workers import tasks_of
 
 WINDOW, STRIDE = 64, 48
 PER_CLASS, LONGEST = 2000, 20_000
@@ -365,6 +366,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     """``key, score`` for each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tasks_of("toxicity")
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts = frame["text"].tolist()
@@ -381,9 +383,11 @@ def keep_below(docs: DataFrame, model: Model, threshold: float, text: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        values = texts.fillna("").tolist()
-        parts = [shared.value.scores(values[lo:hi]) for lo, hi in batches(values)]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+    @tasks_of("toxicity")
+    def scored(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in series:
+            values = texts.fillna("").tolist()
+            parts = [shared.value.scores(values[lo:hi]) for lo, hi in batches(values)]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return docs.filter(scored(F.col(f"`{text}`")) < threshold)
