@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import weftable.llm.components as stars
 from weftable.llm import jaccard
 from weftable.llm.components import components
 from weftable.llm.hashing import separators, word_hashes
@@ -61,6 +62,14 @@ def copies(seed, count=160):
     return list(enumerate(docs))
 
 
+def tables_written(monkeypatch):
+    """Names of the tables that are written from here on."""
+    names = []
+    for module in (jaccard, stars):
+        monkeypatch.setattr(module, "written", lambda df, name, outer=0: names.append(name) or written(df, name, outer))
+    return names
+
+
 @pytest.mark.parametrize("n, percent, block, small", [(4, 85, 1024, 32), (5, 80, 2, 0), (4, 50, 3, 0), (4, 50, 3, 3)])
 def test_components_of_random_copies(spark, monkeypatch, n, percent, block, small):
     monkeypatch.setattr(jaccard, "BLOCK", block)
@@ -140,6 +149,52 @@ def test_components_of_a_random_graph(spark):
     assert len(found) == len(nodes)
 
 
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    names = tables_written(monkeypatch)
+    for links, rounds in [
+        ([], 0),
+        ([(1, 2), (3, 1), (1, 9), (5, 6), (4, 4)], 0),
+        ([(1, 2), (2, 3)], 1),
+        ([(1, 3), (2, 3)], 1),
+        ([(1, 2), (2, 1)], 1),
+        ([(None, 1), (2, 3)], 0),
+    ]:
+        names.clear()
+        found = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
+        links = [x for x in links if None not in x and x[0] != x[1]]
+        assert sorted(tuple(r) for r in found) == sorted(smallest({x for link in links for x in link}, links).items())
+        assert names == ["stars"] * rounds
+
+
+def test_merged_components_are_joined_without_their_links(spark, monkeypatch):
+    """Copies are merged with their hubs in a round, and what links two merged components joins these as single nodes in another."""
+    names = tables_written(monkeypatch)
+    rng = random.Random(5)
+    docs = []
+    for family in range(30):
+        base = [f"f{family}w{i}" for i in range(60)]
+        docs += [" ".join(base)] + [" ".join([*base[:at], "new", *base[at + 1 :]]) for at in rng.sample(range(60), 4)]
+    docs = list(enumerate(docs))
+    found = jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i // 5 * 5 for i, _ in docs}
+    assert names.count("stars") <= 2 and len(names) <= 20
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85])
+def test_pairs_at_the_threshold(spark, percent):
+    """The pair links from the first number of shared items on that reaches the share of the union."""
+    rows, pairs, expected = [], [], set()
+    for i, (size, shared) in enumerate((n, s) for n in (1, 20, 37) for s in range(n + 1)):
+        a = [x * 2**57 for x in range(1 - size, 1)]
+        b = a[:shared] + list(range(1, size - shared + 1))
+        rows += [(2 * i, a), (2 * i + 1, b)]
+        pairs.append((2 * i, 2 * i + 1))
+        if 100 * shared >= percent * (2 * size - shared):
+            expected.add(pairs[-1])
+    found = jaccard._exact(spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(rows, "sid long, items array<long>"), percent)
+    assert {tuple(r) for r in found.collect()} == expected
+
+
 def test_wide_rows_reach_python_in_bounded_batches(spark):
     """Batches of whole texts are bounded by bytes, not by rows alone, and the session keeps its own settings."""
     setting = "spark.sql.execution.arrow.maxBytesPerBatch"

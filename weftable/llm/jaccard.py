@@ -9,11 +9,12 @@
 3. Each candidate is first compared with one hub, the set with most shared shingles in its groups, and linked
    sets are merged. What is left of the groups, sets of different components, is cut into tiles: bands of
    sizes that can still link, in blocks. Pairs of a tile are bounded by sizes and places, and from above by the bit counts
-   of their hashed bitmaps; only those that can still link are compared exactly, as sorted arrays. Rows of a large tile
+   of their hashed bitmaps; only those that can still link are compared exactly, by intersection of their arrays. Rows of a large tile
    carry their bitmaps; tiles of few sets, most of which repeat the same pairs, give their pairs, and each different pair
    meets its bitmaps once.
 
-For components, links between sets of one component are not looked for again: no component changes by them.
+For components, links between sets of one component are not looked for again: no component changes by them. What links
+merged components joins them as single nodes: most of these few links take no further round.
 ``jaccard_links`` leaves step 3's hubs out and finds every pair of sets that link.
 
 Defined cases: A-Z count as a-z; words are runs of other than ASCII white space; with fewer than ``n`` words the
@@ -166,7 +167,7 @@ def _among(names: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def _of_sets(own: DataFrame, wanted: DataFrame, n: int, percent: int, exact: bool) -> DataFrame:
-    """``sid, items`` or ``sid, n, band, map`` of the wanted sets, one row each, from a pass over the texts."""
+    """``sid, items`` or ``sid, n, band, map`` of the wanted sets, one row each, from a pass over the texts, and what columns ``wanted`` has."""
     bits = own.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
     firsts = bands(percent)
 
@@ -179,7 +180,7 @@ def _of_sets(own: DataFrame, wanted: DataFrame, n: int, percent: int, exact: boo
                 continue
             sets = [items[starts[i] : starts[i + 1]] for i in rows]
             if exact:
-                yield pd.DataFrame({"sid": names[rows], "items": [np.sort(x.view(np.int64)) for x in sets]})
+                yield pd.DataFrame({"sid": names[rows], "items": [x.view(np.int64) for x in sets]})
                 continue
             sizes = np.diff(starts)[rows]
             band = np.searchsorted(firsts, sizes, side="right")
@@ -188,26 +189,16 @@ def _of_sets(own: DataFrame, wanted: DataFrame, n: int, percent: int, exact: boo
     schema = "sid long, items array<long>" if exact else "sid long, n long, band int, map binary"
     found = own.select("text").mapInPandas(describe, schema)
     once = found.groupBy("sid").agg(*[F.any_value(c).alias(c) for c in found.columns[1:]])
-    return written(once.join(wanted.select("sid"), "sid", "left_semi"), "arrays" if exact else "bitmaps")
+    return written(once.join(wanted, "sid"), "arrays" if exact else "bitmaps")
 
 
 def _exact(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that link, by exact intersection of sorted arrays."""
-
-    @tasks_of("jaccard")
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            keep = []
-            for x, y in zip(f["xa"], f["xb"], strict=True):
-                x, y = np.asarray(x), np.asarray(y)
-                where = np.searchsorted(y, x)
-                shared = int((y[np.minimum(where, len(y) - 1)] == x).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield f.loc[np.array(keep, dtype=bool), ["a", "b"]]
-
+    """The pairs ``a, b`` that link, by exact intersection of their arrays."""
     a = items.select(F.col("sid").alias("a"), F.col("items").alias("xa"))
     b = items.select(F.col("sid").alias("b"), F.col("items").alias("xb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "xa", "xb").mapInPandas(compare, "a long, b long")
+    shared = F.size(F.array_intersect("xa", "xb")).cast("long")
+    linked = (100 + percent) * shared >= percent * (F.size("xa").cast("long") + F.size("xb"))
+    return pairs.join(a, "a").join(b, "b").filter(linked).select("a", "b")
 
 
 def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
@@ -242,20 +233,19 @@ def _links(own: DataFrame, pairs: DataFrame, sets: DataFrame, n: int, percent: i
 
 
 def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs that can link within each tile, by sizes, places and, if the rows have them, bitmaps.
+    """Pairs that can link within each tile, by sizes, places and, where its rows have them, bitmaps.
 
     Rows of a tile come together. Several tiles are compared at once: every row with the first, second, ...
     row after it, as long as some of these pairs lie within a tile.
     """
     keys = ["key", "tile", "one", "two"]
-    mapped = "map" in tiles.columns
 
     def compare_tiles(f: pd.DataFrame, group: np.ndarray) -> Iterator[pd.DataFrame]:
         sid, comp, band, block, tile, n, pos = (f[c].to_numpy() for c in ("sid", "component", "band", "block", "tile", "n", "pos"))
         mixed = (f["one"] != f["two"]).to_numpy()
-        maps = f["map"].tolist() if mapped else []
-        words = np.array([len(m) // 8 for m in maps])
-        stacks = {w: np.stack([np.frombuffer(maps[i], dtype=np.uint64) for i in np.flatnonzero(words == w)]) for w in np.unique(words)}
+        maps = f["map"].tolist()
+        words = np.array([len(m) // 8 if m is not None else 0 for m in maps])
+        stacks = {w: np.stack([np.frombuffer(maps[i], dtype=np.uint64) for i in np.flatnonzero(words == w)]) for w in np.unique(words[words > 0])}
         place = np.zeros(len(words), dtype=np.int64)
         for w in stacks:
             place[words == w] = np.arange((words == w).sum())
@@ -280,10 +270,12 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
             yield from fits(np.concatenate(found), sid, n, words, stacks, place)
 
     def fits(pairs: np.ndarray, sid, n, words, stacks, place) -> Iterator[pd.DataFrame]:
-        names, once = np.unique(np.sort(sid[pairs], axis=1), axis=0, return_index=True)
-        if not mapped:
+        without = words[pairs[:, 0]] == 0
+        if without.any():
+            names = np.unique(np.sort(sid[pairs[without]], axis=1), axis=0)
             yield pd.DataFrame({"a": names[:, 0], "b": names[:, 1]})
-            return
+            pairs = pairs[~without]
+        _, once = np.unique(np.sort(sid[pairs], axis=1), axis=0, return_index=True)
         pairs = pairs[once]
         kind = words[pairs[:, 0]] * (1 << 32) + words[pairs[:, 1]]
         for k in np.unique(kind):
@@ -313,32 +305,31 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInPandas(compare, "a long, b long")
 
 
-def _tiles(groups: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of each group by tile, of small tiles and, with their bitmaps, of large ones by block.
+def _tiles(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of each group by tile, those of large tiles by block and with their bitmaps.
 
     A tile has a band and the next one, a block about ``BLOCK`` sets.
     """
-    banded = groups.join(sets.select("sid", "n", "band"), "sid")
-    tiled = banded.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    tiled = groups.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     stats = tiled.groupBy("key", "tile").agg(
         F.count("*").alias("rows"), F.min("component").alias("c1"), F.max("component").alias("c2"), F.max((F.col("band") == F.col("tile")).cast("int")).alias("own")
     )
     live = stats.filter("c1 != c2 and own = 1").select("key", "tile", "rows")
     dealt = written(tiled.join(live, ["key", "tile"]).select("key", "tile", "rows", "sid", "component", "band", "pos", "n"), "tiles")
-    small = dealt.filter(F.col("rows") <= SMALL).withColumns({c: F.lit(0) for c in ("one", "two", "block")})
+    small = dealt.filter(F.col("rows") <= SMALL).drop("rows").withColumns({c: F.lit(0) for c in ("one", "two", "block")})
     blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
     large = dealt.filter(F.col("rows") > SMALL).withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int"))
     spread = large.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return small.drop("rows"), spread.select(
+    mapped = spread.select(
         "key", "tile", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
         "block", "sid", "component", "band", "pos", "n",
     ).join(sets.select("sid", "map"), "sid")
+    return mapped.unionByName(small.withColumn("map", F.lit(None).cast("binary")))
 
 
 def _open_pairs(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Different pairs of sets of a group that may link."""
-    small, large = _tiles(groups, sets)
-    return _tile_pairs(small, percent).unionByName(_tile_pairs(large, percent)).distinct()
+    return _tile_pairs(_tiles(groups, sets), percent).distinct()
 
 
 def _groups(own: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -382,15 +373,15 @@ def _groups(own: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFra
 
 def _candidates(
     docs: DataFrame, key: str, text: str, n: int, percent: int
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
-    """The texts, ``id, text_hash, n, sid`` of each row, the groups, their sets with how many keys each shares, and these sets' bitmaps."""
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The texts, ``id, text_hash, n, sid`` of each row, the groups, and their sets: size, band, bitmap and how many keys each shares."""
     own = docs.select(F.col(key).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     own = own.withColumn("text_hash", F.xxhash64("text"))
     described, counts = _describe(own, n)
     described = described.withColumn("id", F.col("id").cast(docs.schema[key].dataType))
     groups = _groups(own, counts, n, percent)
     candidates = written(groups.groupBy("sid").agg(F.count("*").alias("shared")), "candidates")
-    return own, described, groups, candidates, _of_sets(own, candidates, n, percent, exact=False)
+    return own, described, groups, _of_sets(own, candidates, n, percent, exact=False)
 
 
 def jaccard_links(
@@ -401,8 +392,8 @@ def jaccard_links(
     A row links with the other rows of its set and with all rows of the sets its set links with. Rows name their set
     by ``sid``, null without shingles; pairs of rows are not unfolded, as a group of equal texts has a square of them.
     """
-    own, described, groups, _, sets = _candidates(docs, key, text, n, percent)
-    alone = groups.withColumn("component", F.col("sid"))
+    own, described, groups, sets = _candidates(docs, key, text, n, percent)
+    alone = groups.join(sets.select("sid", "n", "band"), "sid").withColumn("component", F.col("sid"))
     pairs = _links(own, _open_pairs(alone, sets, percent), sets, n, percent)
     rows = described.filter("n > 0").groupBy("sid").agg(F.count("*").alias("rows"))
     ends = pairs.select(F.col("a").alias("sid"), F.col("b").alias("other"))
@@ -420,22 +411,26 @@ def jaccard_components(
 
     With ``by_text`` also ``text_hash`` and ``component``, a name that no other component has, null without shingles.
     """
-    own, described, groups, candidates, sets = _candidates(docs, key, text, n, percent)
+    own, described, groups, sets = _candidates(docs, key, text, n, percent)
 
     # a set whose whole prefix is shared is likelier the original of copies that each lost a little
-    sized = candidates.join(sets.select("sid", "n"), "sid").select("sid", "n", (F.col("shared") / F.col("n")).alias("score"))
-    scored = groups.join(sized, "sid")
+    scored = groups.join(sets.select("sid", "n", (F.col("shared") / F.col("n")).alias("score")), "sid")
     hubs = scored.groupBy("key").agg(F.max(F.struct("score", "n", "sid")).alias("hub"))
     near = (F.col("n") * 100 >= F.col("hub.n") * percent) & (F.col("hub.n") * 100 >= F.col("n") * percent)
     own_hub = scored.join(hubs, "key").filter((F.col("sid") != F.col("hub.sid")) & near).groupBy("sid").agg(F.max("hub").alias("hub"))
     stars = own_hub.select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b")).distinct()
-    links = _links(own, stars, sets, n, percent)
-    merged = written(components(links, "a", "b"), "merged").withColumnRenamed("node", "sid")
-    labelled = groups.join(merged, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    merged = components(_links(own, stars, sets, n, percent), "a", "b").withColumnRenamed("node", "sid")
+    merged = sets.select("sid", "n", "band").join(merged, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    merged = written(merged, "merged")
+    labelled = groups.join(merged, "sid")
     rest = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2")
     open_groups = written(labelled.join(rest.select("key"), "key", "left_semi"), "open-groups")
     more = _links(own, _open_pairs(open_groups, sets, percent), sets, n, percent)
-    label = written(components(links.unionByName(more), "a", "b"), "components").withColumnRenamed("node", "sid")
+    # from here on a merged component is one node
+    of = merged.select("sid", "component")
+    joins = more.join(of.toDF("a", "ca"), "a").join(of.toDF("b", "cb"), "b").select("ca", "cb")
+    whole = components(written(joins.distinct(), "joins"), "ca", "cb").toDF("component", "whole")
+    label = written(of.join(whole, "component", "left").select("sid", F.coalesce("whole", "component").alias("component")), "components")
 
     of_set = described.filter("n > 0").groupBy("sid").agg(F.min("id").alias("first"))
     of_set = of_set.join(label, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
